@@ -10,11 +10,12 @@ import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from postlake.operators import normalize, stats
-from postlake.schemas import ALL_TAG_COLUMNS
 from postlake.session import configure, shared_dir
+from postlake.sinks.tables import save_bucketed
+
+BUCKETS = 8
 
 _EXT = (
     "CASE id % 7 WHEN 0 THEN 'webm' WHEN 1 THEN 'zip' WHEN 2 THEN 'png' ELSE 'jpg' END"
@@ -105,10 +106,24 @@ def flat_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written(spark, sf_dir, "flat", lambda: post_src(spark, sf_dir))
 
 
+_saved: set[str] = set()
+
+
+def bucketed(
+    spark: SparkSession, sf_dir: str, name: str, key: str, build: Callable[[], DataFrame]
+) -> DataFrame:
+    """``build()`` saved once as a table bucketed on ``key``."""
+    path = folder(configure(spark), sf_dir, name)
+    saved = f"{name}_{path.split('/')[-2]}"
+    if path not in _saved:
+        save_bucketed(build(), key, saved, path, BUCKETS)
+        _saved.add(path)
+    return spark.table(saved)
+
+
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return written(
-        spark, sf_dir, "post", lambda: normalize.post_table(flat_posts(spark, sf_dir))
-    )
+    flat = flat_posts(spark, sf_dir)
+    return bucketed(spark, sf_dir, "post", "id", lambda: normalize.post_table(flat))
 
 
 def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,20 +136,28 @@ def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def post_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The relation sorted by tag, for searches."""
+
     def build() -> DataFrame:
-        related = normalize.build_post_tag(
-            flat_posts(spark, sf_dir), numbered(spark, sf_dir)
-        )
         order = ["tag_id", "post_id"]
+        related = post_tags_by_post(spark, sf_dir)
         return related.repartitionByRange(*order).sortWithinPartitions(*order)
 
-    return written(spark, sf_dir, "post_tag", build)
+    return written(spark, sf_dir, "post_tag_by_tag", build)
+
+
+def post_tags_by_post(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The relation bucketed on the post id, for joins with posts and records of posts."""
+    flat, tag = flat_posts(spark, sf_dir), numbered(spark, sf_dir)
+    return bucketed(
+        spark, sf_dir, "post_tag", "post_id", lambda: normalize.build_post_tag(flat, tag)
+    )
 
 
 def tag_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written(
         spark, sf_dir, "tag_stats",
         lambda: stats.tag_stats(
-            tags(spark, sf_dir), post_tags(spark, sf_dir), posts(spark, sf_dir)
+            tags(spark, sf_dir), post_tags_by_post(spark, sf_dir), posts(spark, sf_dir)
         ),
     )

@@ -7,7 +7,7 @@ from collections.abc import Collection
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from postlake.functions.text import strip, words
+from postlake.functions.text import joined_words, strip, words
 from postlake.schemas import RATING_NAMES, TAG_TYPE_NAMES
 
 # The order of the tag pieces in a caption and their labels.
@@ -19,6 +19,8 @@ _LABELLED = (
     ("tag_string_general", ""),
 )
 
+_ONLY_UNDERSCORES = r"(?<![^\s])_+(?![^\s])"
+
 
 def _lookup(names: dict) -> Column:
     return F.create_map(*[F.lit(item) for pair in names.items() for item in pair])
@@ -63,23 +65,28 @@ def plain_tags_piece(tags: Column) -> Column:
     return F.replace(F.replace(tags, F.lit(" "), F.lit(", ")), F.lit("_"), F.lit(" "))
 
 
+def _tags_piece(tags: Column, label: str) -> Column:
+    """All labelled tags of a category in one string; NULL if there are none."""
+    if not label:  # a tag of nothing but underscores would be shown as a blank, which is no piece
+        tags = F.when(tags.rlike(_ONLY_UNDERSCORES), F.regexp_replace(tags, _ONLY_UNDERSCORES, "")
+                      ).otherwise(tags)
+    shown = F.replace(joined_words(tags, f", {label}"), F.lit("_"), F.lit(" "))
+    return F.concat(F.lit(label), shown) if label else shown
+
+
 def caption(columns: Collection[str]) -> Column:
     """The caption of a post that has ``columns``; columns it lacks add no piece."""
-    none = F.array().cast("array<string>")
-    groups = []
+    pieces = []
     if "tag_string_character" not in columns and "tags" in columns:
-        groups.append(F.array(plain_tags_piece(F.col("tags"))))
+        plain = plain_tags_piece(F.col("tags"))
+        pieces.append(F.when(strip(plain) != "", plain))
     for name, label in _LABELLED:
         if name in columns:
-            groups.append(F.coalesce(label_tags(F.col(name), label), none))
-    tail = [
-        piece(F.col(name))
-        for name, piece in (("rating", rating_label), ("score", score_label), ("year", year_label))
-        if name in columns
-    ]
-    groups.append(F.array(*tail).cast("array<string>"))
-    pieces = F.filter(F.concat(*groups), lambda p: strip(p) != "")
-    return F.replace(F.array_join(pieces, ", "), F.lit(", ,"), F.lit(", "))
+            pieces.append(_tags_piece(F.col(name), label))
+    for name, piece in (("rating", rating_label), ("score", score_label), ("year", year_label)):
+        if name in columns:
+            pieces.append(piece(F.col(name)))
+    return F.replace(F.concat_ws(", ", *pieces), F.lit(", ,"), F.lit(", "))
 
 
 def tag_type_name(code: Column) -> Column:

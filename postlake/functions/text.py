@@ -10,16 +10,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 # The characters that count as white space when a text is split or stripped.
-_SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_SPACES = (
+    "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{_SPACE}+|{_SPACE}+$", "")
+    return F.btrim(text, F.lit(_SPACES))
+
+
+def _plain_spaces(text: Column) -> Column:
+    return F.translate(text, _SPACES, " " * len(_SPACES))
 
 
 def words(text: Column) -> Column:
     """Split on runs of white space; blank text gives an empty array."""
-    return F.array_remove(F.split(strip(text), f"{_SPACE}+"), "")
+    return F.array_remove(F.split(_plain_spaces(text), " "), "")
+
+
+def joined_words(text: Column, separator: str) -> Column:
+    """The words of ``text`` in one string; NULL if there are none."""
+    blanks = F.regexp_replace(F.trim(_plain_spaces(text)), " +", separator)
+    return F.nullif(blanks, F.lit(""))
 
 
 def split_tags(text: Column) -> Column:

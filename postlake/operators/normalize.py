@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from postlake.functions.text import split_tags
 from postlake.functions.times import parse_created_at
 from postlake.operators.numbering import assign_tag_ids
-from postlake.operators.skew import join_weighted
+from postlake.operators.skew import join_even
 from postlake.schemas import TAG_COLUMNS
 
 
@@ -54,15 +54,14 @@ def tag_table(numbered: DataFrame) -> DataFrame:
 def build_post_tag(
     flat: DataFrame, numbered: DataFrame, kinds: dict[str, str] | None = None
 ) -> DataFrame:
-    """(post_id, tag_id) per token, repeats kept. ``numbered`` may carry ``n_uses``, which spreads
-    the hottest tags when the dictionary is too large to broadcast."""
+    """(post_id, tag_id) per token, repeats kept. ``numbered`` may carry ``n_uses``, which saves
+    a count when the dictionary is too large to broadcast."""
     tokens = tag_tokens(flat, [F.col("id").alias("post_id")], kinds)
-    keys = ["kind", "name"]
-    if "n_uses" in numbered.columns:
-        dimension = numbered.select(*keys, "tag_id", "n_uses")
-        joined = join_weighted(tokens, dimension, keys, "n_uses", F.xxhash64("post_id"))
-    else:
-        joined = tokens.join(numbered.select(*keys, "tag_id"), keys)
+    weight = "n_uses" if "n_uses" in numbered.columns else None
+    columns = ["kind", "name", "tag_id", *([weight] if weight else [])]
+    joined = join_even(
+        tokens, numbered.select(*columns), ["kind", "name"], F.xxhash64("post_id"), weight
+    )
     return joined.select("post_id", "tag_id")
 
 

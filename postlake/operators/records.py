@@ -12,24 +12,21 @@ from postlake.schemas import POST_FIELDS
 RECORD_ORDER = ["file", "block", "row", "place"]
 
 
-def _is_container(doc: Column, path: str = "$") -> Column:
-    """Whether the value at ``path`` is a list or an object, tested only if its text looks so."""
-    array = F.try_variant_get(doc, path, "array<variant>")
-    fields = F.try_variant_get(doc, path, "map<string,variant>")
-    head = F.left(F.try_variant_get(doc, path, "string"), F.lit(1))
-    return F.when(head == "[", array.isNotNull()).when(head == "{", fields.isNotNull()).otherwise(
-        F.lit(False)
-    )
+# Numbers are read with a fraction first, so that one that is not whole is seen as such.
+_EXACT = "decimal(38,9)"
 
 
-def _scalar(doc: Column, path: str, kind: str) -> Column:
-    """The scalar at ``path`` as ``kind``; a container, or a value ``kind`` cannot hold, is NULL."""
-    value = F.try_variant_get(doc, path, kind)
-    if kind.lower() == "string":
-        return F.when(~_is_container(doc, path), value)
-    if kind.lower() in ("bigint", "int"):
-        return F.when(value.cast("double") == F.try_variant_get(doc, path, "double"), value)
-    return value
+def _opens(text: Column) -> Column:
+    return F.left(text, F.lit(1)).isin("[", "{")
+
+
+def _text(doc: Column, path: str) -> Column:
+    """The scalar at ``path`` as text, NULL for a list or an object."""
+    value = F.try_variant_get(doc, path, "string")
+    array = F.try_variant_get(doc, path, "array<variant>")
+    fields = F.try_variant_get(doc, path, "map<string,variant>")
+    container = _opens(value) & (array.isNotNull() | fields.isNotNull())
+    return F.when(~container, value)
 
 
 def unwrap_envelope(parsed: DataFrame) -> DataFrame:
@@ -55,12 +52,35 @@ def unwrap_envelope(parsed: DataFrame) -> DataFrame:
 def schema_fixed(
     records: DataFrame, fields: dict[str, str] | None = None, carry: list[str] | None = None
 ) -> DataFrame:
-    """The record as the fixed post columns; absent keys are NULL."""
+    """The record as the fixed post columns. Absent keys, lists, objects and values a column cannot
+    hold are NULL. All columns come from one pass over the record; the rare record with a text that
+    looks like a list or an object gets a second look for which columns really are one."""
     keep = [c for c in records.columns if c in (carry or RECORD_ORDER)]
     fields = fields or POST_FIELDS
-    return records.select(
-        *keep, *[_scalar(F.col("rec"), f"$['{k}']", t).alias(k) for k, t in fields.items()]
+    whole = {k for k, t in fields.items() if t in ("BIGINT", "INT")}
+    texts = [k for k, t in fields.items() if t == "STRING"]
+    shape = ", ".join(f"`{k}`: {_EXACT if k in whole else t}" for k, t in fields.items())
+    read = records.select(
+        *keep, "rec", F.try_variant_get("rec", "$", f"struct<{shape}>").alias("_r")
+    )
+    looks = F.exists(
+        F.array(*[F.col(f"_r.{k}") for k in texts]).cast("array<string>"),
+        lambda text: F.coalesce(_opens(text), F.lit(False)),
+    )
+    entries = F.map_filter(
+        F.try_variant_get("rec", "$", "map<string,variant>"), lambda _, v: _opens(F.to_json(v))
     )
+    read = read.withColumn("_open", F.when(looks, F.map_keys(entries)))
+
+    def column(key: str) -> Column:
+        value = F.col(f"_r.{key}")
+        if key in whole:
+            return F.when(value == F.floor(value), value.try_cast(fields[key]))
+        if key in texts:
+            return F.when(F.col("_open").isNull() | ~F.array_contains("_open", key), value)
+        return value
+
+    return read.select(*keep, *[column(k).alias(k) for k in fields])
 
 
 def _paths_for(key: str) -> list[str]:
@@ -78,7 +98,7 @@ def keep_keys(records: DataFrame, keys: list[str]) -> DataFrame:
     keep = [c for c in records.columns if c in RECORD_ORDER]
 
     def column(key: str) -> Column:
-        found = F.coalesce(*[_scalar(F.col("rec"), p, "string") for p in _paths_for(key)])
+        found = F.coalesce(*[_text(F.col("rec"), path) for path in _paths_for(key)])
         return F.when(~F.col("whole"), found) if key == "post" else found
 
     return records.select(*keep, *[column(k).alias(k) for k in keys])
@@ -119,20 +139,23 @@ def flatten_paths(
     sequence sorts last wins.
     """
     level = records.select(
-        *keys, "whole", F.array().cast("array<string>").alias("trail"), F.col("rec").alias("v")
+        *keys, "whole", F.array().cast("array<string>").alias("trail"), F.col("rec").alias("v"),
+        F.lit(True).alias("open"),
     )
     spark = records.sparkSession
     for _ in range(depth):
-        level = level.withColumn("open", _is_container(F.col("v")))
         exploded = spark.sql(
             "SELECT * FROM {level}, LATERAL variant_explode_outer(CASE WHEN open THEN v END) e",
             level=level,
         )
+        # No element below means a scalar, which stays, or an empty container, which vanishes.
+        below = F.col("pos").isNotNull()
         step = F.coalesce(F.col("key"), F.col("pos").cast("string"))
-        level = exploded.where("NOT open OR pos IS NOT NULL").select(
+        level = exploded.where(below | ~F.col("open") | ~F.to_json("v").isin("[]", "{}")).select(
             *keys, "whole",
-            F.when(F.col("open"), F.concat("trail", F.array(step))).otherwise(F.col("trail")).alias("trail"),
-            F.when(F.col("open"), F.col("value")).otherwise(F.col("v")).alias("v"),
+            F.when(below, F.concat("trail", F.array(step))).otherwise(F.col("trail")).alias("trail"),
+            F.when(below, F.col("value")).otherwise(F.col("v")).alias("v"),
+            below.alias("open"),
         )
     scalars = level.where("NOT (whole AND size(trail) = 1 AND trail[0] = 'post')").select(
         *keys, F.array_join("trail", ".").alias("path"),

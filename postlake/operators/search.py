@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions.media import window_start
+from postlake.operators.numbering import dense_positions
+from postlake.operators.skew import join_even
 from postlake.schemas import ALL_TAG_COLUMNS, LOCAL_WINDOW, TRIMMED_PLAIN_POST, TRIMMED_POST
 
 _MASK_BITS = 63
+ONE_TASK_ROWS = 100_000
 
 
 def filter_id_range(df: DataFrame, low: int | None, high: int | None, key: str = "id") -> DataFrame:
@@ -84,14 +87,22 @@ def search_min_score(
     return matches.join(scored, "post_id", "left_semi")
 
 
+def _rows_between(ids: DataFrame, start: int, end: int) -> DataFrame:
+    """Rows ``start`` to ``end`` in id order. Up to ONE_TASK_ROWS they are picked by a top-n sort,
+    which ends in one task; more are numbered in parallel."""
+    if end <= ONE_TASK_ROWS:
+        return ids.orderBy("post_id").offset(start).limit(end - start)
+    placed = dense_positions(ids, ["post_id"], "_at")
+    return placed.where(F.col("_at").between(start, end - 1)).drop("_at")
+
+
 def search_page(ids: DataFrame, page: int, size: int) -> DataFrame:
     """Page ``page`` (from 1) of the matches in id order."""
-    return ids.orderBy("post_id").offset((page - 1) * size).limit(size)
+    return _rows_between(ids, (page - 1) * size, page * size)
 
 
 def search_all_capped(ids: DataFrame, max_posts: int | None = None) -> DataFrame:
-    ordered = ids.orderBy("post_id")
-    return ordered.limit(max_posts) if max_posts else ordered
+    return _rows_between(ids, 0, max_posts) if max_posts else ids.orderBy("post_id")
 
 
 def random_posts(ids: DataFrame, n: int, seed: int) -> DataFrame:
@@ -99,33 +110,31 @@ def random_posts(ids: DataFrame, n: int, seed: int) -> DataFrame:
     return ids.orderBy(F.xxhash64("post_id", F.lit(seed)), "post_id").limit(n)
 
 
-def _names_of(kind: Column | None) -> Column:
-    entries = F.col("_tags") if kind is None else F.filter("_tags", lambda t: t["kind"] == kind)
-    repeated = F.flatten(
-        F.transform(entries, lambda t: F.array_repeat(t["name"], t["n"].cast("int")))
-    )
-    return F.array_join(repeated, " ")
-
-
 def build_post_dict(post_tag: DataFrame, tag: DataFrame, post: DataFrame) -> DataFrame:
     """One record per post: its fields, one tag string per category and all tags.
 
-    Repeats of a tag on a post are counted before the names are joined; a relation bucketed on the
-    post id is then gathered per post without another exchange. Kinds come in alphabetical order.
+    Repeats of a tag on a post are counted before the names are joined and gathered; a relation
+    bucketed on the post id needs no exchange for either. Kinds come in alphabetical order.
     """
-    counted = post_tag.groupBy("post_id", "tag_id").agg(F.count(F.lit(1)).alias("n"))
-    gathered = (
-        counted.join(tag, "tag_id")
-        .groupBy("post_id")
-        .agg(F.array_sort(F.collect_list(F.struct("kind", "name", "n"))).alias("_tags"))
+    counted = post_tag.groupBy("post_id", "tag_id").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    named = join_even(counted, tag, ["tag_id"], F.xxhash64("post_id"))
+    # A repeated name is one entry held together by a character that sorts before all others.
+    entry = F.when(F.col("n") == 1, F.col("name")).otherwise(
+        F.array_join(F.array_repeat("name", F.col("n")), "\0")
     )
-    strings = [_names_of(F.lit(k)).alias(c) for k, c in ALL_TAG_COLUMNS.items()]
-    tagged = gathered.select(
-        F.col("post_id").alias("id"), *strings, _names_of(None).alias("tag_string")
+
+    def strings(kind: str) -> Column:
+        entries = F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.col("entry"))))
+        return F.nullif(F.replace(F.array_join(entries, " "), F.lit("\0"), F.lit(" ")), F.lit(""))
+
+    tagged = (
+        named.withColumn("entry", entry)
+        .groupBy(F.col("post_id").alias("id"))
+        .agg(*[strings(kind).alias(column) for kind, column in ALL_TAG_COLUMNS.items()])
     )
-    joined = post.join(tagged, "id", "left")
-    text = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in tagged.columns if c != "id"]
-    return joined.select(*post.columns, *text)
+    every = F.concat_ws(" ", *ALL_TAG_COLUMNS.values()).alias("tag_string")
+    text = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in ALL_TAG_COLUMNS.values()]
+    return post.join(tagged, "id", "left").select(*post.columns, *text, every)
 
 
 def trim_post(df: DataFrame) -> DataFrame:

@@ -32,20 +32,26 @@ def hot_keys(dimension: DataFrame, on: list[str], weight: str) -> DataFrame:
     return dimension.where(F.col(weight) > limit).select(*on)
 
 
-def join_weighted(
-    facts: DataFrame, dimension: DataFrame, on: list[str], weight: str, spread: Column,
-    how: str = "inner", limit: int = BROADCAST_BYTES,
+def join_even(
+    facts: DataFrame, dimension: DataFrame, on: list[str], spread: Column,
+    weight: str | None = None, how: str = "inner", limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join ``facts`` to ``dimension``, which holds each key once with the rows it matches.
+    """Join ``facts`` to ``dimension``, which holds each key once.
 
     A dimension measured below ``limit`` is broadcast. Above it, rows of a hot key are spread over
     SALTS partitions by ``spread`` (a deterministic hash, so that a task run again after a loss
-    sends its rows to the same places) and the hot key is repeated once per salt.
+    sends its rows to the same places) and the hot key is repeated once per salt. ``weight`` names
+    a column of the dimension that holds the rows each key matches; without it they are counted.
     """
-    values = dimension.drop(weight)
+    values = dimension.drop(weight) if weight else dimension
     if fits_broadcast(values, limit):
         return facts.join(F.broadcast(values), on, how)
-    hot = F.broadcast(hot_keys(dimension, on, weight).withColumn("_hot", F.lit(True)))
+    if weight:
+        weighted = dimension.select(*on, weight)
+    else:
+        weight = "_rows"
+        weighted = facts.groupBy(*on).agg(F.count(F.lit(1)).alias(weight))
+    hot = F.broadcast(hot_keys(weighted, on, weight).withColumn("_hot", F.lit(True)))
     salt = F.when(F.col("_hot"), F.pmod(spread, F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
     salted = facts.join(hot, on, "left").withColumn("_salt", salt).drop("_hot")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(

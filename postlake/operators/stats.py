@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from postlake.functions.times import parse_created_at
 from postlake.operators.normalize import tag_tokens
 from postlake.operators.numbering import dense_positions
+from postlake.operators.skew import join_even
 
 
 def tag_post_join(tag: DataFrame, post_tag: DataFrame, post: DataFrame) -> DataFrame:
     """tag x post_tag x post. Tables bucketed on the post id join without an exchange."""
     related = post_tag.join(post, post_tag["post_id"] == post["id"])
-    return related.join(tag, "tag_id")
+    return join_even(related, tag, ["tag_id"], F.xxhash64("post_id"))
 
 
 def tag_stats(tag: DataFrame, post_tag: DataFrame, post: DataFrame) -> DataFrame:

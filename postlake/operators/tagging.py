@@ -14,7 +14,7 @@ from postlake.functions.text import (
     contains_any, entity_apostrophe, html_unescape, split_tags, strip_backslash,
 )
 from postlake.operators.numbering import batch_lookups
-from postlake.operators.skew import join_weighted
+from postlake.operators.skew import join_even
 from postlake.schemas import DICTIONARY_BATCH, DICTIONARY_FIELDS, LOOKUP_BATCH
 from postlake.session import cut_lineage
 
@@ -97,7 +97,7 @@ def _typed_tokens(
     """(id, typed): per post its tokens in order as ``array<struct<pos, token, type>>``."""
     vocabulary = typed_vocabulary(posts, dictionary, default, tags)
     placed = posts.select("id", F.posexplode(split_tags(F.col(tags))).alias("pos", "token"))
-    typed = join_weighted(placed, vocabulary, ["token"], "n_uses", F.xxhash64("id", "pos"))
+    typed = join_even(placed, vocabulary, ["token"], F.xxhash64("id", "pos"), "n_uses")
     return typed.groupBy("id").agg(
         F.array_sort(F.collect_list(F.struct("pos", "token", "type"))).alias("typed")
     )
@@ -153,7 +153,7 @@ def parse_tags(posts: DataFrame, dictionary: DataFrame, tags: str = "tags") -> D
     placed = posts.select(
         F.col("id").alias("post_id"), F.posexplode(split_tags(F.col(tags))).alias("pos", "token")
     )
-    return join_weighted(placed, known, ["token"], "n_uses", F.xxhash64("post_id", "pos"))
+    return join_even(placed, known, ["token"], F.xxhash64("post_id", "pos"), "n_uses")
 
 
 def tokens_to_look_up(

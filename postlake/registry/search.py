@@ -79,7 +79,7 @@ GROUP BY p.id, p.score, p.rating"""
 @query("build_post_dict", _POST_DICT, ("post", "post_tag"))
 def build_post_dict(spark, sf_dir):
     records = search.build_post_dict(
-        fx.post_tags(spark, sf_dir), fx.tags(spark, sf_dir), fx.posts(spark, sf_dir)
+        fx.post_tags_by_post(spark, sf_dir), fx.tags(spark, sf_dir), fx.posts(spark, sf_dir)
     )
     return records.drop("created_at", "created_at_utc")
 

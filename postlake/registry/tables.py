@@ -112,7 +112,7 @@ FROM tag t JOIN post_tag pt ON t.tag_id = pt.tag_id JOIN post p ON p.id = pt.pos
 )
 def tag_post_join(spark, sf_dir):
     joined = stats.tag_post_join(
-        fx.tags(spark, sf_dir), fx.post_tags(spark, sf_dir), fx.posts(spark, sf_dir)
+        fx.tags(spark, sf_dir), fx.post_tags_by_post(spark, sf_dir), fx.posts(spark, sf_dir)
     )
     return joined.groupBy("kind", "name", "rating").agg(
         F.count(F.lit(1)).alias("n"), F.sum("score").alias("score"),
@@ -124,7 +124,7 @@ def tag_post_join(spark, sf_dir):
 def tag_stats(spark, sf_dir):
     return _readable(
         stats.tag_stats(
-            fx.tags(spark, sf_dir), fx.post_tags(spark, sf_dir), fx.posts(spark, sf_dir)
+            fx.tags(spark, sf_dir), fx.post_tags_by_post(spark, sf_dir), fx.posts(spark, sf_dir)
         )
     )
 

@@ -64,7 +64,7 @@ def read_lines(
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     lines = reader.text(paths)
-    if must_exist and not lines.inputFiles():
+    if must_exist and lines.isEmpty() and not lines.inputFiles():
         raise FileNotFoundError(f"no {pattern or ''} files below {paths}")
     name = F.col("_metadata.file_name")
     if keep is not None:
@@ -86,7 +86,7 @@ def parse_strict(lines: DataFrame) -> DataFrame:
 
 def parse_tolerant(lines: DataFrame) -> DataFrame:
     """Add ``doc``, NULL for a line that holds no JSON object."""
-    doc = F.when(strip(F.col("line")).startswith("{"), F.try_parse_json("line"))
+    doc = F.when(F.col("line").rlike(r"^\s*\{"), F.try_parse_json("line"))
     return lines.withColumn("doc", doc)
 
 

@@ -9,8 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def prepare(spark: SparkSession, out: str, schema: str) -> None:
-    """An empty first batch, so that the output can be read before any batch has run."""
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{out}/batch=-1")
+    """An empty first batch, so that the output can be read before any batch has run. An output
+    that has one keeps it."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{out}/batch=-1")
 
 
 def write_batch(df: DataFrame, out: str, batch: int) -> None:
@@ -22,6 +23,11 @@ def read_batches(spark: SparkSession, out: str, schema: str, before: int | None
     return rows if before is None else rows.where(rows["batch"] < before)
 
 
+def start_from(df: DataFrame, out: str) -> None:
+    """Make ``df`` the first batch of a new output, to go on from a compacted state."""
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(f"{out}/batch=-1")
+
+
 def run_batches(
     stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]
 ) -> StreamingQuery:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from postlake.functions.text import normalize_query, sanitize_folder
+from postlake.operators.skew import join_even
 from postlake.streaming.batches import prepare, read_batches, run_batches, write_batch
 
 ANSWER = "request STRING, folder STRING, post_id BIGINT"
@@ -24,7 +25,8 @@ def arriving_requests(spark: SparkSession, folder: str, files_per_batch: int | N
 def answer(requests: DataFrame, tag: DataFrame, post_tag: DataFrame) -> DataFrame:
     """(request, folder, post_id): the distinct posts that carry the requested tag."""
     wanted = requests.join(tag, requests["request"] == tag["name"]).select("request", "tag_id")
-    hits = post_tag.join(wanted, "tag_id").select("request", "post_id").distinct()
+    found = join_even(post_tag, wanted, ["tag_id"], F.xxhash64("post_id"))
+    hits = found.select("request", "post_id").distinct()
     return hits.select("request", sanitize_folder(F.col("request")).alias("folder"), "post_id")
 
 

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from postlake.operators.stats import tag_stats_by_name
-from postlake.streaming.batches import prepare, read_batches, run_batches, write_batch
+from postlake.streaming.batches import (
+    prepare, read_batches, run_batches, start_from, write_batch,
+)
 
 DELTA = "kind STRING, name STRING, first_seen TIMESTAMP, post_count BIGINT"
 
@@ -33,3 +35,9 @@ def current_tag_stats(spark: SparkSession, out: str) -> DataFrame:
     return deltas.groupBy("kind", "name").agg(
         F.min("first_seen").alias("first_seen"), F.sum("post_count").alias("post_count")
     )
+
+
+def compact_tag_stats(spark: SparkSession, out: str, new_out: str) -> None:
+    """Fold all finished batches into the first batch of ``new_out``; go on with ``new_out`` and the
+    same checkpoint."""
+    start_from(current_tag_stats(spark, out), new_out)
