@@ -15,7 +15,7 @@ def dense_positions(df: DataFrame, order: list, name: str, start: int = 0) -> Da
     """Add ``name``: 0-based position of the row in the order of ``order``.
 
     Rows are range partitioned and sorted; a row's position is its place in its partition plus the
-    rows of the partitions before. The sorted rows are checkpointed between the two passes: a
+    rows of the partitions before. The sorted rows are written down between the two passes: a
     second range sample could move rows. Only one count per partition reaches the driver.
     """
     spark = df.sparkSession
@@ -59,7 +59,7 @@ def batch_lookups(names: DataFrame, size: int = LOOKUP_BATCH, start: int = 0) ->
         placed.withColumn("batch", F.floor(F.col("position") / size))
         .groupBy("batch")
         .agg(
-            F.array_join(F.array_sort(F.collect_list("name")), " ").alias("names"),
+            F.array_join(F.sort_array(F.collect_list("name")), " ").alias("names"),
             F.count(F.lit(1)).alias("n"),
         )
     )

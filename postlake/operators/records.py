@@ -109,23 +109,27 @@ def schema_all_string(records: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def nesting(parsed: DataFrame) -> tuple[int, bool]:
-    """(deepest nesting of any line, whether any key holds a dot), from one aggregate.
+    """(deepest nesting of any line, whether any key holds a dot).
 
-    Escapes and string contents are cut from the JSON text, which leaves its brackets.
+    Escapes and string contents are cut from the JSON text, which leaves its brackets: far fewer
+    distinct shapes than lines.
     """
     plain = F.replace(F.replace("line", F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
     brackets = F.regexp_replace(F.regexp_replace(plain, '"[^"]*"', ""), r"[^\[\]{}]+", "")
-    depth = F.aggregate(
-        F.split(brackets, ""),
-        F.struct(F.lit(0).alias("now"), F.lit(0).alias("top")),
-        lambda state, mark: F.struct(
-            (state["now"] + F.when(mark.isin("[", "{"), 1).when(mark == "", 0).otherwise(-1)).alias("now"),
-            F.greatest(state["top"], state["now"] + 1).alias("top"),
-        ),
-        lambda state: state["top"],
-    )
     dotted = plain.rlike(r'"[^"]*\.[^"]*"\s*:')
-    row = parsed.agg(F.max(depth).alias("depth"), F.max(dotted).alias("dotted")).first()
+    shapes = (
+        parsed.select(brackets.alias("shape"), dotted.alias("dotted"))
+        .groupBy("shape")
+        .agg(F.max("dotted").alias("dotted"))
+    )
+
+    def step(state: Column, mark: Column) -> Column:
+        now = state["now"] + F.when(mark.isin("[", "{"), 1).when(mark == "", 0).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(state["top"], now).alias("top"))
+
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("top"))
+    depth = F.aggregate(F.split("shape", ""), start, step, lambda state: state["top"])
+    row = shapes.agg(F.max(depth).alias("depth"), F.max("dotted").alias("dotted")).first()
     return row["depth"] or 0, bool(row["dotted"])
 
 

@@ -124,7 +124,7 @@ def build_post_dict(post_tag: DataFrame, tag: DataFrame, post: DataFrame) -> Dat
     )
 
     def strings(kind: str) -> Column:
-        entries = F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.col("entry"))))
+        entries = F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.col("entry"))))
         return F.nullif(F.replace(F.array_join(entries, " "), F.lit("\0"), F.lit(" ")), F.lit(""))
 
     tagged = (

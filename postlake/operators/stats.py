@@ -97,7 +97,7 @@ def tags_grouped_by_kind(post_tag: DataFrame, tag: DataFrame, post_ids: list[int
     """(post_id, kind, tags) of some posts: names in order, joined by a space."""
     related = post_tag.where(F.col("post_id").isin(list(post_ids))).join(tag, "tag_id")
     return related.groupBy("post_id", "kind").agg(
-        F.array_join(F.array_sort(F.collect_list("name")), " ").alias("tags")
+        F.array_join(F.sort_array(F.collect_list("name")), " ").alias("tags")
     )
 
 

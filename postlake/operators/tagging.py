@@ -94,21 +94,25 @@ def typed_vocabulary(
 def _typed_tokens(
     posts: DataFrame, dictionary: DataFrame, default: int | None, tags: str
 ) -> DataFrame:
-    """(id, typed): per post its tokens in order as ``array<struct<pos, token, type>>``."""
+    """(id, pos, token, type): every token of every post. Ids are unique and not null."""
     vocabulary = typed_vocabulary(posts, dictionary, default, tags)
     placed = posts.select("id", F.posexplode(split_tags(F.col(tags))).alias("pos", "token"))
-    typed = join_even(placed, vocabulary, ["token"], F.xxhash64("id", "pos"), "n_uses")
-    return typed.groupBy("id").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "token", "type"))).alias("typed")
-    )
+    return join_even(placed, vocabulary, ["token"], F.xxhash64("id", "pos"), "n_uses")
+
+
+def _in_order(value: Column, condition: Column | None = None) -> Column:
+    """Aggregate: the values of a post as an array in token order."""
+    entry = F.struct("pos", value.alias("value"))
+    chosen = entry if condition is None else F.when(condition, entry)
+    return F.sort_array(F.collect_list(chosen))["value"]
 
 
 def tag_types(
     posts: DataFrame, dictionary: DataFrame, default: int | None = None, tags: str = "tags"
 ) -> DataFrame:
-    """(id, types): the type of every token in token order. Ids are unique and not null."""
+    """(id, types): the type of every token in token order."""
     typed = _typed_tokens(posts, dictionary, default, tags)
-    return typed.select("id", F.transform("typed", lambda t: t["type"]).alias("types"))
+    return typed.groupBy("id").agg(_in_order(F.col("type")).alias("types"))
 
 
 def tag_types_verbose(
@@ -123,14 +127,8 @@ def structured_tags(
 ) -> DataFrame:
     """(id, type, tags): the tokens of each type, order and repeats kept."""
     typed = _typed_tokens(posts, dictionary, default, tags)
-    kinds = F.array_distinct(F.transform("typed", lambda t: t["type"]))
-    split = typed.select("id", "typed", F.explode(kinds).alias("code"))
-    return split.select(
-        "id", tag_type_name(F.col("code")).alias("type"),
-        F.transform(
-            F.filter("typed", lambda t: t["type"] == F.col("code")), lambda t: t["token"]
-        ).alias("tags"),
-    )
+    grouped = typed.groupBy("id", "type").agg(_in_order(F.col("token")).alias("tags"))
+    return grouped.withColumn("type", tag_type_name(F.col("type")))
 
 
 def tag_lists(
@@ -139,11 +137,10 @@ def tag_lists(
 ) -> DataFrame:
     """(id, one array per column): the tokens of the type each column stands for."""
     typed = _typed_tokens(posts, dictionary, default, tags)
-
-    def of(code: int) -> Column:
-        return F.transform(F.filter("typed", lambda t: t["type"] == code), lambda t: t["token"])
-
-    return typed.select("id", *[of(code).alias(name) for name, code in columns.items()])
+    return typed.groupBy("id").agg(*[
+        _in_order(F.col("token"), F.col("type") == code).alias(name)
+        for name, code in columns.items()
+    ])
 
 
 def parse_tags(posts: DataFrame, dictionary: DataFrame, tags: str = "tags") -> DataFrame:

@@ -15,6 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+PARTS: dict[str, tuple[str, tuple[str, ...]]] = {}  # the SQL of a query and what it builds on
 
 CTES = {
     "post_src": fixtures.POST_SRC_DUCKDB,
@@ -60,18 +61,18 @@ def define(name: str, sql: str, *needs: str) -> None:
     NEEDS[name] = needs
 
 
-def _ordered(names: tuple[str, ...]) -> list[str]:
-    done: list[str] = []
+def with_expressions(sql: str, uses: tuple[str, ...], saved: frozenset[str] = frozenset()) -> str:
+    """``sql`` behind the expressions it builds on, but for those that are saved tables."""
 
-    def visit(name: str) -> None:
-        for need in NEEDS[name]:
-            visit(need)
-        if name not in done:
-            done.append(name)
+    def visit(names, done):
+        for name in names:
+            if name not in saved and name not in done:
+                visit(NEEDS[name], done)
+                done.append(name)
+        return done
 
-    for name in names:
-        visit(name)
-    return done
+    parts = [f"{name} AS ({CTES[name]})" for name in visit(uses, [])]
+    return ("WITH " + ", ".join(parts) + "\n" if parts else "") + sql
 
 
 def query(name: str, sql: str | None = None, uses: tuple[str, ...] | str = ()) -> Callable[[Query], Query]:
@@ -85,8 +86,8 @@ def query(name: str, sql: str | None = None, uses: tuple[str, ...] | str = ()) -
 
         QUERIES[name] = configured
         if sql is not None:
-            parts = [f"{n} AS ({CTES[n]})" for n in _ordered(uses)]
-            ORACLES[name] = ("WITH " + ", ".join(parts) + "\n" if parts else "") + sql.strip()
+            PARTS[name] = (sql.strip(), uses)
+            ORACLES[name] = with_expressions(sql.strip(), uses)
         return run
 
     return register
@@ -96,8 +97,7 @@ def same_result(name: str, like: str) -> Callable[[Query], Query]:
     """Register a query whose result must equal that of ``like``."""
 
     def register(run: Query) -> Query:
-        query(name)(run)
-        ORACLES[name] = ORACLES[like]
+        query(name, *PARTS[like])(run)
         return run
 
     return register

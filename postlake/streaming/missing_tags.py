@@ -42,10 +42,10 @@ def lookup_batches(
         queued.withColumn("lookup", F.floor(F.col("position") / size))
         .groupBy("lookup")
         .agg(
-            F.array_sort(F.collect_list(F.struct("position", "name"))).alias("_names"),
+            F.sort_array(F.collect_list(F.struct("position", "name"))).alias("_names"),
             F.count(F.lit(1)).alias("n"),
         )
     )
-    names = F.array_join(F.transform("_names", lambda t: t["name"]), " ").alias("names")
+    names = F.array_join(F.col("_names.name"), " ").alias("names")
     rows = grouped.select("lookup", names, "n")
     return rows if finished else rows.where(F.col("n") == size)
