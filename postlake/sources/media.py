@@ -2,14 +2,43 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+
+def _open(root: str) -> tuple[fs.FileSystem, str]:
+    if root.startswith("file:"):
+        root = "/" + root.removeprefix("file:").lstrip("/")
+    system, base = fs.FileSystem.from_uri(root)
+    return system, base.rstrip("/")
 
 
 def list_artifacts(spark: SparkSession, root: str) -> DataFrame:
-    """(path, size) of the files below ``root``; paths relative to it, contents never read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    base = root.split(":", 1)[-1].rstrip("/") + "/"
-    return files.select(
-        F.substring_index("path", base, -1).alias("path"), F.col("length").alias("size")
-    )
+    """(path, size) of the files below ``root``, empty ones included; paths relative to it.
+
+    Media lie in folders by shard. The driver reads the names of those folders, a task lists what
+    each holds; no file is opened. Spark's own file scans would leave out empty files.
+    """
+    system, base = _open(root)
+    top = system.get_file_info(fs.FileSelector(base))
+    places = [(e.base_name, None if e.type == fs.FileType.Directory else e.size) for e in top]
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, base = _open(root)
+        for batch in batches:
+            for name, size in zip(batch["name"], batch["size"]):
+                if not pd.isna(size):
+                    yield pd.DataFrame({"path": [name], "size": [int(size)]})
+                    continue
+                entries = system.get_file_info(fs.FileSelector(f"{base}/{name}", recursive=True))
+                found = [e for e in entries if e.type == fs.FileType.File]
+                yield pd.DataFrame({
+                    "path": pd.Series([e.path[len(base) + 1 :] for e in found], dtype="object"),
+                    "size": pd.Series([e.size for e in found], dtype="int64"),
+                })
+
+    folders = spark.createDataFrame(places, "name STRING, size BIGINT")
+    return folders.repartition(max(len(places), 1)).mapInPandas(listed, "path STRING, size BIGINT")
