@@ -15,7 +15,7 @@ from postlake.operators import normalize, stats
 from postlake.session import configure, shared_dir
 from postlake.sinks.tables import save_bucketed
 
-BUCKETS = 8
+MIN_BUCKETS = 8
 
 _EXT = (
     "CASE id % 7 WHEN 0 THEN 'webm' WHEN 1 THEN 'zip' WHEN 2 THEN 'png' ELSE 'jpg' END"
@@ -116,7 +116,9 @@ def bucketed(
     path = folder(configure(spark), sf_dir, name)
     saved = f"{name}_{path.split('/')[-2]}"
     if path not in _saved:
-        save_bucketed(build(), key, saved, path, BUCKETS)
+        # One bucket per split of the flat posts, so that buckets grow in number, not in size.
+        splits = flat_posts(spark, sf_dir).rdd.getNumPartitions()
+        save_bucketed(build(), key, saved, path, max(MIN_BUCKETS, splits))
         _saved.add(path)
     return spark.table(saved)
 

@@ -100,11 +100,9 @@ def _typed_tokens(
     return join_even(placed, vocabulary, ["token"], F.xxhash64("id", "pos"), "n_uses")
 
 
-def _in_order(value: Column, condition: Column | None = None) -> Column:
+def _in_order(value: Column) -> Column:
     """Aggregate: the values of a post as an array in token order."""
-    entry = F.struct("pos", value.alias("value"))
-    chosen = entry if condition is None else F.when(condition, entry)
-    return F.sort_array(F.collect_list(chosen))["value"]
+    return F.sort_array(F.collect_list(F.struct("pos", value.alias("value"))))["value"]
 
 
 def tag_types(
@@ -137,10 +135,14 @@ def tag_lists(
 ) -> DataFrame:
     """(id, one array per column): the tokens of the type each column stands for."""
     typed = _typed_tokens(posts, dictionary, default, tags)
-    return typed.groupBy("id").agg(*[
-        _in_order(F.col("token"), F.col("type") == code).alias(name)
-        for name, code in columns.items()
-    ])
+    entries = F.sort_array(F.collect_list(F.struct("pos", "token", "type"))).alias("typed")
+
+    def of(code: int) -> Column:
+        return F.filter("typed", lambda entry: entry["type"] == code)["token"]
+
+    return typed.groupBy("id").agg(entries).select(
+        "id", *[of(code).alias(name) for name, code in columns.items()]
+    )
 
 
 def parse_tags(posts: DataFrame, dictionary: DataFrame, tags: str = "tags") -> DataFrame:

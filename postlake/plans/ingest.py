@@ -16,31 +16,46 @@ from postlake.sinks.tables import save_bucketed, save_clustered, save_if_missing
 from postlake.sources.jsonl import from_min_id, parse_strict, parse_tolerant, read_lines
 
 
+def _parsed(
+    spark: SparkSession, paths: str | list[str], min_id: int | None, strict: bool, must_exist: bool
+) -> DataFrame:
+    keep = None if min_id is None else (lambda name: from_min_id(name, min_id))
+    lines = read_lines(spark, paths, keep, must_exist=must_exist)
+    return parse_strict(lines) if strict else parse_tolerant(lines)
+
+
+def _flat(parsed: DataFrame, keys: list[str] | None, keep_all: bool) -> DataFrame:
+    records = unwrap_envelope(parsed)
+    if keep_all:
+        depth, dotted = nesting(parsed)
+        return schema_keep_all(flatten_paths(records, RECORD_ORDER, depth, dotted), RECORD_ORDER)
+    if keys is None or set(keys) == set(POST_FIELDS):
+        return schema_fixed(records)
+    return schema_all_string(records, keys)
+
+
 def flat_records(
     spark: SparkSession, paths: str | list[str], *, min_id: int | None = None,
     keys: list[str] | None = None, keep_all: bool = False, strict: bool = True,
     deduplicate: bool = True, must_exist: bool = True,
 ) -> DataFrame:
     """Flat records of all lines: the fixed schema, the listed keys as text, or every path."""
-    keep = None if min_id is None else (lambda name: from_min_id(name, min_id))
-    lines = read_lines(spark, paths, keep, must_exist=must_exist)
-    parsed = parse_strict(lines) if strict else parse_tolerant(lines)
-    records = unwrap_envelope(parsed)
-    if keep_all:
-        depth, dotted = nesting(lines)
-        rows = flatten_paths(records, RECORD_ORDER, depth, dotted)
-        flat = schema_keep_all(rows, RECORD_ORDER)
-    elif keys is None or set(keys) == set(POST_FIELDS):
-        flat = schema_fixed(records)
-    else:
-        flat = schema_all_string(records, keys)
+    flat = _flat(_parsed(spark, paths, min_id, strict, must_exist), keys, keep_all)
     if deduplicate:
         flat = dedup_by_id(flat, RECORD_ORDER)
     return flat.drop(*RECORD_ORDER)
 
 
-def jsonl_to_parquet(spark: SparkSession, paths: str | list[str], out: str, **options) -> bool:
-    return write_parquet_zstd(flat_records(spark, paths, **options), out)
+def jsonl_to_parquet(
+    spark: SparkSession, paths: str | list[str], out: str, *, min_id: int | None = None,
+    strict: bool = True, must_exist: bool = True, **options,
+) -> bool:
+    """Flat records as zstd Parquet; says whether anything was written."""
+    source = unwrap_envelope(_parsed(spark, paths, min_id, strict, must_exist))
+    flat = flat_records(
+        spark, paths, min_id=min_id, strict=strict, must_exist=False, **options
+    )
+    return write_parquet_zstd(flat, out, source=source)
 
 
 def build_tables(

@@ -14,6 +14,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A repeated JSON key takes its last value instead of failing the line.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Stream state on disk: the ids seen so far do not have to fit in memory.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

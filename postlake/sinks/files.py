@@ -15,9 +15,15 @@ from postlake.sources.dictionary import newest_tags
 SECTIONS = {"character": "characters", "general": "general", "artist": "artist"}
 
 
-def write_parquet_zstd(df: DataFrame, path: str, mode: str = "errorifexists") -> bool:
-    """Write zstd Parquet; no rows, no output. Row groups are sized by ``parquet.block.size``."""
-    if df.isEmpty():
+def write_parquet_zstd(
+    df: DataFrame, path: str, mode: str = "errorifexists", source: DataFrame | None = None
+) -> bool:
+    """Write zstd Parquet; no rows, no output. Row groups are sized by ``parquet.block.size``.
+
+    ``source`` is a cheaper frame that has rows whenever ``df`` has, such as its input before a
+    shuffle; only its first row is looked for.
+    """
+    if (df if source is None else source).isEmpty():
         return False
     df.write.mode(mode).option("compression", "zstd").parquet(path)
     return True
