@@ -15,7 +15,7 @@ from postlake.operators import normalize, stats
 from postlake.session import configure, shared_dir
 from postlake.sinks.tables import save_bucketed
 
-MIN_BUCKETS = 8
+MIN_PARTS = 8
 
 _EXT = (
     "CASE id % 7 WHEN 0 THEN 'webm' WHEN 1 THEN 'zip' WHEN 2 THEN 'png' ELSE 'jpg' END"
@@ -106,6 +106,12 @@ def flat_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written(spark, sf_dir, "flat", lambda: post_src(spark, sf_dir))
 
 
+def parts(spark: SparkSession, sf_dir: str) -> int:
+    """Buckets or state partitions for data derived from the posts: one per split of the flat
+    posts, so that they grow in number, not in size."""
+    return max(MIN_PARTS, flat_posts(spark, sf_dir).rdd.getNumPartitions())
+
+
 _saved: set[str] = set()
 
 
@@ -116,9 +122,7 @@ def bucketed(
     path = folder(configure(spark), sf_dir, name)
     saved = f"{name}_{path.split('/')[-2]}"
     if path not in _saved:
-        # One bucket per split of the flat posts, so that buckets grow in number, not in size.
-        splits = flat_posts(spark, sf_dir).rdd.getNumPartitions()
-        save_bucketed(build(), key, saved, path, max(MIN_BUCKETS, splits))
+        save_bucketed(build(), key, saved, path, parts(spark, sf_dir))
         _saved.add(path)
     return spark.table(saved)
 

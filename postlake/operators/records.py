@@ -116,7 +116,7 @@ def nesting(parsed: DataFrame) -> tuple[int, bool]:
     """
     plain = F.replace(F.replace("line", F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
     brackets = F.regexp_replace(F.regexp_replace(plain, '"[^"]*"', ""), r"[^\[\]{}]+", "")
-    dotted = plain.rlike(r'"[^"]*\.[^"]*"\s*:')
+    dotted = plain.rlike(r'\.[^"]*"\s*:')
     shapes = (
         parsed.select(brackets.alias("shape"), dotted.alias("dotted"))
         .groupBy("shape")

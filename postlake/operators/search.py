@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions.media import window_start
+from postlake.operators.gather import joined_names, named_entries
 from postlake.operators.numbering import dense_positions
-from postlake.operators.skew import join_even
 from postlake.schemas import ALL_TAG_COLUMNS, LOCAL_WINDOW, TRIMMED_PLAIN_POST, TRIMMED_POST
 
 _MASK_BITS = 63
@@ -111,27 +111,13 @@ def random_posts(ids: DataFrame, n: int, seed: int) -> DataFrame:
 
 
 def build_post_dict(post_tag: DataFrame, tag: DataFrame, post: DataFrame) -> DataFrame:
-    """One record per post: its fields, one tag string per category and all tags.
-
-    Repeats of a tag on a post are counted before the names are joined and gathered; a relation
-    bucketed on the post id needs no exchange for either. Kinds come in alphabetical order.
-    """
-    counted = post_tag.groupBy("post_id", "tag_id").agg(F.count(F.lit(1)).cast("int").alias("n"))
-    named = join_even(counted, tag, ["tag_id"], F.xxhash64("post_id"))
-    # A repeated name is one entry held together by a character that sorts before all others.
-    entry = F.when(F.col("n") == 1, F.col("name")).otherwise(
-        F.array_join(F.array_repeat("name", F.col("n")), "\0")
-    )
-
-    def strings(kind: str) -> Column:
-        entries = F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.col("entry"))))
-        return F.nullif(F.replace(F.array_join(entries, " "), F.lit("\0"), F.lit(" ")), F.lit(""))
-
-    tagged = (
-        named.withColumn("entry", entry)
-        .groupBy(F.col("post_id").alias("id"))
-        .agg(*[strings(kind).alias(column) for kind, column in ALL_TAG_COLUMNS.items()])
-    )
+    """One record per post: its fields, one tag string per category and all tags, the categories in
+    alphabetical order."""
+    strings = [
+        F.nullif(joined_names(kind), F.lit("")).alias(column)
+        for kind, column in ALL_TAG_COLUMNS.items()
+    ]
+    tagged = named_entries(post_tag, tag).groupBy(F.col("post_id").alias("id")).agg(*strings)
     every = F.concat_ws(" ", *ALL_TAG_COLUMNS.values()).alias("tag_string")
     text = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in ALL_TAG_COLUMNS.values()]
     return post.join(tagged, "id", "left").select(*post.columns, *text, every)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions.times import parse_created_at
+from postlake.operators.gather import joined_names, named_entries
 from postlake.operators.normalize import tag_tokens
 from postlake.operators.numbering import dense_positions
 from postlake.operators.skew import join_even
@@ -93,12 +94,13 @@ def collect_names(ranked: DataFrame) -> DataFrame:
     )
 
 
-def tags_grouped_by_kind(post_tag: DataFrame, tag: DataFrame, post_ids: list[int]) -> DataFrame:
-    """(post_id, kind, tags) of some posts: names in order, joined by a space."""
-    related = post_tag.where(F.col("post_id").isin(list(post_ids))).join(tag, "tag_id")
-    return related.groupBy("post_id", "kind").agg(
-        F.array_join(F.sort_array(F.collect_list("name")), " ").alias("tags")
-    )
+def tags_grouped_by_kind(
+    post_tag: DataFrame, tag: DataFrame, post_ids: list[int] | None = None
+) -> DataFrame:
+    """(post_id, kind, tags) of all or some posts: names in order, joined by a space."""
+    if post_ids is not None:
+        post_tag = post_tag.where(F.col("post_id").isin(list(post_ids)))
+    return named_entries(post_tag, tag).groupBy("post_id", "kind").agg(joined_names().alias("tags"))
 
 
 def kinds_ordered(grouped: DataFrame) -> DataFrame:

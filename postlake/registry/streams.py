@@ -29,7 +29,8 @@ def _read_posts(spark, path):
 def stream_ingest_dedup(spark, sf_dir):
     run = fresh_folder(spark, sf_dir, "ingest")
     posts = ingest.arriving_posts(spark, inputs.line_tree(spark, sf_dir), low=50, files_per_batch=1)
-    _finish(ingest.ingest_dedup(posts, f"{run}/out", f"{run}/checkpoint"))
+    parts = fx.parts(spark, sf_dir)
+    _finish(ingest.ingest_dedup(posts, f"{run}/out", f"{run}/checkpoint", parts))
     return _read_posts(spark, f"{run}/out")
 
 
@@ -49,7 +50,10 @@ def stream_ingest_without_id(spark, sf_dir):
 def stream_dedup_bounded(spark, sf_dir):
     run = fresh_folder(spark, sf_dir, "bounded")
     posts = ingest.arriving_posts(spark, inputs.line_tree(spark, sf_dir), low=50, files_per_batch=1)
-    _finish(ingest.ingest_dedup_bounded(posts, f"{run}/out", f"{run}/checkpoint", "1 hour"))
+    parts = fx.parts(spark, sf_dir)
+    _finish(
+        ingest.ingest_dedup_bounded(posts, f"{run}/out", f"{run}/checkpoint", "1 hour", parts)
+    )
     return _read_posts(spark, f"{run}/out")
 
 
@@ -72,7 +76,7 @@ def stream_search_requests(spark, sf_dir):
     arriving = requests.arriving_requests(spark, f"{run}/in", files_per_batch=1)
     _finish(requests.answer_requests(
         arriving, fx.tags(spark, sf_dir), fx.post_tags(spark, sf_dir), f"{run}/out",
-        f"{run}/checkpoint",
+        f"{run}/checkpoint", fx.parts(spark, sf_dir),
     ))
     return requests.answers(spark, f"{run}/out")
 

@@ -105,7 +105,7 @@ def build_post_tag(spark, sf_dir):
 
 @query(
     "tag_post_join",
-    f"""SELECT t.kind, t.name, p.rating, count(*) AS n, sum(p.score) AS score,
+    f"""SELECT t.kind, t.name, p.rating, count(*) AS n, CAST(sum(p.score) AS BIGINT) AS score,
   min({CLOCK.format('p.created_at_utc')}) AS first
 FROM tag t JOIN post_tag pt ON t.tag_id = pt.tag_id JOIN post p ON p.id = pt.post_id GROUP BY ALL""",
     ("tag", "post_tag", "post"),
@@ -173,14 +173,12 @@ def collect_names(spark, sf_dir):
 
 
 _GROUPED = """SELECT post_id, kind, string_agg(name, ' ' ORDER BY name) AS tags
-FROM post_tag JOIN tag USING (tag_id) WHERE post_id IN (2, 9, 14, 257, 1001) GROUP BY post_id, kind"""
+FROM post_tag JOIN tag USING (tag_id) GROUP BY post_id, kind"""
 
 
 @query("tags_grouped_by_kind", _GROUPED, "post_tag")
 def tags_grouped_by_kind(spark, sf_dir):
-    return stats.tags_grouped_by_kind(
-        fx.post_tags(spark, sf_dir), fx.tags(spark, sf_dir), [2, 9, 14, 257, 1001]
-    )
+    return stats.tags_grouped_by_kind(fx.post_tags_by_post(spark, sf_dir), fx.tags(spark, sf_dir))
 
 
 @same_result("kinds_ordered", "tags_grouped_by_kind")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -28,12 +29,27 @@ def start_from(df: DataFrame, out: str) -> None:
     df.write.mode("errorifexists").option("compression", "zstd").parquet(f"{out}/batch=-1")
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
+    """Start streams with ``count`` state partitions. A checkpoint keeps the number of its first
+    start for good, so it is chosen for the data to come, not left to the session."""
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(count or before))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def run_batches(
-    stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]
+    stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None],
+    partitions: int | None = None,
 ) -> StreamingQuery:
-    return (
-        stream.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    with state_partitions(stream.sparkSession, partitions):
+        return (
+            stream.writeStream.foreachBatch(handle)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )

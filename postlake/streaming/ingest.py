@@ -10,6 +10,7 @@ from postlake.operators.records import schema_fixed, unwrap_envelope
 from postlake.operators.search import filter_id_range
 from postlake.schemas import POST_FIELDS, ddl
 from postlake.sources.jsonl import parse_tolerant
+from postlake.streaming.batches import state_partitions
 
 
 def arriving_lines(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
@@ -51,9 +52,13 @@ def _append(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def ingest_dedup(posts: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+def ingest_dedup(
+    posts: DataFrame, out: str, checkpoint: str, partitions: int | None = None
+) -> StreamingQuery:
     """Append each id the first time it arrives. The state holds every id seen."""
-    return _append(posts.where("id IS NOT NULL").dropDuplicates(["id"]), out, checkpoint)
+    once = posts.where("id IS NOT NULL").dropDuplicates(["id"])
+    with state_partitions(posts.sparkSession, partitions):
+        return _append(once, out, checkpoint)
 
 
 def ingest_without_id(posts: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
@@ -62,7 +67,7 @@ def ingest_without_id(posts: DataFrame, out: str, checkpoint: str) -> StreamingQ
 
 
 def ingest_dedup_bounded(
-    posts: DataFrame, out: str, checkpoint: str, delay: str
+    posts: DataFrame, out: str, checkpoint: str, delay: str, partitions: int | None = None
 ) -> StreamingQuery:
     """Like ``ingest_dedup`` with ids forgotten ``delay`` after they arrived.
 
@@ -70,4 +75,5 @@ def ingest_dedup_bounded(
     """
     arrived = posts.where("id IS NOT NULL").withColumn("arrived", F.current_timestamp())
     once = arrived.withWatermark("arrived", delay).dropDuplicatesWithinWatermark(["id"])
-    return _append(once.drop("arrived"), out, checkpoint)
+    with state_partitions(posts.sparkSession, partitions):
+        return _append(once.drop("arrived"), out, checkpoint)

@@ -31,14 +31,15 @@ def answer(requests: DataFrame, tag: DataFrame, post_tag: DataFrame) -> DataFram
 
 
 def answer_requests(
-    requests: DataFrame, tag: DataFrame, post_tag: DataFrame, out: str, checkpoint: str
+    requests: DataFrame, tag: DataFrame, post_tag: DataFrame, out: str, checkpoint: str,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     prepare(requests.sparkSession, out, ANSWER)
 
     def handle(batch: DataFrame, number: int) -> None:
         write_batch(answer(batch, tag, post_tag), out, number)
 
-    return run_batches(requests, checkpoint, handle)
+    return run_batches(requests, checkpoint, handle, partitions)
 
 
 def answers(spark: SparkSession, out: str) -> DataFrame:
