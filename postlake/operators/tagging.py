@@ -51,6 +51,21 @@ def _spellings(token: Column, as_typed_first: bool) -> Column:
     return F.array_distinct(F.array(*([token] if as_typed_first else []), *tries))
 
 
+def _look_up(
+    tokens: DataFrame, dictionary: DataFrame, as_typed_first: bool, how: str
+) -> DataFrame:
+    """Distinct tokens with the dictionary row their first known spelling names. A left join keeps
+    the tokens without one."""
+    carried = [c for c in tokens.columns if c != "token"]
+    spellings = _spellings(F.col("token"), as_typed_first)
+    tries = tokens.select("token", *carried, F.posexplode(spellings).alias("priority", "key"))
+    found = tries.join(dictionary.withColumn("_known", F.lit(True)), "key", how)
+    first = F.min_by(F.struct(*DICTIONARY_FIELDS), F.when(F.col("_known"), F.col("priority")))
+    return found.groupBy("token", *carried).agg(first.alias("tag")).select(
+        "token", *carried, "tag.*"
+    )
+
+
 def resolve_tag_alias(
     tokens: DataFrame, dictionary: DataFrame, as_typed_first: bool = True
 ) -> DataFrame:
@@ -59,18 +74,16 @@ def resolve_tag_alias(
     ``as_typed_first`` tries the token as it stands before the alias spellings, as typing does;
     fetching decides by the alias spellings alone.
     """
-    carried = [c for c in tokens.columns if c != "token"]
-    tries = tokens.select("token", *carried, F.posexplode(
-        _spellings(F.col("token"), as_typed_first)).alias("priority", "key"))
-    found = tries.join(dictionary, "key")
-    row = F.min_by(F.struct(*DICTIONARY_FIELDS), "priority").alias("tag")
-    return found.groupBy("token", *carried).agg(row).select("token", *carried, "tag.*")
+    return _look_up(tokens, dictionary, as_typed_first, "inner")
 
 
 def missing_tags(tokens: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Distinct tokens none of whose alias spellings is known."""
-    resolved = resolve_tag_alias(tokens, dictionary, as_typed_first=False)
-    return tokens.join(resolved.select("token"), "token", "left_anti")
+    spellings = _spellings(F.col("token"), as_typed_first=False)
+    tries = tokens.select("token", F.explode(spellings).alias("key"))
+    known = dictionary.select("key", F.lit(True).alias("_known"))
+    found = tries.join(known, "key", "left").groupBy("token").agg(F.max("_known").alias("_known"))
+    return found.where("_known IS NULL").select("token")
 
 
 def typed_vocabulary(
@@ -78,17 +91,15 @@ def typed_vocabulary(
 ) -> DataFrame:
     """(token, n_uses, type) of all tokens of ``posts``, materialised as it is joined more than
     once. Without ``default`` a token that cannot be resolved fails the job."""
-    usage = token_usage(posts, tags)
-    types = resolve_tag_alias(usage, dictionary).select("token", "type")
     unknown = (
         F.lit(default)
         if default is not None
         else F.raise_error(F.concat(F.lit("tag is not in the dictionary: "), "token")).cast("int")
     )
-    typed = usage.join(types, "token", "left").select(
-        "token", "n_uses", F.coalesce("type", unknown).alias("type")
+    known = _look_up(token_usage(posts, tags), dictionary, as_typed_first=True, how="left")
+    return cut_lineage(
+        known.select("token", "n_uses", F.coalesce("type", unknown).alias("type"))
     )
-    return cut_lineage(typed)
 
 
 def _typed_tokens(
