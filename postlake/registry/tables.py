@@ -78,8 +78,7 @@ def assign_tag_ids(spark, sf_dir):
     "words",
 )
 def assign_tag_ids_words(spark, sf_dir):
-    words = fx.table(spark, sf_dir, "documents").select(F.lit(0).alias("id"), "lang", "text")
-    tokens = words.select(
+    tokens = fx.table(spark, sf_dir, "documents").select(
         F.col("lang").alias("kind"), F.explode(F.split("text", " ")).alias("name")
     ).where("name <> ''")
     return numbering.assign_tag_ids(tokens.distinct())
