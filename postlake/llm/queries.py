@@ -78,3 +78,80 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from postlake.llm.token_counts import count_tokens
 
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_TAKEN = "length(coalesce(text, '')) - length(translate(coalesce(text, ''), '{}', ''))"
+_FEATURES_SQL = rf"""
+docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {_WORDS} AS w,
+  list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l
+  FROM documents),
+wins AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+  FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM docs)),
+reps AS (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM wins
+  WHERE (r, g) IN (SELECT (r, g) FROM wins GROUP BY r, g HAVING count(*) > 1)),
+cover AS (SELECT r, count(DISTINCT p) AS n FROM reps GROUP BY r),
+base AS (SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+  {_TAKEN.format('#*$%&|<>')} AS n_symbols, {_TAKEN.format('ABCDEFGHIJKLMNOPQRSTUVWXYZ')} AS n_upper,
+  {_TAKEN.format('0123456789')} AS n_digits, len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines,
+  coalesce(n, 0) AS n_repeat_words FROM docs LEFT JOIN cover USING (r))"""
+
+
+@_query("op6_quality_rules", rf"""
+WITH {_FEATURES_SQL}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR n_symbols * 4 > n_words OR n_upper * 10 > word_chars * 4
+       OR n_digits * 2 > word_chars OR word_chars > n_words * 25 OR n_dup_lines * 2 > n_lines) AS kept
+FROM base""")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base counts of all documents and the cascade's verdict."""
+    from postlake.llm.quality import BASE_RULES, judge, rejected
+
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    judged = judge(table(spark, sf_dir, "documents"), features=counts)
+    failed = rejected(BASE_RULES[0], F.col("text"), counts) | rejected(BASE_RULES[1], F.col("text"), counts)
+    return judged.select("doc_id", *counts, failed.alias("base_failed"), F.col("rejected_by").isNull().alias("kept"))
+
+
+def _mixing_sql(rounds: int, caps: int, keep: float, power: float) -> str:
+    dims = ("source", "lang", "topic")
+    steps = [rf"""WITH docs AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, text,
+  greatest(len({_WORDS}), 1) AS n_tokens FROM documents),
+tagged AS (SELECT doc_id, source, lang, n_tokens, CASE WHEN {_TAKEN.format('#*$%&|<>')} > n_tokens / 4.0 THEN 'symbols'
+  WHEN ({_TAKEN.format('ABCDEFGHIJKLMNOPQRSTUVWXYZ')}) * 10 > length(array_to_string({_WORDS}, '')) * 4 THEN 'capitals'
+  WHEN n_tokens < 100 THEN 'note' WHEN n_tokens < 1000 THEN 'article' ELSE 'long' END AS topic FROM docs),
+cells AS MATERIALIZED (SELECT source, lang, topic, CAST(sum(n_tokens) AS DOUBLE) AS weight, 1.0::DOUBLE AS f_source, 1.0::DOUBLE AS f_lang,
+  1.0::DOUBLE AS f_topic FROM tagged GROUP BY ALL)"""]
+    for dim in dims:
+        steps.append(f"""t_{dim} AS MATERIALIZED (SELECT {dim}, pow(sum(weight), {power}) / sum(pow(sum(weight), {power})) OVER () AS share
+  FROM cells GROUP BY {dim})""")
+    last = "cells"
+    for at in range(rounds):
+        for dim in dims:
+            rest = " * ".join(f"f_{d}" for d in dims if d != dim)
+            steps.append(f"""s{at}_{dim} AS MATERIALIZED (SELECT c.* EXCLUDE (f_{dim}, share), share / sum(weight * {rest}) OVER (PARTITION BY {dim}) AS f_{dim}
+  FROM (SELECT * FROM {last} JOIN t_{dim} USING ({dim})) c)""")
+            last = f"s{at}_{dim}"
+    steps.append(f"rates AS MATERIALIZED (SELECT source, lang, topic, weight, f_source * f_lang * f_topic AS rate FROM {last})")
+    steps.append(f"k0 AS MATERIALIZED (SELECT {keep} * sum(weight) / sum(weight * rate) AS scale FROM rates)")
+    for at in range(1, caps + 1):
+        steps.append(f"""k{at} AS MATERIALIZED (SELECT greatest(max(scale), coalesce(({keep} * sum(weight) - sum(CASE WHEN rate * scale >= 1.0 THEN weight ELSE 0 END))
+  / nullif(sum(CASE WHEN rate * scale >= 1.0 THEN 0.0 ELSE weight * rate END), 0), 0)) AS scale FROM rates, k{at - 1})""")
+    return ",\n".join(steps) + f"""
+SELECT doc_id, source, lang, topic, n_tokens, round(least(1.0, rate * scale), 9) AS probability,
+  CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 12) AS BIGINT) / 281474976710656.0
+    < least(1.0, rate * scale) AS kept
+FROM tagged JOIN rates USING (source, lang, topic), k{caps}"""
+
+
+@_query("op2_source_mixing", _mixing_sql(8, 6, 0.5, 0.5))
+def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability and draw of all documents, raked to square-root shares of source, language and topic."""
+    from postlake.llm.mixing import mix
+
+    mixed = mix(table(spark, sf_dir, "documents"))
+    return mixed.select(
+        "doc_id", F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang"), "topic",
+        "n_tokens", F.round("probability", 9).alias("probability"), "kept",
+    )
