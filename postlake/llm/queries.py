@@ -155,3 +155,12 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang"), "topic",
         "n_tokens", F.round("probability", 9).alias("probability"), "kept",
     )
+
+
+@_query("op8_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, from their texts, their pages' markup and hosts, or their own."""
+    from postlake.llm.language import identify, page_evidence
+
+    found = identify(table(spark, sf_dir, "documents"), page_evidence(table(spark, sf_dir, "pages")))
+    return found.select("doc_id", "language", F.round("posterior", 6).alias("posterior"), "kept")
