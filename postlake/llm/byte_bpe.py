@@ -227,9 +227,10 @@ def _table(path: str, pattern: str) -> PieceTable:
     return PieceTable(encode)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", out: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", out: str = "ids", decoded: str | None = None) -> DataFrame:
     """(id, ``out``: ARRAY<INT>) for each row: the ids of its whole text, each match of ``pattern``
-    encoded apart, without special tokens.
+    encoded apart, without special tokens. ``decoded`` names a BINARY column for the bytes decoded from
+    those ids, in the same pass.
 
     A null or empty text has no ids (an empty array). Null and repeated ids keep a row each. Other
     columns are not carried. An empty table gives no rows. A text of any length is cut at places no
@@ -244,30 +245,31 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
             rows = np.concatenate([r for r, _ in found]) if found else np.zeros(0, np.int64)
             ids = np.concatenate([i for _, i in found]) if found else np.zeros(0, np.int32)
             offsets = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(texts)))]).astype(np.int32)
-            yield pa.record_batch({
-                id_col: batch.column("id"),
-                out: pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32))),
-            })
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
+            columns = {id_col: batch.column("id"), out: lists}
+            if decoded:
+                columns[decoded] = _decoded(ranks_of(path), lists)
+            yield pa.record_batch(columns)
 
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
-    return rows.mapInArrow(run, f"{id_col} BIGINT, {out} ARRAY<INT>")
+    return rows.mapInArrow(run, f"{id_col} BIGINT, {out} ARRAY<INT>" + (f", {decoded} BINARY" if decoded else ""))
+
+
+def _decoded(ranks: Ranks, lists: pa.ListArray) -> pa.BinaryArray:
+    counts = np.array(lists.value_lengths().fill_null(0), np.int64)
+    ids = lists.flatten().to_numpy(zero_copy_only=False)
+    ends = np.concatenate([[0], np.cumsum(ranks.lengths[ids])])[np.concatenate([[0], np.cumsum(counts)])]
+    data = pa.py_buffer(ranks.decode(ids).tobytes())
+    return pa.BinaryArray.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(ends.astype(np.int32)), data])
 
 
 def decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """(id, ids, ``out``: BINARY): the bytes the ids of each row stand for; none for null or no ids."""
 
     def run(batches):
-        ranks = ranks_of(path)
         for batch in batches:
             lists = batch.column("ids")
-            counts = np.array(lists.value_lengths().fill_null(0), np.int64)
-            ids = lists.flatten().to_numpy(zero_copy_only=False)
-            data = ranks.decode(ids).tobytes()
-            per_row = np.concatenate([[0], np.cumsum(ranks.lengths[ids])])[np.concatenate([[0], np.cumsum(counts)])]
-            yield pa.record_batch({
-                id_col: batch.column("id"), ids_col: lists,
-                out: pa.array([data[a:b] for a, b in zip(per_row[:-1].tolist(), per_row[1:].tolist())], pa.binary()),
-            })
+            yield pa.record_batch({id_col: batch.column("id"), ids_col: lists, out: _decoded(ranks_of(path), lists)})
 
     rows = tokens.select(tokens[id_col].cast("long").alias("id"), tokens[ids_col].alias("ids"))
     return rows.mapInArrow(run, f"{id_col} BIGINT, {ids_col} ARRAY<INT>, {out} BINARY")

@@ -17,6 +17,8 @@ def _query(name: str, sql: str | None = None):
     def register(run):
         def configured(spark: SparkSession, sf_dir: str) -> DataFrame:
             configure(spark)
+            # Texts of any length go to Python: few rows at a time bound what a batch holds.
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
             return run(spark, sf_dir)
 
         QUERIES[name] = configured
@@ -59,10 +61,10 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of all documents and of the bytes decoded from them."""
     import public_tokenizers
 
-    from postlake.llm.byte_bpe import decode, encode
+    from postlake.llm.byte_bpe import encode
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    tokens = decode(encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path)
+    tokens = encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, decoded="decoded")
     return tokens.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
@@ -164,3 +166,13 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = identify(table(spark, sf_dir, "documents"), page_evidence(table(spark, sf_dir, "pages")))
     return found.select("doc_id", "language", F.round("posterior", 6).alias("posterior"), "kept")
+
+
+@_query("op5_toxicity")
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents; labels of a fifth of the ids are never seen."""
+    from postlake.llm.toxicity import fit, held_out, score
+
+    docs = table(spark, sf_dir, "documents")
+    scored = score(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", "predicted")
