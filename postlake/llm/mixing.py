@@ -102,33 +102,34 @@ def draw(identity: Column, seed: str) -> Column:
 def mix(
     docs: DataFrame, keep: float = 0.5, power: float = 0.5, targets: Mapping[str, DataFrame] | None = None,
     rounds: int = ROUNDS, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text",
-    source_col: str = "source", lang_col: str = "lang", topic: Column | None = None,
+    source_col: str = "source", lang_col: str = "lang", topic: Column | None = None, prefix: str = "",
 ) -> DataFrame:
-    """``docs`` with ``topic``, ``n_tokens``, ``probability`` and ``kept``.
+    """``docs`` with ``topic``, ``n_tokens``, ``probability`` and ``kept``, each behind ``prefix``.
 
     Without ``targets`` each dimension's natural shares to ``power`` are aimed at. A null source,
     language or topic is the value ''. A null or empty text counts as one token. The draw hangs on
     ``seed`` and the id alone: rows that share an id share their fate, a null id draws like the text
     'null'. Columns of ``docs`` named like a new one are replaced. An empty table gives no rows.
     """
-    names = {"_source": source_col, "_lang": lang_col}
     text = F.col(text_col)
     tagged = docs.withColumns({
-        "_source": F.coalesce(F.col(names["_source"]).cast("string"), F.lit("")),
-        "_lang": F.coalesce(F.col(names["_lang"]).cast("string"), F.lit("")), "n_tokens": token_weight(text),
+        "_source": F.coalesce(F.col(source_col).cast("string"), F.lit("")),
+        "_lang": F.coalesce(F.col(lang_col).cast("string"), F.lit("")), "_weight": token_weight(text),
     })
     tagged = tagged.withColumn(
-        "topic", F.coalesce(topic if topic is not None else text_topic(text, F.col("n_tokens")), F.lit(""))
+        "_topic", F.coalesce(topic if topic is not None else text_topic(text, F.col("_weight")), F.lit(""))
     )
     cells = cut_lineage(tagged.groupBy(
-        F.col("_source").alias("source"), F.col("_lang").alias("lang"), "topic"
-    ).agg(F.sum("n_tokens").cast("double").alias("weight")))
+        F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic")
+    ).agg(F.sum("_weight").cast("double").alias("weight")))
     rates = probabilities(fit(cells, targets or tempered(cells, power), rounds), keep)
     rates = cut_lineage(rates.select(
         F.col("source").alias("_s"), F.col("lang").alias("_l"), F.col("topic").alias("_t"), F.col("probability").alias("_p")
     ))
-    same = (F.col("_source") == F.col("_s")) & (F.col("_lang") == F.col("_l")) & (F.col("topic") == F.col("_t"))
+    same = (F.col("_source") == F.col("_s")) & (F.col("_lang") == F.col("_l")) & (F.col("_topic") == F.col("_t"))
     identity = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
-    return tagged.join(rates, same, "left").withColumn("probability", F.coalesce("_p", F.lit(0.0))).withColumn(
-        "kept", draw(identity, seed) < F.col("probability")
-    ).drop("_s", "_l", "_t", "_p", "_source", "_lang")
+    probability = F.coalesce("_p", F.lit(0.0))
+    return tagged.join(rates, same, "left").withColumns({
+        prefix + "topic": F.col("_topic"), prefix + "n_tokens": F.col("_weight"), prefix + "probability": probability,
+        prefix + "kept": draw(identity, seed) < probability,
+    }).drop("_s", "_l", "_t", "_p", "_source", "_lang", "_topic", "_weight")

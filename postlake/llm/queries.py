@@ -13,12 +13,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def prepare(spark: SparkSession) -> None:
+    """Settings of the session that the operators rely on."""
+    configure(spark)
+    # Texts of any length go to Python: few rows at a time bound what a batch holds.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+
+
 def _query(name: str, sql: str | None = None):
     def register(run):
         def configured(spark: SparkSession, sf_dir: str) -> DataFrame:
-            configure(spark)
-            # Texts of any length go to Python: few rows at a time bound what a batch holds.
-            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+            prepare(spark)
             return run(spark, sf_dir)
 
         QUERIES[name] = configured
@@ -176,3 +181,83 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = score(docs, fit(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@_query("op7_embedding_dedup")
+def embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at a cosine of 0.9."""
+    from postlake.llm.embeddings import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+TOOLS = {
+    "search": {"query": ("string", True), "limit": ("integer", False)},
+    "summarise": {"text": ("string", True), "brief": ("boolean", True)},
+    "measure": {"of": ("string", True), "unit": ("string", True)},
+}
+
+
+def derived_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(calls, results) that turns of plain talk imply: an assistant's turn calls a tool on its text, and
+    depends on the assistant's call before it but for every fourth; the user's next turn is its result.
+    Lengths of texts decide which calls break their schema."""
+    text, n = F.coalesce("text", F.lit("")), F.length(F.coalesce("text", F.lit("")))
+    kind = F.pmod(F.col("conv_id") + F.col("turn"), F.lit(3))
+    limit = F.when(n % 11 == 0, F.format_string('"%d"', n)).otherwise(n.cast("string"))
+    quoted = F.expr("substring(to_json(named_struct('t', coalesce(text, ''))), 6)")  # the text as JSON and a brace
+    arguments = (
+        F.when(kind == 0, F.concat(F.lit('{"limit": '), limit, F.lit(', "query":'), quoted))
+        .when(kind == 1, F.concat(F.when(n % 5 == 0, F.lit('{"text":')).otherwise(F.concat(F.lit('{"brief":'), (n % 2 == 0).cast("string"), F.lit(',"text":'))), quoted))
+        .otherwise(F.concat(F.when(n % 7 == 0, F.lit('{"extra":null,')).otherwise(F.lit("{")), F.lit('"unit":"chars", "of":'), quoted))
+    )
+    name = F.when(kind == 0, "search").when(kind == 1, "summarise").otherwise("measure")
+
+    def call(turn):
+        return F.concat(F.lit("call_"), F.col("conv_id").cast("string"), F.lit("_"), turn.cast("string"))
+
+    turn = F.col("turn")
+    calls = conversations.where("role = 'assistant'").select(
+        "conv_id", "turn", call(turn).alias("call_id"), name.alias("name"), arguments.alias("arguments"),
+        F.when(F.floor(turn / 2) % 4 != 0, F.array(call(turn - 2))).otherwise(F.array().cast("array<string>")).alias("depends_on"),
+    )
+    results = conversations.where("role = 'user' AND turn > 0").select(
+        "conv_id", "turn", call(turn - 1).alias("call_id"), text.alias("content")
+    )
+    return calls, results
+
+
+@_query("op10_tool_calls", r"""
+WITH RECURSIVE calls AS (SELECT conv_id, turn, 'call_' || conv_id || '_' || turn AS call_id, (conv_id + turn) % 3 AS k,
+  coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+  CASE WHEN (turn // 2) % 4 <> 0 THEN 'call_' || conv_id || '_' || (turn - 2) END AS dep
+  FROM conversations WHERE role = 'assistant'),
+results AS (SELECT conv_id, turn, 'call_' || conv_id || '_' || (turn - 1) AS call_id, coalesce(text, '') AS content
+  FROM conversations WHERE role = 'user' AND turn > 0),
+nodes AS (SELECT conv_id, call_id, min(turn) AS first FROM calls GROUP BY ALL),
+edges AS (SELECT DISTINCT c.conv_id, c.call_id, c.dep FROM calls c JOIN nodes d ON c.conv_id = d.conv_id AND c.dep = d.call_id),
+depth AS (SELECT conv_id, call_id, 0 AS level FROM nodes UNION
+  SELECT e.conv_id, e.call_id, level + 1 FROM depth d JOIN edges e ON e.conv_id = d.conv_id AND e.dep = d.call_id),
+levels AS (SELECT conv_id, call_id, max(level) AS level FROM depth GROUP BY ALL),
+answers AS (SELECT conv_id, call_id, min(struct_pack(turn := turn, content := content)) AS a FROM results GROUP BY ALL),
+shaped AS (SELECT c.*, level, first, CASE WHEN c.turn <> first THEN 'repeated' WHEN a IS NULL THEN 'unanswered' ELSE 'linked' END AS status, a,
+  ['search', 'summarise', 'measure'][k + 1] AS name,
+  CASE k WHEN 0 THEN '{"limit":' || CASE WHEN n % 11 = 0 THEN '"' || n || '"' ELSE n::VARCHAR END || ',"query":' || to_json(t) || '}'
+    WHEN 1 THEN CASE WHEN n % 5 = 0 THEN '{"text":' ELSE '{"brief":' || (n % 2 = 0) || ',"text":' END || to_json(t) || '}'
+    ELSE CASE WHEN n % 7 = 0 THEN '{"extra":null,"of":' ELSE '{"of":' END || to_json(t) || ',"unit":"chars"}' END AS arguments,
+  CASE k WHEN 0 THEN CASE WHEN n % 11 = 0 THEN 'limit is no integer' END WHEN 1 THEN CASE WHEN n % 5 = 0 THEN 'brief is missing' END
+    ELSE CASE WHEN n % 7 = 0 THEN 'extra is unknown' END END AS error
+  FROM calls c JOIN nodes USING (conv_id, call_id) JOIN levels USING (conv_id, call_id) LEFT JOIN answers USING (conv_id, call_id))
+SELECT conv_id, turn, call_id, level::INT AS level, status, CASE WHEN error IS NULL THEN 0 ELSE 1 END::BIGINT AS n_errors,
+  '{"arguments":' || arguments || CASE WHEN error IS NULL THEN '' ELSE ',"errors":["' || error || '"]' END || ',"id":"' || call_id || '","level":' || level
+  || ',"name":"' || name || '"' || CASE WHEN status = 'linked' THEN ',"result":{"content":' || to_json(a.content) || ',"turn":' || a.turn || '}' ELSE '' END
+  || ',"role":"assistant","status":"' || status || '","turn":' || turn || '}' AS json
+FROM shaped
+UNION ALL
+SELECT conv_id, turn, call_id, NULL, 'orphan', 0, '{"content":' || to_json(content) || ',"id":"' || call_id || '","role":"tool","status":"orphan","turn":' || turn || '}'
+FROM results r WHERE NOT EXISTS (SELECT 1 FROM nodes n WHERE n.conv_id = r.conv_id AND n.call_id = r.call_id)""")
+def tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calls and results that all conversations imply: linked, ordered, validated, as canonical JSON."""
+    from postlake.llm.tool_calls import link
+
+    return link(*derived_calls(table(spark, sf_dir, "conversations")), TOOLS)
