@@ -18,9 +18,9 @@ import pyarrow as pa
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= \S)")
 
 #: Characters of text per step; longer texts are cut at safe boundaries into parts of about this size.
-STEP_CHARS = 1 << 20
+STEP_CHARS = 1 << 21
 #: Distinct pieces kept by a Python worker before it starts anew.
-TABLE_LIMIT = 300_000
+TABLE_LIMIT = 500_000
 
 
 def byte_level_pieces(text: str) -> list[str]:
@@ -28,9 +28,10 @@ def byte_level_pieces(text: str) -> list[str]:
     return _BEFORE_SPACE.split(text) if text else []
 
 
-def word_pieces(text: str) -> list[str]:
-    """Pieces for vocabularies that drop white space: the words between spaces and line ends."""
-    return text.replace("\n", " ").split(" ")
+def word_pieces(text: str) -> list[bytes]:
+    """Pieces for vocabularies that drop white space and case: the words between spaces and line ends,
+    in UTF-8, A-Z in lower case (which changes no composition of letters and marks)."""
+    return text.encode().lower().replace(b"\n", b" ").split(b" ")
 
 
 def parts(text: str, size: int = STEP_CHARS) -> Iterator[str]:

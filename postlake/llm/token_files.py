@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from postlake.llm.pieces import encoded_rows, small_batches, word_pieces
 from postlake.llm.simple8b import Shard, pack_shard
 from postlake.llm.tokenizers_files import library_table
-from postlake.session import cut_lineage
+from postlake.session import cut_lineage, shuffle_partitions
 
 MANIFEST = "part INT, shard INT, path STRING, n_docs BIGINT, n_ids BIGINT, first_doc BIGINT, last_doc BIGINT"
 
@@ -128,4 +128,7 @@ def read_documents(manifest: DataFrame, folder: str, with_ids: bool = False, id_
         return pa.record_batch(columns)
 
     schema = f"{id_col} BIGINT, start BIGINT, n_tokens BIGINT, ids_crc32 BIGINT"
-    return cut_lineage(placed).repartition("path").mapInArrow(run, schema + (", ids ARRAY<INT>" if with_ids else ""))
+    placed = cut_lineage(placed)
+    # A number given is kept: a shard is work enough for a task, however few bytes its row has.
+    tasks = max(1, min(placed.count(), 4 * shuffle_partitions(placed.sparkSession)))
+    return placed.repartition(tasks, "path").mapInArrow(run, schema + (", ids ARRAY<INT>" if with_ids else ""))
