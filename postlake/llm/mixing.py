@@ -111,14 +111,14 @@ def mix(
     ``seed`` and the id alone: rows that share an id share their fate, a null id draws like the text
     'null'. Columns of ``docs`` named like a new one are replaced. An empty table gives no rows.
     """
-    text = F.col(text_col)
-    tagged = docs.withColumns({
-        "_source": F.coalesce(F.col(source_col).cast("string"), F.lit("")),
-        "_lang": F.coalesce(F.col(lang_col).cast("string"), F.lit("")), "_weight": token_weight(text),
-    })
-    tagged = tagged.withColumn(
-        "_topic", F.coalesce(topic if topic is not None else text_topic(text, F.col("_weight")), F.lit(""))
+    tagged = docs.select(
+        F.struct(*map(F.col, docs.columns)).alias("_row"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("_source"),
+        F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("_lang"), F.col(id_col).cast("string").alias("_id"),
+        F.col(text_col).alias("_text"), token_weight(F.col(text_col)).alias("_weight"),
+        *([topic.alias("_given")] if topic is not None else []),
     )
+    kind = F.col("_given") if topic is not None else text_topic(F.col("_text"), F.col("_weight"))
+    tagged = tagged.withColumn("_topic", F.coalesce(kind, F.lit("")))
     cells = cut_lineage(tagged.groupBy(
         F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic")
     ).agg(F.sum("_weight").cast("double").alias("weight")))
@@ -127,9 +127,10 @@ def mix(
         F.col("source").alias("_s"), F.col("lang").alias("_l"), F.col("topic").alias("_t"), F.col("probability").alias("_p")
     ))
     same = (F.col("_source") == F.col("_s")) & (F.col("_lang") == F.col("_l")) & (F.col("_topic") == F.col("_t"))
-    identity = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
     probability = F.coalesce("_p", F.lit(0.0))
-    return tagged.join(rates, same, "left").withColumns({
+    new = {
         prefix + "topic": F.col("_topic"), prefix + "n_tokens": F.col("_weight"), prefix + "probability": probability,
-        prefix + "kept": draw(identity, seed) < probability,
-    }).drop("_s", "_l", "_t", "_p", "_source", "_lang", "_topic", "_weight")
+        prefix + "kept": draw(F.coalesce("_id", F.lit("null")), seed) < probability,
+    }
+    own = [F.col("_row")[c].alias(c) for c in docs.columns if c not in new]
+    return tagged.join(rates, same, "left").select(*own, *(column.alias(name) for name, column in new.items()))

@@ -193,19 +193,18 @@ def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col
 
     Ids are counted apart from the texts, and only rows under a repeated id or none are ranked.
     """
-
-    def smallest(rows: DataFrame, key: str) -> DataFrame:
-        order = F.struct(F.col(text_col), *(F.col(c) for c in docs.columns if c != text_col))
-        best = rows.groupBy(key).agg(F.min_by(F.struct(*(F.col(c) for c in docs.columns)), order).alias("_row"))
-        return best.select("_row.*")
-
-    first = found.where(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias("_id"))
-    first = cut_lineage(first.agg(F.count(F.lit(1)).alias("_n")))
-    kept = docs.join(first, docs[id_col] == F.col("_id"))
-    once = kept.where("_n = 1").select(*docs.columns)
-    again = smallest(kept.where("_n > 1"), id_col)
+    others = [F.col(c) for c in docs.columns if c != text_col]
+    rows = docs.select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(F.col(text_col), *others).alias("order"),
+        F.struct(*map(F.col, docs.columns)).alias("row"),
+    )
+    first = found.where(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias("id"))
+    kept = rows.join(cut_lineage(first.agg(F.count(F.lit(1)).alias("n"))), "id")
+    once = kept.where("n = 1").select("row.*")
+    smallest = F.min_by("row", "order").alias("row")
+    again = kept.where("n > 1").groupBy("id").agg(smallest).select("row.*")
     nameless = found.where("component_id IS NULL").select(
-        F.conv("fingerprint", 16, -10).cast("long").alias("_fp"), F.col("component").alias("_component")
+        F.conv("fingerprint", 16, -10).cast("long").alias("fp"), "component"
     ).distinct()
-    lost = docs.where(docs[id_col].isNull()).withColumn("_fp", _fingerprint_column(text_col)).join(nameless, "_fp")
-    return once.unionByName(again).unionByName(smallest(lost, "_component"))
+    lost = rows.where("id IS NULL").withColumn("fp", _fingerprint_column("text")).join(nameless, "fp")
+    return once.unionByName(again).unionByName(lost.groupBy("component").agg(smallest).select("row.*"))
