@@ -193,18 +193,15 @@ def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col
 
     Ids are counted apart from the texts, and only rows under a repeated id or none are ranked.
     """
-    others = [F.col(c) for c in docs.columns if c != text_col]
-    rows = docs.select(
-        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(F.col(text_col), *others).alias("order"),
-        F.struct(*map(F.col, docs.columns)).alias("row"),
-    )
+    rows = docs.select(F.col(id_col).alias("id"), F.struct(*map(F.col, docs.columns)).alias("row"))
+    order = F.struct(*(F.col("row")[c] for c in [text_col, *(c for c in docs.columns if c != text_col)]))
     first = found.where(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias("id"))
     kept = rows.join(cut_lineage(first.agg(F.count(F.lit(1)).alias("n"))), "id")
     once = kept.where("n = 1").select("row.*")
-    smallest = F.min_by("row", "order").alias("row")
+    smallest = F.min_by("row", order).alias("row")
     again = kept.where("n > 1").groupBy("id").agg(smallest).select("row.*")
     nameless = found.where("component_id IS NULL").select(
         F.conv("fingerprint", 16, -10).cast("long").alias("fp"), "component"
     ).distinct()
-    lost = rows.where("id IS NULL").withColumn("fp", _fingerprint_column("text")).join(nameless, "fp")
+    lost = rows.where("id IS NULL").withColumn("fp", _fingerprint_column(F.col("row")[text_col])).join(nameless, "fp")
     return once.unionByName(again).unionByName(lost.groupBy("component").agg(smallest).select("row.*"))
