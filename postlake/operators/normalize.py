@@ -13,15 +13,18 @@ from postlake.schemas import TAG_COLUMNS
 
 
 def post_table(flat: DataFrame) -> DataFrame:
+    """The fields of a post that records and statistics need; ``file_url`` is NULL where flat posts
+    lack the column."""
+    url = F.col("file_url") if "file_url" in flat.columns else F.lit(None).cast("string")
     return flat.select(
-        "id", "created_at", "score", "rating",
+        "id", "created_at", "score", "rating", url.alias("file_url"),
         parse_created_at(F.col("created_at")).alias("created_at_utc"),
     )
 
 
 def tag_tokens(flat: DataFrame, carry: list, kinds: dict[str, str] | None = None) -> DataFrame:
     """One row per non-empty token of every kind: ``carry`` columns, kind, name."""
-    kinds = kinds or TAG_COLUMNS
+    kinds = kinds or {k: c for k, c in TAG_COLUMNS.items() if c in flat.columns}
     strings = F.array(
         *[F.struct(F.lit(k).alias("kind"), F.col(c).alias("tags")) for k, c in kinds.items()]
     )

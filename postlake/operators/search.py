@@ -11,7 +11,6 @@ from postlake.operators.numbering import dense_positions
 from postlake.schemas import ALL_TAG_COLUMNS, LOCAL_WINDOW, TRIMMED_PLAIN_POST, TRIMMED_POST
 
 _MASK_BITS = 63
-ONE_TASK_ROWS = 100_000
 
 
 def filter_id_range(df: DataFrame, low: int | None, high: int | None, key: str = "id") -> DataFrame:
@@ -83,17 +82,15 @@ def search_min_score(
     post_tag: DataFrame, tag: DataFrame, post: DataFrame, names: list[str], minimum: int
 ) -> DataFrame:
     matches = search_intersect(post_tag, tag, names)
-    scored = post.where(F.col("score") >= minimum).select(F.col("id").alias("post_id"))
+    scored = filter_min_score(post, minimum).select(F.col("id").alias("post_id"))
     return matches.join(scored, "post_id", "left_semi")
 
 
 def _rows_between(ids: DataFrame, start: int, end: int) -> DataFrame:
-    """Rows ``start`` to ``end`` in id order. Up to ONE_TASK_ROWS they are picked by a top-n sort,
-    which ends in one task; more are numbered in parallel."""
-    if end <= ONE_TASK_ROWS:
-        return ids.orderBy("post_id").offset(start).limit(end - start)
+    """Rows ``start`` to ``end`` in id order: numbered in parallel, so that no size of page or cap
+    gathers in one task, and sorted again, as numbered rows come back in no order."""
     placed = dense_positions(ids, ["post_id"], "_at")
-    return placed.where(F.col("_at").between(start, end - 1)).drop("_at")
+    return placed.where(F.col("_at").between(start, end - 1)).drop("_at").orderBy("post_id")
 
 
 def search_page(ids: DataFrame, page: int, size: int) -> DataFrame:
@@ -106,8 +103,11 @@ def search_all_capped(ids: DataFrame, max_posts: int | None = None) -> DataFrame
 
 
 def random_posts(ids: DataFrame, n: int, seed: int) -> DataFrame:
-    """``n`` matches in random order. Hashing the id makes the draw repeatable under retries."""
-    return ids.orderBy(F.xxhash64("post_id", F.lit(seed)), "post_id").limit(n)
+    """``n`` matches in random order. Hashing the id makes the draw repeatable under retries, and
+    numbering the hashes in parallel keeps any ``n`` out of one task."""
+    drawn = ids.withColumn("_draw", F.md5(F.concat(F.lit(f"{seed}:"), F.col("post_id").cast("string"))))
+    placed = dense_positions(drawn, ["_draw", "post_id"], "_at")
+    return placed.where(F.col("_at") < n).orderBy("_at").select(*ids.columns)
 
 
 def build_post_dict(post_tag: DataFrame, tag: DataFrame, post: DataFrame) -> DataFrame:
@@ -138,10 +138,10 @@ def id_window_coverage(post: DataFrame, low: int, high: int, size: int) -> DataF
     """
     first = low - low % size
     windows = post.sparkSession.range(first, high + 1, size).withColumnRenamed("id", "window")
-    ids = post.where(F.col("id").between(low, high)).select("id").distinct()
+    ids = post.where(F.col("id").between(low, high)).select("id")
     present = ids.groupBy(window_start(F.col("id"), size).alias("window")).agg(
-        F.count(F.lit(1)).alias("n_posts"), F.collect_list("id").alias("_ids")
-    )
+        F.collect_set("id").alias("_ids")
+    ).withColumn("n_posts", F.size("_ids").cast("bigint"))
     start, end = F.greatest("window", F.lit(low)), F.least(F.col("window") + size - 1, F.lit(high))
     found = F.coalesce(F.col("_ids"), F.array().cast("array<bigint>"))
     return windows.join(present, "window", "left").select(

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than 1/HOT_SHARE of all rows, so there are fewer than HOT_SHARE
-# hot keys however large the data is: that bounds the broadcast of the hot keys.
-HOT_SHARE = 200
-SALTS = 64
+from postlake.session import shuffle_partitions
+
+# A key is hot when it holds more rows than a partition should: a share of 1/n for n partitions. There
+# are fewer than n hot keys however large the data is, which bounds the broadcast of the hot keys; no
+# more than MOST_HOT are told apart.
+MOST_HOT = 10_000
 
 # Raw bytes up to which a dimension is broadcast; measured, never assumed.
 BROADCAST_BYTES = 64 << 20
@@ -27,9 +29,12 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
 
 
 def hot_keys(dimension: DataFrame, on: list[str], weight: str) -> DataFrame:
-    """Keys of ``dimension`` whose ``weight`` (rows they match) exceeds 1/HOT_SHARE of the sum."""
-    limit = dimension.agg(F.sum(weight) / HOT_SHARE).scalar()
-    return dimension.where(F.col(weight) > limit).select(*on)
+    """Keys of ``dimension`` whose ``weight`` (rows they match) exceeds a partition's share of the sum,
+    with ``_salts``: how many partitions' worth of rows they hold."""
+    parts = min(shuffle_partitions(dimension.sparkSession), MOST_HOT)
+    share = dimension.agg(F.sum(weight) / parts).scalar()
+    salts = F.ceil(F.col(weight) / share).cast("int").alias("_salts")
+    return dimension.where(F.col(weight) > share).select(*on, salts)
 
 
 def join_even(
@@ -39,8 +44,8 @@ def join_even(
     """Join ``facts`` to ``dimension``, which holds each key once.
 
     A dimension measured below ``limit`` is broadcast. Above it, rows of a hot key are spread over
-    SALTS partitions by ``spread`` (a deterministic hash, so that a task run again after a loss
-    sends its rows to the same places) and the hot key is repeated once per salt. ``weight`` names
+    as many salts as it fills partitions by ``spread`` (a deterministic hash, so that a task run again
+    after a loss sends its rows to the same places) and the hot key is repeated once per salt. ``weight`` names
     a column of the dimension that holds the rows each key matches; without it they are counted.
     """
     values = dimension.drop(weight) if weight else dimension
@@ -51,11 +56,9 @@ def join_even(
     else:
         weight = "_rows"
         weighted = facts.groupBy(*on).agg(F.count(F.lit(1)).alias(weight))
-    hot = F.broadcast(hot_keys(weighted, on, weight).withColumn("_hot", F.lit(True)))
-    salt = F.when(F.col("_hot"), F.pmod(spread, F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
-    salted = facts.join(hot, on, "left").withColumn("_salt", salt).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    repeated = values.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    hot = F.broadcast(hot_keys(weighted, on, weight))
+    salt = F.when(F.col("_salts") > 0, F.pmod(spread, F.col("_salts")).cast("int")).otherwise(F.lit(0))
+    salted = facts.join(hot, on, "left").withColumn("_salt", salt).drop("_salts")
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+    repeated = values.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlake.functions.times import parse_created_at
@@ -73,11 +73,16 @@ def filter_stats(stats: DataFrame, start: dt.datetime, min_count: int) -> DataFr
 
 
 def rank_new_tags(stats: DataFrame, start: dt.datetime, min_count: int) -> DataFrame:
-    return filter_stats(stats, start, min_count).orderBy(F.desc("post_count"), "tag_name")
+    """All kinds in one pass, each in rank order: most uses first, ties by name."""
+    return filter_stats(stats, start, min_count).orderBy("kind", F.desc("post_count"), "tag_name")
 
 
 def top_new_tags(stats: DataFrame, start: dt.datetime, min_count: int, n: int = 20) -> DataFrame:
-    return rank_new_tags(stats, start, min_count).limit(n)
+    """The first ``n`` of each kind in rank order. Each task keeps ``n`` per kind ahead of the
+    shuffle, so that a kind gathers no more than that from every task."""
+    in_kind = Window.partitionBy("kind").orderBy(F.desc("post_count"), "tag_name")
+    ranked = filter_stats(stats, start, min_count).withColumn("_rank", F.row_number().over(in_kind))
+    return ranked.where(F.col("_rank") <= n).drop("_rank").orderBy("kind", F.desc("post_count"), "tag_name")
 
 
 def collect_names(ranked: DataFrame) -> DataFrame:

@@ -25,13 +25,17 @@ SELECT id, kind, name FROM (
   UNION ALL
   SELECT id, 'character', unnest(string_split(tag_string_character, ' ')) FROM post_src
   UNION ALL
-  SELECT id, 'artist', unnest(string_split(tag_string_artist, ' ')) FROM post_src)
+  SELECT id, 'artist', unnest(string_split(tag_string_artist, ' ')) FROM post_src
+  UNION ALL
+  SELECT id, 'copyright', unnest(string_split(tag_string_copyright, ' ')) FROM post_src
+  UNION ALL
+  SELECT id, 'meta', unnest(string_split(tag_string_meta, ' ')) FROM post_src)
 WHERE name <> ''""",
     "tag": """
 SELECT CAST(row_number() OVER (ORDER BY kind, name) - 1 AS BIGINT) AS tag_id, name, kind
 FROM (SELECT DISTINCT kind, name FROM tok)""",
     "post": """
-SELECT id, created_at, score, rating,
+SELECT id, created_at, score, rating, file_url,
        CASE WHEN created_at = 'bad' THEN NULL
             ELSE CAST(CAST(created_at AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS TIMESTAMP) END
          AS created_at_utc

@@ -8,6 +8,7 @@ from postlake import fixtures as fx
 from postlake.operators import search
 from postlake.registry import inputs
 from postlake.registry.base import CLOCK, clock, define, query
+from postlake.schemas import TRIMMED_POST
 
 NAMES = ["red", "plate", "new"]
 _MATCH = " INTERSECT ".join(
@@ -26,7 +27,7 @@ def search_intersect(spark, sf_dir):
 
 @query(
     "search_min_score",
-    f"SELECT post_id FROM ({_MATCH}) JOIN post ON id = post_id WHERE score >= 51",
+    f"SELECT post_id FROM ({_MATCH}) JOIN post ON id = post_id WHERE coalesce(score, 0) >= 51",
     ("post_tag", "post"),
 )
 def search_min_score(spark, sf_dir):
@@ -45,7 +46,11 @@ def search_all_capped(spark, sf_dir):
     return search.search_all_capped(_matches(spark, sf_dir), max_posts=500)
 
 
-@query("random_posts")
+@query(
+    "random_posts",
+    f"SELECT post_id FROM ({_MATCH}) ORDER BY md5('7:' || post_id), post_id LIMIT 100",
+    "post_tag",
+)
 def random_posts(spark, sf_dir):
     return search.random_posts(_matches(spark, sf_dir), 100, seed=7)
 
@@ -70,10 +75,10 @@ _PER_KIND = ", ".join(
     for k in ("artist", "character", "copyright", "general", "meta")
 )
 _POST_DICT = f"""
-SELECT p.id, p.score, p.rating, {_PER_KIND.replace('name', 't.name').replace('kind', 't.kind')},
+SELECT p.id, p.created_at, {CLOCK.format('p.created_at_utc')} AS created_at_utc, p.file_url, p.score, p.rating, {_PER_KIND.replace('name', 't.name').replace('kind', 't.kind')},
   coalesce(string_agg(t.name, ' ' ORDER BY t.kind, t.name), '') AS tag_string
 FROM post p LEFT JOIN post_tag pt ON pt.post_id = p.id LEFT JOIN tag t ON t.tag_id = pt.tag_id
-GROUP BY p.id, p.score, p.rating"""
+GROUP BY p.id, p.created_at, p.created_at_utc, p.file_url, p.score, p.rating"""
 
 
 @query("build_post_dict", _POST_DICT, ("post", "post_tag"))
@@ -81,21 +86,21 @@ def build_post_dict(spark, sf_dir):
     records = search.build_post_dict(
         fx.post_tags_by_post(spark, sf_dir), fx.tags(spark, sf_dir), fx.posts(spark, sf_dir)
     )
-    return records.drop("created_at", "created_at_utc")
+    return records.withColumn("created_at_utc", clock("created_at_utc"))
+
+
+_TRIMMED = [f"coalesce({c}, '') AS {c}" for c in TRIMMED_POST if c not in ("id", "score")]
 
 
 @query(
     "trim_post",
-    "SELECT id, coalesce(created_at, '') AS created_at, file_url, rating, score, tag_string, "
-    "coalesce(tag_string_general, '') AS tag_string_general FROM post_src",
+    f"SELECT id, {', '.join(_TRIMMED)}, score FROM post_src",
     "post_src",
 )
 def trim_post(spark, sf_dir):
     trimmed = search.trim_post(fx.flat_posts(spark, sf_dir))
-    return trimmed.select(
-        "id", "created_at", "file_url", "rating", "score", "tag_string",
-        F.coalesce("tag_string_general", F.lit("")).alias("tag_string_general"),
-    )
+    texts = [c for c in TRIMMED_POST if c not in ("id", "score")]
+    return trimmed.withColumns({c: F.coalesce(c, F.lit("")) for c in texts})
 
 
 @query(

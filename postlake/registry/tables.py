@@ -25,7 +25,7 @@ def _readable(rows):
 
 @query(
     "post_table",
-    f"SELECT id, created_at, score, rating, {CLOCK.format('created_at_utc')} AS created_at_utc FROM post",
+    f"SELECT id, created_at, score, rating, file_url, {CLOCK.format('created_at_utc')} AS created_at_utc FROM post",
     "post",
 )
 def post_table(spark, sf_dir):
@@ -41,10 +41,7 @@ def distinct_tags_by_kind(spark, sf_dir):
 
 @query(
     "distinct_tags_all_kinds",
-    """SELECT kind, name, count(*) AS n_uses FROM (
-  SELECT 'copyright' AS kind, unnest(string_split(tag_string_copyright, ' ')) AS name FROM post_src
-  UNION ALL SELECT 'meta', unnest(string_split(tag_string_meta, ' ')) FROM post_src
-  UNION ALL SELECT kind, name FROM tok) GROUP BY kind, name""",
+    "SELECT kind, name, count(*) AS n_uses FROM tok GROUP BY kind, name",
     "tok",
 )
 def distinct_tags_all_kinds(spark, sf_dir):
@@ -145,20 +142,18 @@ def filter_kind(spark, sf_dir):
     return stats.filter_kind(fx.tags(spark, sf_dir), "character")
 
 
-@query("rank_new_tags", f"{_STATS} WHERE {_NEW} AND kind = 'character'", "stats")
+@query("rank_new_tags", f"{_STATS} WHERE {_NEW}", "stats")
 def rank_new_tags(spark, sf_dir):
-    of_kind = stats.filter_kind(fx.tag_stats(spark, sf_dir), "character")
-    return _readable(stats.rank_new_tags(of_kind, START, MIN_COUNT))
+    return _readable(stats.rank_new_tags(fx.tag_stats(spark, sf_dir), START, MIN_COUNT))
 
 
 @query(
     "top20_new_tags",
-    f"{_STATS} WHERE {_NEW} AND kind = 'character' ORDER BY post_count DESC, tag_name LIMIT 20",
+    f"{_STATS} WHERE {_NEW} QUALIFY row_number() OVER (PARTITION BY kind ORDER BY post_count DESC, tag_name) <= 20",
     "stats",
 )
 def top20_new_tags(spark, sf_dir):
-    of_kind = stats.filter_kind(fx.tag_stats(spark, sf_dir), "character")
-    return _readable(stats.top_new_tags(of_kind, START, MIN_COUNT, 20))
+    return _readable(stats.top_new_tags(fx.tag_stats(spark, sf_dir), START, MIN_COUNT, 20))
 
 
 @query(
@@ -195,7 +190,7 @@ def tagset(spark, sf_dir):
 
 @query(
     "table_counts",
-    """SELECT 'post' AS name, count(*) AS n_rows, 5 AS n_columns FROM post
+    """SELECT 'post' AS name, count(*) AS n_rows, 6 AS n_columns FROM post
 UNION ALL SELECT 'tag', count(*), 3 FROM tag UNION ALL SELECT 'post_tag', count(*), 2 FROM post_tag""",
     ("post", "tag", "post_tag"),
 )

@@ -132,17 +132,21 @@ def test_a_name_of_two_kinds_counts_once(spark):
     assert values(search.search_intersect(related, numbered, ["x", "y"])) == [(1,), (3,)]
 
 
-def test_pages_and_caps(spark, monkeypatch):
+def test_pages_and_caps(spark):
     ids = spark.range(95).select((F.col("id") * 3).alias("post_id")).repartition(5)
-    def pages():
-        return [[r[0] for r in search.search_page(ids, p, 40).orderBy("post_id").collect()] for p in (1, 2, 3, 4)]
-    small = pages()
-    capped = values(search.search_all_capped(ids, 50))
-    monkeypatch.setattr(search, "ONE_TASK_ROWS", 10)
-    assert pages() == small == [
-        [3 * i for i in range(a, b)] for a, b in ((0, 40), (40, 80), (80, 95), (0, 0))
-    ]
-    assert values(search.search_all_capped(ids, 50)) == capped == values(ids.where("post_id < 150"))
+    pages = [[r[0] for r in search.search_page(ids, p, 40).collect()] for p in (1, 2, 3, 4)]
+    assert pages == [[3 * i for i in range(a, b)] for a, b in ((0, 40), (40, 80), (80, 95), (0, 0))]
+    assert [r[0] for r in search.search_all_capped(ids, 50).collect()] == [3 * i for i in range(50)]
+
+
+def test_large_caps_keep_their_order(spark):
+    ids = spark.range(200_000).withColumnRenamed("id", "post_id").repartition(16)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = [r[0] for r in search.search_all_capped(ids, 150_000).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == list(range(150_000))
 
 
 def test_random_posts_repeat_with_their_seed(spark):
@@ -234,7 +238,7 @@ def test_even_join_of_a_hot_key(spark, weight):
     assert values(spread, "k", "row", "v") == wanted
     assert "_salt" in spread._jdf.queryExecution().optimizedPlan().toString()
     hot = skew.hot_keys(facts.groupBy("k").agg(F.count("*").alias("w")), ["k"], "w")
-    assert values(hot) == [(1,)]
+    assert values(hot) == [(1, 3)]  # a third of the rows fill three of eight partitions
     direct = skew.join_even(facts, dimension, ["k"], F.xxhash64("row"), weight)
     assert "BroadcastHashJoin" in plan_of(direct) and values(direct, "k", "row", "v") == wanted
 
@@ -250,13 +254,13 @@ def test_salts_reach_several_partitions(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert used > 4
+    assert used >= 4
 
 
 def test_top_list_plan(spark, sf_dir):
     top = stats.top_new_tags(fx.tag_stats(spark, sf_dir), dt.datetime(1995, 1, 1), 5)
     plan = plan_of(top)
-    assert "TakeOrderedAndProject" in plan
+    assert "WindowGroupLimit" in plan
     assert "GreaterThan(post_count,5)" in plan and "GreaterThanOrEqual(first_seen" in plan
 
 
@@ -284,9 +288,7 @@ def check_bucketed_plans(spark, sf_dir):
     assert "Exchange hashpartitioning" not in gathered
 
 
-NO_PYTHON = sorted(set(QUERIES) - {
-    "html_unescape", "resolve_tag_alias", "missing_tags", "parse_tags", "lookup_batches_for_posts",
-} - {n for n in QUERIES if n.startswith(("stream_", "write_", "layout_", "save_", "append_", "compact_"))})
+NO_PYTHON = sorted(set(QUERIES) - {n for n in QUERIES if n.startswith(("stream_", "write_", "layout_", "save_", "append_", "compact_"))})
 
 
 def test_plans_stay_in_the_jvm(spark, sf_dir):
