@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import html
+import json
+from html import entities
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # The characters that count as white space when a text is split or stripped.
 _SPACES = (
@@ -67,10 +66,66 @@ def html_escape(text: Column) -> Column:
     )
 
 
-@F.pandas_udf(StringType())
-def html_unescape(text: pd.Series) -> pd.Series:
-    """All HTML entities to text. Spark has no builtin; call it on distinct tags only."""
-    return text.map(html.unescape, na_action="ignore")
+# A reference: numeric, or a name of up to 32 characters, with or without a semicolon.
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+_LAST = 0x10FFFF
+
+
+def _windows_code(code: int) -> str:
+    """What a reference to a C1 control stands for: the Windows-1252 character, where there is one."""
+    try:
+        return bytes([code]).decode("cp1252")
+    except UnicodeDecodeError:
+        return chr(code)
+
+
+def _numbered(digits: Column, base: int) -> Column:
+    """The character of a numeric reference; nothing for one that stands for no character."""
+    short = F.coalesce(F.nullif(F.ltrim(digits, F.lit("0")), F.lit("")), F.lit("0"))
+    code = F.when(F.length(short) > 8, F.lit(_LAST + 1).cast("bigint")).otherwise(F.conv(short, base, 10).cast("bigint"))
+    windows = F.array(*(F.lit(_windows_code(one)) for one in range(0x80, 0xA0)))
+    low = code.bitwiseAND(F.lit(0xFFFF))
+    nothing = (
+        code.between(0x1, 0x8) | (code == 0xB) | code.between(0xE, 0x1F) | (code == 0x7F)
+        | code.between(0xFDD0, 0xFDEF) | low.isin(0xFFFE, 0xFFFF)
+    )
+    return (
+        F.when((code == 0) | code.between(0xD800, 0xDFFF) | (code > _LAST), F.lit("\ufffd"))
+        .when(code.between(0x80, 0x9F), F.get(windows, (code - 0x80).cast("int")))
+        .when(nothing, F.lit(""))
+        .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    )
+
+
+def _named(name: Column) -> Column:
+    """The text of a named reference, without its ``&``: the longest known name it starts with, and
+    the rest as it is."""
+    known = F.from_json(F.lit(json.dumps(entities.html5)), "map<string,string>")
+    tries = F.transform(
+        F.sequence(F.length(name), F.lit(2), F.lit(-1)),
+        lambda n: F.concat(F.try_element_at(known, F.left(name, n)), F.substr(name, n + 1)),
+    )
+    found = F.when(F.length(name) >= 2, F.get(F.filter(tries, lambda text: text.isNotNull()), F.lit(0)))
+    return F.coalesce(found, F.concat(F.lit("&"), name))
+
+
+def _reference(found: Column) -> Column:
+    body = F.rtrim(F.substr(found, F.lit(3)), F.lit(";"))
+    return (
+        F.when(F.lower(F.left(found, F.lit(3))) == "&#x", _numbered(F.substr(body, F.lit(2)), 16))
+        .when(F.left(found, F.lit(2)) == "&#", _numbered(body, 10))
+        .otherwise(_named(F.substr(found, F.lit(2))))
+    )
+
+
+def html_unescape(text: Column) -> Column:
+    """All HTML entities to text. Only texts with an ampersand are taken apart."""
+    between = F.split(text, _REFERENCE)
+    found = F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0))
+    whole = F.zip_with(
+        between, found, lambda plain, one: F.concat(plain, F.when(one.isNotNull(), _reference(one)).otherwise(""))
+    )
+    return F.when(F.contains(text, F.lit("&")), F.array_join(whole, "")).otherwise(text)
 
 
 def quote_names(text: Column) -> Column:

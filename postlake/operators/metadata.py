@@ -46,10 +46,5 @@ def structured_metadata(
     posts: DataFrame, dictionary: DataFrame, default: int | None = None
 ) -> DataFrame:
     """The record with one tag list per type instead of ``tags``; deprecated tags are dropped."""
-    lists = tag_lists(posts, dictionary, LISTS, default)
-    joined = normalize_metadata(posts).drop("tags").join(lists, "id", "left")
-    none = F.array().cast("array<string>")
-    return joined.select(
-        *[c for c in FIELDS if c != "tags"],
-        *[F.coalesce(F.col(c), none).alias(c) for c in LISTS],
-    )
+    kept = tuple(c for c in FIELDS if c != "tags")
+    return tag_lists(normalize_metadata(posts), dictionary, LISTS, default, carry=kept)

@@ -103,12 +103,21 @@ def typed_vocabulary(
 
 
 def _typed_tokens(
-    posts: DataFrame, dictionary: DataFrame, default: int | None, tags: str
+    posts: DataFrame, dictionary: DataFrame, default: int | None, tags: str, carry: list[str]
 ) -> DataFrame:
-    """(id, pos, token, type): every token of every post. Ids are unique and not null."""
+    """(_row, pos, token, type, _rec): every token of every post, ``_rec`` with the columns of ``carry``
+    at the first token alone.
+
+    ``_row`` names the post within this scan: ids may be NULL or repeat. Posts without a tag string
+    give no rows.
+    """
     vocabulary = typed_vocabulary(posts, dictionary, default, tags)
-    placed = posts.select("id", F.posexplode(split_tags(F.col(tags))).alias("pos", "token"))
-    return join_even(placed, vocabulary, ["token"], F.xxhash64("id", "pos"), "n_uses")
+    record = F.struct(*[F.col(c) for c in carry])
+    placed = posts.withColumn("_row", F.monotonically_increasing_id()).select(
+        "_row", record.alias("_rec"), F.posexplode(split_tags(F.col(tags))).alias("pos", "token")
+    )
+    placed = placed.withColumn("_rec", F.when(F.col("pos") == 0, F.col("_rec")))
+    return join_even(placed, vocabulary, ["token"], F.xxhash64("_row", "pos"), "n_uses")
 
 
 def _in_order(value: Column) -> Column:
@@ -119,9 +128,15 @@ def _in_order(value: Column) -> Column:
 def tag_types(
     posts: DataFrame, dictionary: DataFrame, default: int | None = None, tags: str = "tags"
 ) -> DataFrame:
-    """(id, types): the type of every token in token order."""
-    typed = _typed_tokens(posts, dictionary, default, tags)
-    return typed.groupBy("id").agg(_in_order(F.col("type")).alias("types"))
+    """(id, types): a row per post with tags, the type of every token in token order."""
+    typed = _typed_tokens(posts, dictionary, default, tags, ["id"])
+    grouped = typed.groupBy("_row").agg(_first_record(), _in_order(F.col("type")).alias("types"))
+    return grouped.select("_rec.id", "types")
+
+
+def _first_record() -> Column:
+    """Aggregate: the record its post's first token carries."""
+    return F.any_value("_rec", F.lit(True)).alias("_rec")
 
 
 def tag_types_verbose(
@@ -134,26 +149,33 @@ def tag_types_verbose(
 def structured_tags(
     posts: DataFrame, dictionary: DataFrame, default: int | None = None, tags: str = "tags"
 ) -> DataFrame:
-    """(id, type, tags): the tokens of each type, order and repeats kept."""
-    typed = _typed_tokens(posts, dictionary, default, tags)
-    grouped = typed.groupBy("id", "type").agg(_in_order(F.col("token")).alias("tags"))
-    return grouped.withColumn("type", tag_type_name(F.col("type")))
+    """(id, type, tags): for each post the tokens of each type, order and repeats kept."""
+    typed = _typed_tokens(posts, dictionary, default, tags, ["id"])
+    entries = F.sort_array(F.collect_list(F.struct("pos", "token", "type"))).alias("_typed")
+    grouped = typed.groupBy("_row").agg(_first_record(), entries).select(
+        "_rec.id", "_typed", F.explode(F.array_distinct("_typed.type")).alias("_code")
+    )
+    of_type = F.filter("_typed", lambda entry: entry["type"] == F.col("_code"))["token"]
+    return grouped.select("id", tag_type_name(F.col("_code")).alias("type"), of_type.alias("tags"))
 
 
 def tag_lists(
     posts: DataFrame, dictionary: DataFrame, columns: dict[str, int], default: int | None = None,
-    tags: str = "tags",
+    tags: str = "tags", carry: tuple[str, ...] = ("id",),
 ) -> DataFrame:
-    """(id, one array per column): the tokens of the type each column stands for."""
-    typed = _typed_tokens(posts, dictionary, default, tags)
-    entries = F.sort_array(F.collect_list(F.struct("pos", "token", "type"))).alias("typed")
+    """The columns of ``carry`` and one array per column of ``columns``: the tokens of the type it stands
+    for, each post by itself. Posts without tags have empty arrays."""
+    typed = _typed_tokens(posts, dictionary, default, tags, list(carry))
+    entries = F.sort_array(F.collect_list(F.struct("pos", "token", "type"))).alias("_typed")
 
     def of(code: int) -> Column:
-        return F.filter("typed", lambda entry: entry["type"] == code)["token"]
+        return F.filter("_typed", lambda entry: entry["type"] == code)["token"]
 
-    return typed.groupBy("id").agg(entries).select(
-        "id", *[of(code).alias(name) for name, code in columns.items()]
-    )
+    grouped = typed.groupBy("_row").agg(_first_record(), entries)
+    tagged = grouped.select(*[F.col("_rec")[c].alias(c) for c in carry], *[of(code).alias(name) for name, code in columns.items()])
+    none = F.array().cast("array<string>")
+    untagged = posts.where(F.col(tags).isNull()).select(*carry, *[none.alias(name) for name in columns])
+    return tagged.unionByName(untagged)
 
 
 def parse_tags(posts: DataFrame, dictionary: DataFrame, tags: str = "tags") -> DataFrame:

@@ -141,6 +141,20 @@ RELAXED = settings(
 )
 
 
+ENTITIES = st.lists(st.one_of(
+    st.sampled_from(["&amp;", "&lt", "&notit;", "&notin;", "&", "&#", "&#x", "&;", "&amp", "&Aacute", "&NotEqualTilde;", "x", " ", ";", "&frac12x"]),
+    st.integers(0, 0x120000).map(lambda n: f"&#{n};"), st.integers(0, 0x120000).map(lambda n: f"&#X{n:x}"),
+    st.sampled_from([f"&#{n};" for n in (0, 1, 8, 11, 12, 13, 31, 127, 128, 129, 159, 160, 0xD800, 0xFDD0, 0xFFFE, 0x1FFFF, 10**30)]),
+    st.text("abcdn&;#x1 ", max_size=6),
+), max_size=8).map("".join)
+
+
+@RELAXED
+@given(st.lists(ENTITIES, min_size=40, max_size=80))
+def test_entities_agree(spark, inputs):
+    assert many(spark, text.html_unescape, inputs) == [html.unescape(v) for v in inputs]
+
+
 @RELAXED
 @given(st.lists(WORDS, min_size=1, max_size=40))
 def test_python_functions_agree(spark, inputs):
@@ -152,26 +166,14 @@ def test_python_functions_agree(spark, inputs):
     assert many(spark, text.split_tags, inputs) == [v.split(" ") for v in inputs]
 
 
-def expected_caption(post):
-    shown = [t.replace("_", " ") for t in (post["tag_string_general"] or "").split()]
-    named = [f"artist: {t.replace('_', ' ')}" for t in (post["tag_string_artist"] or "").split()]
-    pieces = [*named, *shown]
-    return ", ".join(p for p in pieces if p.strip()).replace(", ,", ", ")
-
-
-TAGS = st.one_of(st.none(), st.text("ab_, \t'é", max_size=15))
-
-
-@RELAXED
-@given(st.lists(st.tuples(TAGS, TAGS), min_size=1, max_size=40))
-def test_caption_agrees(spark, inputs):
-    rows = [(i, a, g) for i, (a, g) in enumerate(inputs)]
-    posts = spark.createDataFrame(rows, "i int, tag_string_artist string, tag_string_general string")
-    made = posts.select("i", labels.caption(posts.columns).alias("c")).collect()
-    got = {row["i"]: row["c"] for row in made}
-    for i, artist, general in rows:
-        post = {"tag_string_artist": artist, "tag_string_general": general}
-        assert got[i] == expected_caption(post), post
+@pytest.mark.parametrize("artist, general, expected", [
+    ("a_b", "x_y z", "artist: a b, x y, z"), ("a b", "x", "artist: a, artist: b, x"), (None, None, ""), ("", "  ", ""),
+    ("a", None, "artist: a"), (None, "x\ty", "x, y"), (None, "é_è", "é è"), ("_", "_ x", "artist:  , x"),
+    (None, "x, y", "x,, y"),
+])
+def test_captions(spark, artist, general, expected):
+    posts = spark.createDataFrame([(artist, general)], "tag_string_artist string, tag_string_general string")
+    assert posts.select(labels.caption(posts.columns)).first()[0] == expected
 
 
 def test_caption_order_and_plain_tags(spark):

@@ -109,6 +109,24 @@ def test_types_keep_token_order(spark, source, posts):
         tagging.tag_types(posts, tags).collect()
 
 
+def test_posts_are_typed_each_by_itself(spark, source):
+    tags = dictionary.load_tag_dictionary(spark, source)
+    posts = spark.createDataFrame(
+        [(None, "red"), (None, "m.m red"), (7, "old"), (7, "nope old"), (7, None)], "id bigint, tags string"
+    )
+    typed = tagging.tag_types(posts, tags, default=0).collect()
+    assert sorted((str(r["id"]), r["types"]) for r in typed) == [("7", [0, 6]), ("7", [6]), ("None", [1, 5]), ("None", [5])]
+    lists = tagging.structured_tags(posts, tags, default=0).collect()
+    assert sorted((str(r["id"]), r["type"], r["tags"]) for r in lists) == [
+        ("7", "deprecated", ["old"]), ("7", "deprecated", ["old"]), ("7", "general", ["nope"]),
+        ("None", "artist", ["m.m"]), ("None", "meta", ["red"]), ("None", "meta", ["red"]),
+    ]
+    made = metadata.structured_metadata(posts, tags, default=0).collect()
+    assert sorted((str(r["id"]), r["tag_list_meta"], r["tag_list_artist"], r["tag_list_general"]) for r in made) == [
+        ("7", [], [], []), ("7", [], [], []), ("7", [], [], ["nope"]), ("None", ["red"], [], []), ("None", ["red"], ["m.m"], []),
+    ]
+
+
 def test_parse_tags(spark, source, posts):
     rows = tagging.parse_tags(posts.where("id = 2"), dictionary.load_tag_dictionary(spark, source))
     assert values(rows, "pos", "token", "id") == [(0, "red", 8), (2, "red", 8), (3, "old", 10)]
