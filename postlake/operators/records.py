@@ -171,14 +171,19 @@ def flatten_paths(
     return scalars.groupBy(*keys, "path").agg(last)
 
 
-def schema_keep_all(flat: DataFrame, keys: list[str], max_columns: int = 10_000) -> DataFrame:
-    """One column per flattened path. The paths become column names, so there can be only so many;
-    more than ``max_columns`` is an error: keep the (path, value) rows then."""
-    found = flat.select("path").distinct().orderBy("path").limit(max_columns + 1)
-    paths = [row["path"] for row in found.toLocalIterator()]
-    if len(paths) > max_columns:
-        raise ValueError(f"more than {max_columns} distinct paths; keep them as rows")
-    return flat.groupBy(*keys).pivot("path", paths).agg(F.first("value"))
+def schema_keep_all(records: DataFrame, flat: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys`` plus ``fields``, a MAP of every flattened path of a record to its value: any number of
+    paths, and a row for each record, also for one without a value anywhere."""
+    marks = records.select(*keys, F.lit(None).cast("string").alias("path"), F.lit(None).cast("string").alias("value"))
+    entries = F.collect_list(F.when(F.col("path").isNotNull(), F.struct("path", "value")))
+    grouped = flat.select(*keys, "path", "value").unionByName(marks).groupBy(*keys)
+    return grouped.agg(F.map_from_entries(entries).alias("fields"))
+
+
+def fields_as_columns(kept: DataFrame, paths: list[str]) -> DataFrame:
+    """The listed paths of ``fields`` as text columns, NULL where a record lacks one."""
+    others = [c for c in kept.columns if c != "fields"]
+    return kept.select(*others, *[F.try_element_at("fields", F.lit(path)).alias(path) for path in paths])
 
 
 def align_schema(df: DataFrame, fields: dict[str, str]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from postlake.operators import normalize
 from postlake.operators.dedup import dedup_by_id
@@ -28,7 +29,8 @@ def _flat(parsed: DataFrame, keys: list[str] | None, keep_all: bool) -> DataFram
     records = unwrap_envelope(parsed)
     if keep_all:
         depth, dotted = nesting(parsed)
-        return schema_keep_all(flatten_paths(records, RECORD_ORDER, depth, dotted), RECORD_ORDER)
+        flat = flatten_paths(records, RECORD_ORDER, depth, dotted)
+        return schema_keep_all(records, flat, RECORD_ORDER)
     if keys is None or set(keys) == set(POST_FIELDS):
         return schema_fixed(records)
     return schema_all_string(records, keys)
@@ -39,10 +41,12 @@ def flat_records(
     keys: list[str] | None = None, keep_all: bool = False, strict: bool = True,
     deduplicate: bool = True, must_exist: bool = True,
 ) -> DataFrame:
-    """Flat records of all lines: the fixed schema, the listed keys as text, or every path."""
+    """Flat records of all lines: the fixed schema, the listed keys as text, or every path in a map
+    ``fields``. Records kept whole are de-duplicated by the path ``id``."""
     flat = _flat(_parsed(spark, paths, min_id, strict, must_exist), keys, keep_all)
     if deduplicate:
-        flat = dedup_by_id(flat, RECORD_ORDER)
+        named = flat.withColumn("id", F.try_element_at("fields", F.lit("id"))) if keep_all else flat
+        flat = dedup_by_id(named, RECORD_ORDER).select(*flat.columns)
     return flat.drop(*RECORD_ORDER)
 
 
@@ -60,10 +64,13 @@ def jsonl_to_parquet(
 
 def build_tables(
     spark: SparkSession, flat: DataFrame, prefix: str = "", path: str | None = None,
-    kinds: dict[str, str] | None = None,
+    kinds: dict[str, str] | None = None, buckets: int | None = None,
 ) -> None:
     """Save ``post``, ``tag`` and ``post_tag``, each only if missing.
 
+    ``buckets`` should grow with the input: a bucket is one task's work in later joins. By default
+    there are as many as shuffle partitions.
+
     Posts are bucketed on their id. The relation is kept twice: ``post_tag`` bucketed on the post
     id for joins with posts, ``post_tag_by_tag`` sorted by tag for searches.
     """
@@ -73,7 +80,7 @@ def build_tables(
 
     exists = spark.catalog.tableExists
     if not exists(f"{prefix}post"):
-        save_bucketed(normalize.post_table(flat), "id", f"{prefix}post", at("post"))
+        save_bucketed(normalize.post_table(flat), "id", f"{prefix}post", at("post"), buckets)
     usage = f"{prefix}tag_usage"
     save_if_missing(spark, usage, lambda: normalize.numbered_tags(flat, kinds), at("tag_usage"))
     numbered = spark.table(usage)
@@ -82,7 +89,7 @@ def build_tables(
     )
     if not exists(f"{prefix}post_tag"):
         related = normalize.build_post_tag(flat, numbered, kinds)
-        save_bucketed(related, "post_id", f"{prefix}post_tag", at("post_tag"))
+        save_bucketed(related, "post_id", f"{prefix}post_tag", at("post_tag"), buckets)
     if not exists(f"{prefix}post_tag_by_tag"):
         save_clustered(
             spark.table(f"{prefix}post_tag"), ["tag_id", "post_id"],

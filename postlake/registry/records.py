@@ -46,10 +46,34 @@ def schema_keep_all(spark, sf_dir):
     lines, recs = _event_records(spark, sf_dir)
     depth, dotted = records.nesting(lines)
     flat = records.flatten_paths(recs, ["event_id"], depth, dotted)
-    wide = records.schema_keep_all(flat, ["event_id"])
+    kept = records.schema_keep_all(recs, flat, ["event_id"])
+    wide = records.fields_as_columns(kept, ["id", "ev.props.k", "ev.type", "ev.l.0", "ev.l.1.c"])
     return wide.toDF(*[c.replace(".", "_") for c in wide.columns])
 
 
+_SPARSE = """CASE event_id % 3 WHEN 0 THEN '{}' WHEN 1 THEN '{"e":{},"k":[]}'
+  ELSE '{"id":' || event_id || ',"n":null,"t":"' || event_type || '"}' END"""
+
+
+@query(
+    "schema_keep_all_empty",
+    """SELECT event_id, CASE WHEN event_id % 3 = 2 THEN 'id=' || event_id || ';n=;t=' || event_type ELSE '' END AS fields
+FROM events""",
+)
+def schema_keep_all_empty(spark, sf_dir):
+    """Records of which two thirds hold no value."""
+    events = fx.table(spark, sf_dir, "events").select("event_id", F.expr(_SPARSE).alias("line"))
+    lines = jsonl.parse_strict(events)
+    recs = records.unwrap_envelope(lines)
+    depth, dotted = records.nesting(lines)
+    kept = records.schema_keep_all(recs, records.flatten_paths(recs, ["event_id"], depth, dotted), ["event_id"])
+    pairs = F.transform(
+        F.array_sort(F.map_entries("fields")),
+        lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit(""))),
+    )
+    return kept.select("event_id", F.array_join(pairs, ";").alias("fields"))
+
+
 @query(
     "keep_keys",
     """SELECT event_id, '' || event_id AS id, '' || user_id AS first,

@@ -51,15 +51,19 @@ def save_if_missing(spark, sf_dir):
 
 @query(
     "replace_stats_table",
-    f"SELECT tag_id, tag_name, {CLOCK.format('first_seen')} AS first_seen, post_count FROM stats WHERE kind = 'general'",
+    f"SELECT kind, tag_id, tag_name, {CLOCK.format('first_seen')} AS first_seen, post_count FROM stats "
+    "WHERE kind IN ('general', 'character', 'artist')",
     "stats",
 )
 def replace_stats_table(spark, sf_dir):
-    name, path = _name("tag_general_stats"), fresh_folder(spark, sf_dir, "stats")
-    of_kind = stats.filter_kind(fx.tag_stats(spark, sf_dir), "general").drop("kind")
-    tables.replace_table(of_kind, name, path)
-    tables.replace_table(of_kind, name, path)
-    return spark.table(name).withColumn("first_seen", clock("first_seen"))
+    saved = []
+    for kind in ("general", "character", "artist"):
+        name, path = _name(f"tag_{kind}_stats"), fresh_folder(spark, sf_dir, f"{kind}_stats")
+        of_kind = stats.filter_kind(fx.tag_stats(spark, sf_dir), kind).drop("kind")
+        tables.replace_table(of_kind, name, path)
+        tables.replace_table(of_kind, name, path)
+        saved.append(spark.table(name).select(F.lit(kind).alias("kind"), "*"))
+    return saved[0].unionByName(saved[1]).unionByName(saved[2]).withColumn("first_seen", clock("first_seen"))
 
 
 @query("append_relation", "SELECT post_id, tag_id, count(*) AS n FROM post_tag GROUP BY ALL", "post_tag")
@@ -119,7 +123,8 @@ _TITLES = "CASE kind WHEN 'character' THEN 0 WHEN 'general' THEN 1 ELSE 2 END"
     f"""SELECT {_TITLES} AS section, place AS position,
   CASE WHEN place = 0 THEN '' ELSE ',' END || '"' || tag_name || '"' AS line
 FROM (SELECT kind, tag_name, CAST(row_number() OVER (PARTITION BY kind ORDER BY post_count DESC, tag_name) - 1 AS BIGINT) AS place
-  FROM stats WHERE first_seen >= TIMESTAMP '1995-01-01 00:00:00' AND post_count > {MIN_COUNT})
+  FROM stats WHERE first_seen >= TIMESTAMP '1995-01-01 00:00:00' AND post_count > {MIN_COUNT}
+  AND kind IN ('character', 'general', 'artist'))
 UNION ALL SELECT * FROM (VALUES (0, -1, '{{"characters":['), (0, 4611686018427387904, '],'),
   (1, -1, '"general":['), (1, 4611686018427387904, '],'),
   (2, -1, '"artist":['), (2, 4611686018427387904, ']}}')) v""",
@@ -130,13 +135,24 @@ def export_tag_lists(spark, sf_dir):
     return files.tag_list_lines(ranked)
 
 
-@query("write_sharded_metadata", "SELECT id, id % 100 AS shard, score, rating FROM post_src", "post_src")
+@query(
+    "write_sharded_metadata",
+    """SELECT coalesce(id, -1) AS id, coalesce(id % 100, -1) AS shard, score, rating FROM (
+  SELECT CASE WHEN id % 50 = 3 THEN NULL ELSE id END AS id, score, rating FROM post_src)""",
+    "post_src",
+)
 def write_sharded_metadata(spark, sf_dir):
+    """Written in two runs and once more; records without an id are not written again either."""
     path = fresh_folder(spark, sf_dir, "metadata")
-    records = fx.flat_posts(spark, sf_dir).select("id", "score", "rating")
+    records = fx.flat_posts(spark, sf_dir).select(
+        F.when(F.col("id") % 50 != 3, F.col("id")).alias("id"), "score", "rating"
+    )
     files.write_sharded_metadata(records.where("score >= 0"), path)
-    files.write_sharded_metadata(records, path, existing=spark.read.parquet(path))
-    return spark.read.parquet(path).select("id", F.col("shard").cast("bigint").alias("shard"), "score", "rating")
+    for _ in range(2):
+        files.write_sharded_metadata(records, path, existing=spark.read.parquet(path))
+    return spark.read.parquet(path).select(
+        F.coalesce("id", F.lit(-1)).alias("id"), F.coalesce(F.col("shard").cast("bigint"), F.lit(-1)).alias("shard"), "score", "rating"
+    )
 
 
 def write_captions(spark, sf_dir):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,11 +27,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
-    """A single-machine session for tests and the benchmark."""
+def local_session(cores: int | str = "*", memory: str = "8g", shared: str | None = None) -> SparkSession:
+    """A single-machine session for tests and the benchmark; ``shared`` is its shared folder."""
     partitions = "8" if cores == "*" else str(cores)
+    named = {"spark.checkpoint.dir": f"{shared}/shared", "spark.sql.warehouse.dir": f"{shared}/warehouse"} if shared else {}
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        SparkSession.builder.config(map=named).master(f"local[{cores}]")
         .appName("postlake")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", partitions)
@@ -47,19 +47,12 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, named by ``spark.checkpoint.dir``.
 
-    Only a local master without that setting gets a temporary folder; a cluster must name one,
-    because a folder of one machine is lost with that machine.
+    Without that setting it lies in the warehouse, which all executors share as well; a folder of
+    one machine, lost with that machine, is never taken.
     """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named and context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="postlake-"))
-    elif named and context.getCheckpointDir() is None:
-        context.setCheckpointDir(named)
-    root = named or context.getCheckpointDir()
-    return f"{root.rstrip('/')}/postlake/{context.applicationId}"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+    return f"{root.rstrip('/')}/postlake/{spark.sparkContext.applicationId}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
