@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from postlake import fixtures as fx
@@ -53,7 +54,7 @@ def prepare(spark, sf_dir: str) -> dict[str, float]:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cores = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
-    spark = local_session(cores)
+    spark = local_session(cores, shared=tempfile.mkdtemp(prefix="bench-"))
     prepare(spark, SMALL)
     for name in HEADLINE:
         drain(QUERIES[name](spark, SMALL))

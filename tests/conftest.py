@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 import uuid
 
 import pytest
@@ -13,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, "6g")
+    session = local_session(8, "6g", tempfile.mkdtemp(prefix="tests-"))
     session.conf.set("spark.sql.maxMetadataStringLength", "2000")
     return session
 
