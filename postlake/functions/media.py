@@ -47,6 +47,18 @@ def media_target(large_url: Column, url: Column) -> Column:
     return F.coalesce(large_url, url)
 
 
+def post_target(columns: Iterable[str]) -> Column:
+    """The target of a post with these columns: the large URL where there is one, else the plain one."""
+    return media_target(F.col("large_file_url"), F.col("file_url")) if "large_file_url" in columns else F.col("file_url")
+
+
+def post_ext(columns: Iterable[str]) -> Column:
+    """The extension of a post with these columns: its own, else that of the stored image's name."""
+    own = [F.col("file_ext")] if "file_ext" in columns else []
+    image = [after_last_dot(F.col("image"))] if "image" in columns else []
+    return F.coalesce(*own, *image, F.lit(None).cast("string"))
+
+
 def target_ext(target: Column, own_ext: Column) -> Column:
     """Extension the target ends in; a target without a dot leaves the post's own extension."""
     return F.when(target.contains("."), after_last_dot(target)).otherwise(own_ext)

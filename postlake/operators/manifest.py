@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions.media import (
-    media_target, original_variant, safe_filename, shard_path, target_ext,
+    original_variant, post_ext, post_target, safe_filename, shard_path, target_ext,
 )
 from postlake.functions.text import contains_any, has_any_token
 from postlake.schemas import (
@@ -74,16 +74,15 @@ def media_manifest(
 ) -> DataFrame:
     """(id, target, ext, path, skip_reason) per post in one pass over its row.
 
-    ``skip_reason`` is the first rule hit of: banned tag, uploader, variants, video, no target,
+    Posts need ``id`` and ``file_url``; ``large_file_url``, ``file_ext`` and ``image`` count where they
+    are there. ``skip_reason`` is the first rule hit of: banned tag, uploader, variants, video, no target,
     size; NULL for a post to fetch. A rule without a parameter is off.
     """
     never = F.lit(False)
-    target = media_target(F.col("large_file_url"), F.col("file_url"))
-    chosen = F.struct(
-        target.alias("url"), F.col("file_ext").alias("ext"), F.lit(None).cast("string").alias("reason")
-    )
+    target, own_ext = post_target(posts.columns), post_ext(posts.columns)
+    chosen = F.struct(target.alias("url"), own_ext.alias("ext"), F.lit(None).cast("string").alias("reason"))
     if originals_only:
-        chosen = original_variant(F.col("variants"), target, F.col("file_ext"))
+        chosen = original_variant(F.col("variants"), target, own_ext)
     spared = has_any_token(F.col(tags), exempt) if exempt else never
     spared = F.coalesce(spared, never)
     banned = contains_any(F.col(tags), banned_words) if banned_words else never

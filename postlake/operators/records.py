@@ -7,8 +7,9 @@ import itertools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlake.schemas import POST_FIELDS
+from postlake.schemas import POST_FIELDS, VARIANT_FIELDS
 
+VARIANT_DDL = ", ".join(f"{name}: {kind}" for name, kind in VARIANT_FIELDS.items())
 RECORD_ORDER = ["file", "block", "row", "place"]
 
 
@@ -49,6 +50,11 @@ def unwrap_envelope(parsed: DataFrame) -> DataFrame:
     )
 
 
+def media_variants(record: str = "rec") -> Column:
+    """The media variants of a record, NULL where it has none."""
+    return F.try_variant_get(record, "$.media_asset.variants", f"array<struct<{VARIANT_DDL}>>")
+
+
 def schema_fixed(
     records: DataFrame, fields: dict[str, str] | None = None, carry: list[str] | None = None
 ) -> DataFrame:

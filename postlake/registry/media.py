@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from postlake import fixtures as fx
 from postlake.functions import media, text
-from postlake.operators import manifest
+from postlake.operators import manifest, records
 from postlake.registry import inputs
-from postlake.registry.base import define, query
+from postlake.registry.base import define, query, same_result
 from postlake.schemas import EXCLUDED_SUFFIXES
+from postlake.sources import jsonl
 
 BANNED = ["animated", "video", "3d", "photo_(medium)", "real_life", "supp_1"]
 WORDS = ["red", "supp_7"]
@@ -181,7 +182,7 @@ define(
        WHEN {_EXT} IN ('webm', 'mp4', 'mov', 'avi') THEN 'video'
        WHEN target IS NULL THEN 'no_target'
        WHEN size > 30000000 AND NOT coalesce({_TOKENS}, false) THEN 'too_large' END AS skip_reason
-FROM (SELECT *, coalesce(large_file_url, file_url) AS target FROM plain)""",
+FROM (SELECT *, file_url AS target FROM plain)""",
     "plain",
 )
 
@@ -200,9 +201,21 @@ def media_manifest(spark, sf_dir):
     return _readable(manifest.media_manifest(inputs.variant_posts(spark, sf_dir), originals_only=True))
 
 
+@same_result("media_manifest_raw", "media_manifest")
+def media_manifest_raw(spark, sf_dir):
+    """The manifest of records as they arrive, their variants below ``media_asset``."""
+    posts = inputs.variant_posts(spark, sf_dir)
+    asset = F.struct("variants").alias("media_asset")
+    lines = posts.select(F.to_json(F.struct("id", "file_ext", "file_url", "large_file_url", asset)).alias("line"))
+    recs = records.unwrap_envelope(jsonl.parse_tolerant(lines)).withColumn("variants", records.media_variants())
+    flat = records.schema_fixed(recs, carry=["variants"])
+    return _readable(manifest.media_manifest(flat, originals_only=True))
+
+
 def _plain_manifest(spark, sf_dir):
+    """Plain posts have neither an extension nor a large URL of their own."""
     return manifest.media_manifest(
-        _plain(spark, sf_dir), archives=False, banned_words=BANNED, uploader=("mirror", 64),
+        _plain(spark, sf_dir).drop("file_ext", "large_file_url"), archives=False, banned_words=BANNED, uploader=("mirror", 64),
         exempt=WORDS, max_size=30_000_000, tags="tags",
     )
 

@@ -163,9 +163,16 @@ def dedup_rank(spark, sf_dir):
     return ranked.select("l_orderkey", "l_linenumber", "l_partkey", "place")
 
 
-@query("merge_bulk_windows", "SELECT id, score, rating FROM post_src WHERE id >= 105", "post_src")
+@query(
+    "merge_bulk_windows",
+    "SELECT id, CASE WHEN id % 3 = 0 THEN score + 1000 ELSE score END AS score, rating FROM post_src WHERE id >= 105",
+    "post_src",
+)
 def merge_bulk_windows(spark, sf_dir):
+    """Two fetches that overlap in a third of the ids, with other scores: the earlier window counts."""
     flat = fx.flat_posts(spark, sf_dir)
-    fetched = [flat.withColumn("window", window_start(F.col("id") + shift, 20)) for shift in (0, 7)]
+    first = flat.where("id % 3 <> 0").withColumn("window", window_start(F.col("id"), 20))
+    second = flat.where("id % 3 <> 1").withColumn("window", window_start(F.col("id"), 20) + 20)
+    fetched = [first, second.withColumn("score", F.col("score") + 1000)]
     merged = dedup.merge_bulk_windows(fetched, 105, None, ["window"])
     return merged.select("id", "score", "rating")

@@ -58,6 +58,14 @@ DICTIONARY_FIELDS = {
     "ambiguous": "INT",
 }
 
+VARIANT_FIELDS = {
+    "type": "STRING",
+    "url": "STRING",
+    "width": "BIGINT",
+    "height": "BIGINT",
+    "file_ext": "STRING",
+}
+
 TAG_TYPE_NAMES = {
     0: "general",
     1: "artist",

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from postlake.operators.numbering import dense_positions
 from postlake.operators.tagging import tokens_to_look_up
 from postlake.schemas import DICTIONARY_BATCH
+from postlake.session import cut_lineage
 from postlake.streaming.batches import prepare, read_batches, run_batches, write_batch
 
 QUEUE = "name STRING, position BIGINT"
@@ -21,13 +22,15 @@ def queue_missing_tags(
     """Queue every unknown tag once, numbered on from the tags queued before."""
     spark = posts.sparkSession
     prepare(spark, out, QUEUE)
+    dictionary = cut_lineage(dictionary)  # read from its lines once, not in every batch
 
     def handle(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
         queued = read_batches(session, out, QUEUE, before=number)
         tokens = tokens_to_look_up(batch, words, dictionary, tags).withColumnRenamed("token", "name")
         new = tokens.join(queued.select("name"), "name", "left_anti")
-        placed = dense_positions(new, ["name"], "position", start=queued.count())
+        last = queued.agg(F.max("position")).first()[0]
+        placed = dense_positions(new, ["name"], "position", start=0 if last is None else last + 1)
         write_batch(placed.select("name", "position"), out, number)
 
     return run_batches(posts, checkpoint, handle)

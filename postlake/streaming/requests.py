@@ -8,8 +8,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postlake.functions.text import normalize_query, sanitize_folder
 from postlake.operators.skew import join_even
+from postlake.session import cut_lineage
 from postlake.streaming.batches import prepare, read_batches, run_batches, write_batch
 
+FEW_IDS = 1000
 ANSWER = "request STRING, folder STRING, post_id BIGINT"
 
 
@@ -23,8 +25,17 @@ def arriving_requests(spark: SparkSession, folder: str, files_per_batch: int | N
 
 
 def answer(requests: DataFrame, tag: DataFrame, post_tag: DataFrame) -> DataFrame:
-    """(request, folder, post_id): the distinct posts that carry the requested tag."""
-    wanted = requests.join(tag, requests["request"] == tag["name"]).select("request", "tag_id")
+    """(request, folder, post_id): the distinct posts that carry the requested tag.
+
+    The requests become tag ids first. The scan of a relation sorted by tag is held to their range, and
+    to the ids themselves while they are few; the rows are the same either way.
+    """
+    wanted = cut_lineage(requests.join(tag, requests["request"] == tag["name"]).select("request", "tag_id"))
+    low, high = wanted.agg(F.min("tag_id"), F.max("tag_id")).first()
+    post_tag = post_tag.where(F.col("tag_id").between(low, high))
+    ids = [row[0] for row in wanted.select("tag_id").distinct().limit(FEW_IDS + 1).collect()]
+    if len(ids) <= FEW_IDS:
+        post_tag = post_tag.where(F.col("tag_id").isin(ids))
     found = join_even(post_tag, wanted, ["tag_id"], F.xxhash64("post_id"))
     hits = found.select("request", "post_id").distinct()
     return hits.select("request", sanitize_folder(F.col("request")).alias("folder"), "post_id")
