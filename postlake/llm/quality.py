@@ -157,7 +157,7 @@ def in_best_order(
     total = docs.count()
     if not total:
         return [(rule, 0.0, 0.0) for rule in rules]
-    sample = cut_lineage(docs.select(text_col).sample(min(1.0, sample_rows / total), seed).coalesce(4))
+    sample = cut_lineage(docs.select(text_col).sample(min(1.0, sample_rows / total), seed).repartition(4))
 
     def timed(*columns: Column) -> tuple[float, tuple]:
         start = time.perf_counter()
