@@ -25,6 +25,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     found = language.identify(docs, language.page_evidence(table(spark, sf_dir, "pages")))
     doubtful = found.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    doubtful = cut_lineage(doubtful)  # its size is then known: few rows need no shuffle of the texts
     same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
     return docs.join(doubtful, same, "left_anti")
 

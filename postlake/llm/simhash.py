@@ -196,7 +196,8 @@ def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col
     rows = docs.select(F.col(id_col).alias("id"), F.struct(*map(F.col, docs.columns)).alias("row"))
     order = F.struct(*(F.col("row")[c] for c in [text_col, *(c for c in docs.columns if c != text_col)]))
     first = found.where(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias("id"))
-    kept = rows.join(cut_lineage(first.agg(F.count(F.lit(1)).alias("n"))), "id")
+    # As many ids as documents: a shuffle join at every size, never a broadcast while they happen to be few.
+    kept = rows.join(cut_lineage(first.agg(F.count(F.lit(1)).alias("n"))).hint("merge"), "id")
     once = kept.where("n = 1").select("row.*")
     smallest = F.min_by("row", order).alias("row")
     again = kept.where("n > 1").groupBy("id").agg(smallest).select("row.*")
