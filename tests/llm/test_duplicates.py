@@ -116,6 +116,49 @@ def test_embedding_recall_on_isolated_pairs(spark):
     assert 0.9 * links.sum() <= got <= links.sum()
 
 
+def pairs_in_a_cone(n, pairs, cosine, seed=9):
+    """``n`` vectors of 64 dimensions, all about one topic; the last ``pairs`` are ``cosine`` from the first."""
+    random = np.random.default_rng(seed)
+    own = random.standard_normal((n, 64))
+    topic = random.standard_normal(64)
+    vectors = own / np.linalg.norm(own, axis=1, keepdims=True) + np.sqrt(3) * topic / np.linalg.norm(topic)
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    noise = random.standard_normal((pairs, 64))
+    noise -= (noise * vectors[:pairs]).sum(axis=1, keepdims=True) * vectors[:pairs]
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    vectors[n - pairs:] = cosine * vectors[:pairs] + np.sqrt(1 - cosine ** 2) * noise
+    return vectors
+
+
+def test_every_pair_of_a_hot_topic_is_linked(spark):
+    vectors = pairs_in_a_cone(9000, 300, 0.902)
+    links, groups = cosine_groups(vectors)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    got = {row["vec_id"]: (row["n_links"], row["component_id"]) for row in embeddings.near_duplicates(frame).collect()}
+    assert links.sum() >= 600
+    assert got == {i: (int(n), g) for i, (n, g) in enumerate(zip(links, groups))}
+    passes = embeddings.near_duplicates(frame, passes=4).agg(F.sum("n_links")).first()[0]
+    assert 0 < passes < links.sum()
+
+
+@pytest.mark.parametrize("file_rows", [30, 50, 67, 1000])
+def test_all_pairs_of_files_meet(spark, file_rows):
+    random = np.random.default_rng(8)
+    vectors = random.standard_normal((200, 3))
+    sizes = [3] * 200 + [2] * 3
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(200 + i, [1.0, 0.1 * i]) for i in range(3)]
+    frame = spark.createDataFrame([(i, size, v) for (i, v), size in zip(rows, sizes)], "node BIGINT, size INT, vector ARRAY<DOUBLE>")
+    near = np.argwhere(cosine_matrix(vectors) >= 0.97).tolist() + [[200, 201], [201, 202]]
+    links = [list(row) for row in embeddings.all_links(frame, 0.97, file_rows).collect()]
+    assert smallest_reachable(203, links) == smallest_reachable(203, near)
+    assert all(a != b for a, b in links)
+
+
+def cosine_matrix(vectors):
+    units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    return units @ units.T
+
+
 def test_dense_groups_beyond_a_block_are_counted_whole(spark):
     random = np.random.default_rng(6)
     vectors = np.concatenate([np.ones(16) + 0.01 * random.standard_normal((150, 16)), random.standard_normal((50, 16))])
