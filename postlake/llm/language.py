@@ -112,16 +112,20 @@ def text_scores(docs: DataFrame, model: np.ndarray, keep: dict[str, str], text_c
 
 def page_evidence(pages: DataFrame) -> DataFrame:
     """(doc_id, markup, host) of the pages that show a document: the number in the path is its id. Of
-    several pages of one document the first counts."""
-    path = F.regexp_extract("url", r"^[a-z]+://[^/]*/(?:[a-z]+/)?(\d+)", 1)
+    several pages of one document the first that declares a language gives ``markup``, the first with
+    a host ``host``."""
+    path = F.regexp_extract("url", r"(?i)^[a-z]+://[^/]*/(?:[a-z]+/)?(\d+)", 1)
     found = pages.select(
         path.alias("_n"), "page_id",
-        F.lower(F.regexp_extract(F.substring("html", 1, 2000), r"<html[^>]*\blang=[\"']?([A-Za-z]{2})", 1)).alias("markup"),
-        F.lower(F.regexp_extract("url", r"^[a-z]+://([^/:?#]+)", 1)).alias("host"),
+        F.lower(F.regexp_extract("html", r"(?i)<html[^>]*\blang=[\"']?([A-Za-z]{2})", 1)).alias("markup"),
+        F.lower(F.regexp_extract("url", r"(?i)^[a-z]+://([^/:?#]+)", 1)).alias("host"),
     ).where("_n != ''").select(F.col("_n").try_cast("bigint").alias("doc_id"), "page_id", "markup", "host")
-    return found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.min_by(F.struct("markup", "host"), "page_id").alias("_page")
-    ).select("doc_id", F.nullif("_page.markup", F.lit("")).alias("markup"), F.nullif("_page.host", F.lit("")).alias("host"))
+
+    def first(name):
+        place = F.struct(F.col("page_id").isNull().alias("last"), "page_id", name)
+        return F.min(F.when(F.col(name) != "", place))[name].alias(name)
+
+    return found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(first("markup"), first("host"))
 
 
 def _levels(host):

@@ -178,6 +178,17 @@ def test_page_evidence(spark):
     assert [tuple(row) for row in language.page_evidence(pages).collect()] == [(17, "fr", "y.example.fr")]
 
 
+def test_page_evidence_wherever_it_stands(spark):
+    pages = spark.createDataFrame([
+        (1, "http://a.example.de/1", f"<!-- {'x' * 5000} -->\n<HTML LANG='DE'>"), (2, "HTTP://B.example.es/es/2", '<html lang="es">'),
+        (3, "http:///3", "<html>"), (4, "http://c.example.fr/3", None), (5, "http://d.example.com/3", "<html lang=fr>"),
+        (None, "http://e.example.com/3", "<html lang=en>"), (None, "http://f.example.com/4", "<html lang=en>"),
+    ], "page_id BIGINT, url STRING, html STRING")
+    assert sorted(map(tuple, language.page_evidence(pages).collect())) == [
+        (1, "de", "a.example.de"), (2, "es", "b.example.es"), (3, "fr", "c.example.fr"), (4, "en", "f.example.com"),
+    ]
+
+
 def test_language_of_awkward_documents(documents, clashing):
     docs = clashing(documents())
     rows = language.identify(docs).collect()
