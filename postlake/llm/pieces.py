@@ -30,8 +30,14 @@ def byte_level_pieces(text: str) -> list[str]:
 
 def word_pieces(text: str) -> list[bytes]:
     """Pieces for vocabularies that drop white space and case: the words between spaces and line ends,
-    in UTF-8, A-Z in lower case (which changes no composition of letters and marks)."""
-    return text.encode().lower().replace(b"\n", b" ").split(b" ")
+    in UTF-8. Plain ASCII is in lower case; words with other characters, which compose before their case
+    is dropped, and those that may hold a special string are as they stand."""
+    data = text.encode().replace(b"\n", b" ")
+    if b"<|" in data:
+        return [word.lower() if word.isascii() and b"<|" not in word else word for word in data.split(b" ")]
+    if data.isascii():
+        return data.lower().split(b" ")
+    return [word.lower() if word.isascii() else word for word in data.split(b" ")]
 
 
 def parts(text: str, size: int = STEP_CHARS) -> Iterator[str]:

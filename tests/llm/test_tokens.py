@@ -43,6 +43,18 @@ def test_pieces_give_the_ids_of_the_whole_text(some):
         assert flat(some, table, cut) == want
 
 
+COMPOSED = ["<|ENDOFTEXT|>", "<|endoftext|>", "<|EndOfText|>", "<|", "J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a", "A", "b", "Z", "É", "\u030c", " ", "\n"]
+
+
+def test_case_is_dropped_where_the_library_drops_it():
+    random = np.random.default_rng(4)
+    some = ["a <|ENDOFTEXT|> b", "J\u030c", "H\u0331 T\u0308 W\u030a Y\u030a"]
+    some += ["".join(random.choice(COMPOSED, size)) for size in random.integers(0, 12, 2000)]
+    want = [one.ids for one in library("word_bpe_49k.json").encode_batch(some, add_special_tokens=False)]
+    assert want[0] == [320, 27, 347, 40786, 4160, 91, 285, 321]
+    assert flat(some, library_table(WORDS, lower=True), word_pieces) == want
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(ALPHABET, max_size=60), min_size=1, max_size=4))
 def test_byte_pieces_give_the_ids_of_the_rank_library(some):
