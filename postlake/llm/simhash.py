@@ -188,21 +188,26 @@ def _fingerprint_column(texts: pd.Series) -> pd.Series:
 
 def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of each component of ``found`` (from ``near_duplicates``) the
-    row of its smallest id; of several rows under that id the one of the smallest text; where no row
-    of a component has an id, the one of the smallest text.
+    row of its smallest id; of several rows under that id, in components whose smallest it is, the one of
+    the smallest text; where no row of a component has an id, the one of the smallest text.
 
     Ids are counted apart from the texts, and only rows under a repeated id or none are ranked.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.struct(*map(F.col, docs.columns)).alias("row"))
     order = F.struct(*(F.col("row")[c] for c in [text_col, *(c for c in docs.columns if c != text_col)]))
-    first = found.where(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias("id"))
+    own = F.col(id_col) == F.col("component_id")
+    first = found.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(own).alias("own")
+    ).where("own").select("id", "n")
     # As many ids as documents: a shuffle join at every size, never a broadcast while they happen to be few.
-    kept = rows.join(cut_lineage(first.agg(F.count(F.lit(1)).alias("n"))).hint("merge"), "id")
+    kept = rows.join(cut_lineage(first).hint("merge"), "id")
     once = kept.where("n = 1").select("row.*")
     smallest = F.min_by("row", order).alias("row")
-    again = kept.where("n > 1").groupBy("id").agg(smallest).select("row.*")
-    nameless = found.where("component_id IS NULL").select(
-        F.conv("fingerprint", 16, -10).cast("long").alias("fp"), "component"
-    ).distinct()
+    fp = F.conv("fingerprint", 16, -10).cast("long").alias("fp")
+    # Other rows of a repeated id may be in components of smaller ids.
+    there = found.where(own).select(F.col(id_col).alias("id"), fp).distinct()
+    again = kept.where("n > 1").withColumn("fp", _fingerprint_column(F.col("row")[text_col])).join(there, ["id", "fp"])
+    again = again.groupBy("id").agg(smallest).select("row.*")
+    nameless = found.where("component_id IS NULL").select(fp, "component").distinct()
     lost = rows.where("id IS NULL").withColumn("fp", _fingerprint_column(F.col("row")[text_col])).join(nameless, "fp")
     return once.unionByName(again).unionByName(lost.groupBy("component").agg(smallest).select("row.*"))

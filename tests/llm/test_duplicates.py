@@ -87,6 +87,16 @@ def test_simhash_of_awkward_documents(documents, clashing):
     assert simhash.keep_one(documents([]), simhash.near_duplicates(documents([]))).collect() == []
 
 
+def test_a_repeated_id_stays_only_where_it_is_the_smallest(documents):
+    one, two = ("eins zwei drei vier", "uno dos tres cuatro cinco")
+    docs = documents([(1, one, "de", "a", 0), (2, one, "de", "a", 0), (2, two, "es", "a", 0), (3, two, "es", "a", 0), (4, "x y z", "en", "a", 0)])
+    kept = simhash.keep_one(docs, simhash.near_duplicates(docs))
+    assert sorted((row["doc_id"], row["text"]) for row in kept.collect()) == [(1, one), (2, two), (4, "x y z")]
+    docs = documents([(1, one, "de", "a", 0), (2, one, "de", "a", 0), (2, two, "es", "a", 0), (0, two, "es", "a", 0)])
+    kept = simhash.keep_one(docs, simhash.near_duplicates(docs))
+    assert sorted((row["doc_id"], row["text"]) for row in kept.collect()) == [(0, two), (1, one)]
+
+
 def cosine_groups(vectors, least=0.9):
     units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     near = units @ units.T >= least
