@@ -19,8 +19,13 @@ _BEFORE_SPACE = re.compile(r"(?<=\S)(?= \S)")
 
 #: Characters of text per step; longer texts are cut at safe boundaries into parts of about this size.
 STEP_CHARS = 1 << 21
-#: Distinct pieces kept by a Python worker before it starts anew.
+#: Distinct pieces kept by a Python worker before it starts anew, and about how many bytes they may take.
 TABLE_LIMIT = 500_000
+TABLE_BYTES = 96 << 20
+#: Longer pieces (texts without spaces) are not kept when a table starts anew.
+LONG_PIECE = 64
+#: About what a piece takes besides its characters and ids.
+_ENTRY_BYTES = 150
 
 
 def byte_level_pieces(text: str) -> list[str]:
@@ -75,12 +80,14 @@ class _Codes(dict):
 class PieceTable:
     """Ids of distinct pieces. ``encode`` takes pieces and returns (flat ids, ids per piece).
 
-    Beyond ``limit`` pieces those seen again so far are kept and the others forgotten.
+    Beyond ``limit`` pieces, or ``size`` bytes, short pieces seen again so far are kept and the others
+    forgotten, so that texts without spaces, a piece each, do not pile up.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = TABLE_LIMIT):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = TABLE_LIMIT, size: int = TABLE_BYTES):
         self._encode = encode
         self._limit = limit
+        self._size = size
         self._keep({}, np.zeros(0, np.int32), np.zeros(0, np.int64))
 
     def _keep(self, codes: dict, ids: np.ndarray, lengths: np.ndarray) -> None:
@@ -89,22 +96,29 @@ class PieceTable:
         self._lengths = lengths
         self._starts = np.cumsum(lengths) - lengths
         self._seen = np.zeros(len(codes), np.int64)
+        self._bytes = self._weight(list(codes), ids)
+
+    @staticmethod
+    def _weight(pieces: list, ids: np.ndarray) -> int:
+        return sum(map(len, pieces)) + 4 * len(ids) + _ENTRY_BYTES * len(pieces)
 
     def _forget(self) -> None:
-        again = np.flatnonzero(self._seen > 2)
-        if len(again) * 2 > self._limit:
-            again = again[:0]
         names = list(self._codes)
+        again = np.array([at for at in np.flatnonzero(self._seen > 2).tolist() if len(names[at]) <= LONG_PIECE], np.int64)
+        if len(again) * 2 > self._limit or self._weight([names[at] for at in again.tolist()], self.ids(again)) * 2 > self._size:
+            again = again[:0]
         self._keep({names[old]: new for new, old in enumerate(again.tolist())}, self.ids(again), self._lengths[again])
 
     def look_up(self, pieces: list[str]) -> np.ndarray:
         """The codes of ``pieces``; valid until the next call."""
-        if len(self._codes) > self._limit:
+        if len(self._codes) > self._limit or self._bytes > self._size:
             self._forget()
         known = len(self._codes)
         codes = np.fromiter(map(self._codes.__getitem__, pieces), np.int64, len(pieces))
         if len(self._codes) > known:
-            ids, lengths = self._encode(list(islice(self._codes, known, None)))
+            fresh = list(islice(self._codes, known, None))
+            ids, lengths = self._encode(fresh)
+            self._bytes += self._weight(fresh, ids)
             self._ids = np.concatenate([self._ids, ids])
             self._lengths = np.concatenate([self._lengths, lengths])
             self._starts = np.cumsum(self._lengths) - self._lengths

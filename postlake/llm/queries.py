@@ -261,3 +261,17 @@ def tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     from postlake.llm.tool_calls import link
 
     return link(*derived_calls(table(spark, sf_dir, "conversations")), TOOLS)
+
+
+@_query("op12_sentencepiece")
+def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the SentencePiece ids of all documents and of the texts decoded from them."""
+    import public_tokenizers
+
+    from postlake.llm.marked_words import encode
+
+    tokens = encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), decoded="decoded")
+    return tokens.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
