@@ -275,3 +275,12 @@ def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@_query("op13_whitening")
+def whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors whitened on their first eight components."""
+    from postlake.llm.whitening import whiten
+
+    rows = whiten(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").try_cast("bigint"))
