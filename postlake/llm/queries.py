@@ -284,3 +284,31 @@ def whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = whiten(table(spark, sf_dir, "embeddings"))
     return rows.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
+@_query("op11_collocations", r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (SELECT lang, k, list_aggregate(w[i:i + k - 1], 'string_agg', ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, range(1, 5) t(k) WHERE len(w) >= k)),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*)::HUGEINT AS c FROM grams GROUP BY ALL HAVING count(*) >= 30 OR k = 1),
+sizes AS (SELECT lang, sum(c) AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS MATERIALIZED (SELECT lang, k, phrase, c AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cuts AS (SELECT p.lang, p.phrase, p.a, cut, h.c AS l, t.c AS r, 2000000 * p.a // (h.c + t.c) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand) p
+  JOIN f h ON h.lang = p.lang AND h.phrase = array_to_string(p.w[1:cut], ' ')
+  JOIN f t ON t.lang = p.lang AND t.phrase = array_to_string(p.w[cut + 1:], ' ')),
+weakest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS o FROM cuts),
+inside AS (SELECT lang, array_to_string(w[i:j], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, k, w, a, i, unnest(range(i + 1, k + 1)) AS j FROM (SELECT *, unnest(range(1, k)) AS i FROM cand))
+  WHERE j - i + 1 < k GROUP BY ALL),
+kept AS (SELECT x.* FROM weakest x LEFT JOIN inside USING (lang, phrase) WHERE o = 1 AND coalesce(100 * longer < 80 * a, true)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000""")
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of each language by their weakest cut, over all documents."""
+    from postlake.llm.collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
