@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from postlake.operators import normalize, stats
+from postlake.operators.tag_index import build_tag_index
 from postlake.session import configure, shared_dir
 from postlake.sinks.tables import save_bucketed
 
@@ -116,13 +117,13 @@ _saved: set[str] = set()
 
 
 def bucketed(
-    spark: SparkSession, sf_dir: str, name: str, key: str, build: Callable[[], DataFrame]
+    spark: SparkSession, sf_dir: str, name: str, key: str, build: Callable[[], DataFrame], order: list[str] | None = None
 ) -> DataFrame:
     """``build()`` saved once as a table bucketed on ``key``."""
     path = folder(configure(spark), sf_dir, name)
     saved = f"{name}_{path.split('/')[-2]}"
     if path not in _saved:
-        save_bucketed(build(), key, saved, path, parts(spark, sf_dir))
+        save_bucketed(build(), key, saved, path, parts(spark, sf_dir), order)
         _saved.add(path)
     return spark.table(saved)
 
@@ -160,6 +161,12 @@ def post_tags_by_post(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tag_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bitmaps of the posts of each tag, bucketed on the block of ids, for searches."""
+    related = post_tags_by_post(spark, sf_dir)
+    return bucketed(spark, sf_dir, "tag_index", "block", lambda: build_tag_index(related), ["tag_id", "block"])
+
+
 def tag_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written(
         spark, sf_dir, "tag_stats",

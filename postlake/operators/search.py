@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlake.functions.media import window_start
 from postlake.operators.gather import joined_names, named_entries
 from postlake.operators.numbering import dense_positions
 from postlake.schemas import ALL_TAG_COLUMNS, LOCAL_WINDOW, TRIMMED_PLAIN_POST, TRIMMED_POST
+from postlake.session import cut_lineage
 
 _MASK_BITS = 63
 
@@ -102,11 +104,26 @@ def search_all_capped(ids: DataFrame, max_posts: int | None = None) -> DataFrame
     return _rows_between(ids, 0, max_posts) if max_posts else ids.orderBy("post_id")
 
 
+_DRAW_BITS = 60
+
+
 def random_posts(ids: DataFrame, n: int, seed: int) -> DataFrame:
-    """``n`` matches in random order. Hashing the id makes the draw repeatable under retries, and
-    numbering the hashes in parallel keeps any ``n`` out of one task."""
+    """``n`` matches in random order. Hashing the id makes the draw repeatable under retries.
+
+    The first bits of the hash are a number; a bound on it, from the number of matches, lets a little
+    more than ``n`` pass, and only those are written and put in order, in parallel. Where too few pass,
+    which is rare, the bound doubles.
+    """
     drawn = ids.withColumn("_draw", F.md5(F.concat(F.lit(f"{seed}:"), F.col("post_id").cast("string"))))
-    placed = dense_positions(drawn, ["_draw", "post_id"], "_at")
+    first = F.conv(F.substring("_draw", 1, _DRAW_BITS // 4), 16, 10).cast("bigint")
+    total = ids.count()
+    bound = min(total, n + 5 * math.isqrt(n) + 20) * (1 << _DRAW_BITS) // max(1, total)
+    while True:
+        chosen = cut_lineage(drawn.where(first < bound) if bound < 1 << _DRAW_BITS else drawn)
+        if bound >= 1 << _DRAW_BITS or chosen.count() >= n:
+            break
+        bound *= 2
+    placed = dense_positions(chosen, ["_draw", "post_id"], "_at")
     return placed.where(F.col("_at") < n).orderBy("_at").select(*ids.columns)
 
 
@@ -130,22 +147,48 @@ def trim_post(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c) if c in df.columns else F.lit(None).alias(c) for c in keep])
 
 
+_BITMAP_IDS = 32_768  # bits of a bitmap
+
+
 def id_window_coverage(post: DataFrame, low: int, high: int, size: int) -> DataFrame:
     """(window, n_posts, missing) for every aligned window that overlaps [low, high].
 
-    ``missing`` lists the ids of the window inside [low, high] that no post has; a window holds at
-    most ``size`` ids however many posts repeat them.
+    ``missing`` lists the ids of the window inside [low, high] that no post has. Ids become bits ahead
+    of the shuffle: a bitmap holds as many whole windows as it has room for, and a window above its
+    size takes several. An id that repeats a million times costs one bit. Ids are not negative.
     """
     first = low - low % size
-    windows = post.sparkSession.range(first, high + 1, size).withColumnRenamed("id", "window")
-    ids = post.where(F.col("id").between(low, high)).select("id")
-    present = ids.groupBy(window_start(F.col("id"), size).alias("window")).agg(
-        F.collect_set("id").alias("_ids")
-    ).withColumn("n_posts", F.size("_ids").cast("bigint"))
-    start, end = F.greatest("window", F.lit(low)), F.least(F.col("window") + size - 1, F.lit(high))
-    found = F.coalesce(F.col("_ids"), F.array().cast("array<bigint>"))
-    return windows.join(present, "window", "left").select(
-        "window",
-        F.coalesce("n_posts", F.lit(0)).alias("n_posts"),
-        F.array_except(F.sequence(start, end), found).alias("missing"),
+    span = size * (_BITMAP_IDS // size) if size <= _BITMAP_IDS else _BITMAP_IDS
+    pieces = 1 if size <= _BITMAP_IDS else -(-size // span)
+    windows = post.sparkSession.range(first, high + 1, max(size, span)).select(
+        F.col("id").alias("_start"), F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).alias("_piece"),
+        F.lit(None).cast("bigint").alias("_bit"),
     )
+    ids = post.where(F.col("id").between(low, high)).select((F.col("id") - first).alias("_id"))
+    into = F.col("_id") % max(size, span)
+    bits = ids.select((F.col("_id") - into + first).alias("_start"), F.floor(into / span).cast("int").alias("_piece"), (into % span).alias("_bit"))
+    held = windows.unionByName(bits).groupBy("_start", "_piece").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    start = F.col("_start") + F.col("_piece") * span  # of the bitmap
+    if pieces == 1:
+        parts = held.select(start.alias("_from"), "_bits", F.explode(F.sequence(start, F.least(start + span - size, F.lit(high)), F.lit(size))).alias("window"))
+        length = size
+    else:
+        parts = held.select(start.alias("_from"), "_bits", F.col("_start").alias("window"))
+        length = span
+
+    begin = F.col("window") if pieces == 1 else F.col("_from")
+    low_id = F.greatest(begin, F.lit(low))
+    high_id = F.least(begin + length - 1, F.col("window") + size - 1, F.lit(high))
+    inside = F.when(low_id <= high_id, F.sequence(low_id, high_id)).otherwise(F.array().cast("array<bigint>"))
+
+    def unset(post_id: Column) -> Column:
+        at = post_id - F.col("_from")
+        byte = F.substring(F.col("_bits"), (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))
+        return F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (at % 8).cast("int")) == 0
+
+    found = parts.select("window", F.size(inside).cast("bigint").alias("_n"), F.filter(inside, unset).alias("missing"))
+    counted = found.select("window", (F.col("_n") - F.size("missing")).alias("n_posts"), "missing")
+    if pieces == 1:
+        return counted
+    ordered = F.sort_array(F.flatten(F.collect_list("missing")))
+    return counted.groupBy("window").agg(F.sum("n_posts").alias("n_posts"), ordered.alias("missing"))

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from postlake import fixtures as fx
-from postlake.operators import search
+from postlake.operators import saved_search, search, tag_index
 from postlake.registry import inputs
-from postlake.registry.base import CLOCK, clock, define, query
+from postlake.registry.base import CLOCK, clock, define, fresh_folder, query
 from postlake.schemas import TRIMMED_POST
 
 NAMES = ["red", "plate", "new"]
@@ -17,7 +17,7 @@ _MATCH = " INTERSECT ".join(
 
 
 def _matches(spark, sf_dir):
-    return search.search_intersect(fx.post_tags(spark, sf_dir), fx.tags(spark, sf_dir), NAMES)
+    return tag_index.search_index(fx.tag_index(spark, sf_dir), fx.numbered(spark, sf_dir), NAMES)
 
 
 @query("search_intersect", _MATCH, "post_tag")
@@ -25,20 +25,39 @@ def search_intersect(spark, sf_dir):
     return _matches(spark, sf_dir)
 
 
+@query("search_by_relation", _MATCH, "post_tag")
+def search_by_relation(spark, sf_dir):
+    """The same search over the relation itself, where no index is kept."""
+    return search.search_intersect(fx.post_tags(spark, sf_dir), fx.tags(spark, sf_dir), NAMES)
+
+
 @query(
     "search_min_score",
     f"SELECT post_id FROM ({_MATCH}) JOIN post ON id = post_id WHERE coalesce(score, 0) >= 51",
     ("post_tag", "post"),
 )
 def search_min_score(spark, sf_dir):
-    return search.search_min_score(
-        fx.post_tags(spark, sf_dir), fx.tags(spark, sf_dir), fx.posts(spark, sf_dir), NAMES, 51
+    return tag_index.search_index_min_score(
+        fx.tag_index(spark, sf_dir), fx.numbered(spark, sf_dir), fx.posts(spark, sf_dir), NAMES, 51
     )
 
 
 @query("search_page", f"SELECT post_id FROM ({_MATCH}) ORDER BY post_id LIMIT 20 OFFSET 20", "post_tag")
 def search_page(spark, sf_dir):
-    return search.search_page(_matches(spark, sf_dir), page=2, size=20)
+    """Saved once as bitmaps; a page reads its own blocks."""
+    path = fresh_folder(spark, sf_dir, "search")
+    blocks = tag_index.search_blocks(fx.tag_index(spark, sf_dir), fx.numbered(spark, sf_dir), NAMES)
+    saved_search.save_search(blocks, path)
+    return saved_search.read_page(saved_search.saved_search(spark, path), page=2, size=20)
+
+
+@query("search_page_after", f"SELECT post_id FROM ({_MATCH}) WHERE post_id > 5000 ORDER BY post_id LIMIT 30", "post_tag")
+def search_page_after(spark, sf_dir):
+    """The page behind a cursor."""
+    path = fresh_folder(spark, sf_dir, "search")
+    blocks = tag_index.search_blocks(fx.tag_index(spark, sf_dir), fx.numbered(spark, sf_dir), NAMES)
+    saved_search.save_search(blocks, path)
+    return saved_search.page_after(saved_search.saved_search(spark, path), 5000, 30)
 
 
 @query("search_all_capped", f"SELECT post_id FROM ({_MATCH}) ORDER BY post_id LIMIT 500", "post_tag")

@@ -46,16 +46,18 @@ def save_by_month(post: DataFrame, name: str, path: str | None = None) -> None:
 
 
 def save_bucketed(
-    df: DataFrame, key: str, name: str, path: str | None = None, buckets: int | None = None
+    df: DataFrame, key: str, name: str, path: str | None = None, buckets: int | None = None,
+    order: list[str] | None = None,
 ) -> None:
-    """Bucketed and sorted by ``key``, so that joins and groupings on it need no exchange.
+    """Bucketed on ``key``, so that joins and groupings on it need no exchange, and sorted by it or by
+    ``order``.
 
     For keys that spread evenly, such as post ids. A tag may hold a third of a relation and would
     fill one bucket: ``save_clustered`` is the layout for tags.
     """
     count = buckets or shuffle_partitions(df.sparkSession)
     placed = df.repartition(count, key)
-    _save(placed.write.mode("overwrite").bucketBy(count, key).sortBy(key), name, path)
+    _save(placed.write.mode("overwrite").bucketBy(count, key).sortBy(*(order or [key])), name, path)
 
 
 def save_clustered(df: DataFrame, keys: list[str], name: str, path: str | None = None) -> None:
