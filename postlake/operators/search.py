@@ -116,8 +116,8 @@ def random_posts(ids: DataFrame, n: int, seed: int) -> DataFrame:
     """
     drawn = ids.withColumn("_draw", F.md5(F.concat(F.lit(f"{seed}:"), F.col("post_id").cast("string"))))
     first = F.conv(F.substring("_draw", 1, _DRAW_BITS // 4), 16, 10).cast("bigint")
-    total = ids.count()
-    bound = min(total, n + 5 * math.isqrt(n) + 20) * (1 << _DRAW_BITS) // max(1, total)
+    total, wanted = ids.count(), n + 5 * math.isqrt(n) + 20
+    bound = (wanted << _DRAW_BITS) // total if wanted < total else 1 << _DRAW_BITS
     while True:
         chosen = cut_lineage(drawn.where(first < bound) if bound < 1 << _DRAW_BITS else drawn)
         if bound >= 1 << _DRAW_BITS or chosen.count() >= n:
