@@ -7,30 +7,27 @@ from pyspark.sql import functions as F
 
 from postlake.operators import normalize
 from postlake.operators.dedup import dedup_by_id
-from postlake.operators.records import (
-    RECORD_ORDER, flatten_paths, nesting, schema_all_string, schema_fixed, schema_keep_all,
-    unwrap_envelope,
-)
+from postlake.operators.paths import record_maps
+from postlake.operators.records import RECORD_ORDER, schema_all_string, schema_fixed, unwrap_envelope
 from postlake.schemas import POST_FIELDS
 from postlake.sinks.files import write_parquet_zstd
 from postlake.sinks.tables import save_bucketed, save_clustered, save_if_missing
 from postlake.sources.jsonl import from_min_id, parse_strict, parse_tolerant, read_lines
 
 
-def _parsed(
-    spark: SparkSession, paths: str | list[str], min_id: int | None, strict: bool, must_exist: bool
-) -> DataFrame:
+def _lines(spark: SparkSession, paths: str | list[str], min_id: int | None, must_exist: bool) -> DataFrame:
     keep = None if min_id is None else (lambda name: from_min_id(name, min_id))
-    lines = read_lines(spark, paths, keep, must_exist=must_exist)
+    return read_lines(spark, paths, keep, must_exist=must_exist)
+
+
+def _parsed(lines: DataFrame, strict: bool) -> DataFrame:
     return parse_strict(lines) if strict else parse_tolerant(lines)
 
 
-def _flat(parsed: DataFrame, keys: list[str] | None, keep_all: bool) -> DataFrame:
-    records = unwrap_envelope(parsed)
+def _flat(lines: DataFrame, keys: list[str] | None, keep_all: bool, strict: bool) -> DataFrame:
     if keep_all:
-        depth, dotted = nesting(parsed)
-        flat = flatten_paths(records, RECORD_ORDER, depth, dotted)
-        return schema_keep_all(records, flat, RECORD_ORDER)
+        return record_maps(lines, [c for c in RECORD_ORDER if c != "place"], strict)
+    records = unwrap_envelope(_parsed(lines, strict))
     if keys is None or set(keys) == set(POST_FIELDS):
         return schema_fixed(records)
     return schema_all_string(records, keys)
@@ -43,7 +40,7 @@ def flat_records(
 ) -> DataFrame:
     """Flat records of all lines: the fixed schema, the listed keys as text, or every path in a map
     ``fields``. Records kept whole are de-duplicated by the path ``id``."""
-    flat = _flat(_parsed(spark, paths, min_id, strict, must_exist), keys, keep_all)
+    flat = _flat(_lines(spark, paths, min_id, must_exist), keys, keep_all, strict)
     if deduplicate:
         named = flat.withColumn("id", F.try_element_at("fields", F.lit("id"))) if keep_all else flat
         flat = dedup_by_id(named, RECORD_ORDER).select(*flat.columns)
@@ -55,7 +52,7 @@ def jsonl_to_parquet(
     strict: bool = True, must_exist: bool = True, **options,
 ) -> bool:
     """Flat records as zstd Parquet; says whether anything was written."""
-    source = unwrap_envelope(_parsed(spark, paths, min_id, strict, must_exist))
+    source = unwrap_envelope(_parsed(_lines(spark, paths, min_id, must_exist), strict))
     flat = flat_records(
         spark, paths, min_id=min_id, strict=strict, must_exist=False, **options
     )

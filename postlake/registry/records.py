@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from postlake import fixtures as fx
 from postlake.functions.media import window_start
-from postlake.operators import dedup, records
+from postlake.operators import dedup, paths, records
 from postlake.operators.records import RECORD_ORDER
 from postlake.registry import inputs
 from postlake.registry.base import query
@@ -30,23 +30,47 @@ UNION ALL SELECT event_id, 'ev.l.0', '' || user_id FROM events
 UNION ALL SELECT event_id, 'ev.l.1.c', NULL FROM events"""
 
 
+def _event_lines(spark, sf_dir):
+    return fx.table(spark, sf_dir, "events").select("event_id", F.expr(_NESTED).alias("line"))
+
+
 @query("flatten_paths", _PATHS)
 def flatten_paths(spark, sf_dir):
+    return paths.path_rows(paths.record_maps(_event_lines(spark, sf_dir), ["event_id"], strict=True)).drop("place")
+
+
+@query("flatten_variants", _PATHS)
+def flatten_variants(spark, sf_dir):
+    """The same rows from parsed records, where no two values share a path."""
     lines, recs = _event_records(spark, sf_dir)
     depth, dotted = records.nesting(lines)
     return records.flatten_paths(recs, ["event_id"], depth, dotted)
 
 
+_COLLIDING = """CASE event_id % 4 WHEN 0 THEN '{"a.b":"first","a":{"b":"' || event_type || '"}}'
+  WHEN 1 THEN '{"a":{"b":"first"},"a.b":"' || event_type || '"}'
+  WHEN 2 THEN '{"post":[{"a":{"b":{"c":1},"b.c":"' || event_type || '"}},{"l":["first"],"l.0":"' || event_type || '"}]}'
+  ELSE '{"a.b":"first","a":{"c":2},"x":{},"a":{"b":"' || event_type || '"}}' END"""
+
+
+@query(
+    "flatten_paths_colliding",
+    """SELECT event_id, CASE event_id % 4 WHEN 2 THEN 'a.b.c' ELSE 'a.b' END AS path, event_type AS value FROM events
+UNION ALL SELECT event_id, 'l.0', event_type FROM events WHERE event_id % 4 = 2""",
+)
+def flatten_paths_colliding(spark, sf_dir):
+    """Two values on one path, in both orders: the last in the document stays."""
+    lines = fx.table(spark, sf_dir, "events").select("event_id", F.expr(_COLLIDING).alias("line"))
+    return paths.path_rows(paths.record_maps(lines, ["event_id"])).drop("place")
+
+
 @query(
     "schema_keep_all",
     """SELECT event_id, '' || event_id AS id, json_extract_string(props, '$.k') AS ev_props_k,
   event_type AS ev_type, '' || user_id AS ev_l_0, CAST(NULL AS VARCHAR) AS ev_l_1_c FROM events""",
 )
 def schema_keep_all(spark, sf_dir):
-    lines, recs = _event_records(spark, sf_dir)
-    depth, dotted = records.nesting(lines)
-    flat = records.flatten_paths(recs, ["event_id"], depth, dotted)
-    kept = records.schema_keep_all(recs, flat, ["event_id"])
+    kept = paths.record_maps(_event_lines(spark, sf_dir), ["event_id"], strict=True).drop("place")
     wide = records.fields_as_columns(kept, ["id", "ev.props.k", "ev.type", "ev.l.0", "ev.l.1.c"])
     return wide.toDF(*[c.replace(".", "_") for c in wide.columns])
 
@@ -63,10 +87,7 @@ FROM events""",
 def schema_keep_all_empty(spark, sf_dir):
     """Records of which two thirds hold no value."""
     events = fx.table(spark, sf_dir, "events").select("event_id", F.expr(_SPARSE).alias("line"))
-    lines = jsonl.parse_strict(events)
-    recs = records.unwrap_envelope(lines)
-    depth, dotted = records.nesting(lines)
-    kept = records.schema_keep_all(recs, records.flatten_paths(recs, ["event_id"], depth, dotted), ["event_id"])
+    kept = paths.record_maps(events, ["event_id"], strict=True)
     pairs = F.transform(
         F.array_sort(F.map_entries("fields")),
         lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit(""))),
