@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from postlake.operators import normalize, stats
 from postlake.operators.tag_index import build_tag_index
 from postlake.session import configure, shared_dir
-from postlake.sinks.tables import save_bucketed
+from postlake.sinks.tables import by_tag_range, save_bucketed
 
 MIN_PARTS = 8
 
@@ -161,6 +161,19 @@ def post_tags_by_post(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TAG_RANGES = 64
+
+
+def post_tags_by_range(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """The relation partitioned by ranges of tag ids, and how many ids a range holds."""
+    width = max(1, tags(spark, sf_dir).count() // TAG_RANGES)
+    path = folder(configure(spark), sf_dir, "post_tag_by_range")
+    if path not in _written:
+        by_tag_range(post_tags_by_post(spark, sf_dir), width).write.mode("overwrite").partitionBy("tag_range").parquet(path)
+        _written.add(path)
+    return spark.read.parquet(path), width
+
+
 def tag_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bitmaps of the posts of each tag, bucketed on the block of ids, for searches."""
     related = post_tags_by_post(spark, sf_dir)

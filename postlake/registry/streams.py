@@ -9,6 +9,7 @@ from postlake.registry import inputs
 from postlake.registry.base import CLOCK, clock, fresh_folder, query
 from postlake.registry.dictionary import WORDS
 from postlake.sources.dictionary import load_tag_dictionary
+from postlake.session import cut_lineage
 from postlake.streaming import ingest, missing_tags, requests, tag_stats
 
 
@@ -46,15 +47,40 @@ def stream_ingest_without_id(spark, sf_dir):
     return _read_posts(spark, f"{run}/out").drop("id")
 
 
-@query("stream_dedup_bounded", _CLIPPED, "post_src")
+def _fetched(spark, sf_dir, folder):
+    """Posts as lines of one file an hour: each id in one of six hours, a third of them again an hour
+    later and a fifth seven hours later, with other scores."""
+    first = F.col("id") % 6
+
+    def seen(after, more):
+        return F.struct("id", (F.col("score") + more).alias("score"), (first + after).alias("hour"))
+
+    times = F.array(seen(0, 0), F.when(F.col("id") % 3 == 0, seen(1, 1000)), F.when(F.col("id") % 5 == 0, seen(7, 2000)))
+    posts = fx.flat_posts(spark, sf_dir).select(F.explode(F.array_compact(times)).alias("p")).select("p.*")
+    clock = F.date_format(F.timestamp_seconds(F.lit(1704067200) + F.col("hour") * 3600), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    lines = posts.select("hour", F.to_json(F.struct("id", "score", clock.alias("fetched_at"))).alias("line"))
+    kept = cut_lineage(lines)
+    for hour in range(13):  # files are read in the order in which they were written
+        of_hour = kept.where(F.col("hour") == hour).select("line")
+        of_hour.coalesce(1).write.mode("append").text(f"{folder}/in")
+
+
+@query(
+    "stream_dedup_bounded",
+    """SELECT id, score FROM post_src UNION ALL SELECT id, score + 2000 FROM post_src WHERE id % 5 = 0""",
+    "post_src",
+)
 def stream_dedup_bounded(spark, sf_dir):
+    """Ids that come back within the delay are left out; those that come back after it are admitted again."""
     run = fresh_folder(spark, sf_dir, "bounded")
-    posts = ingest.arriving_posts(spark, inputs.line_tree(spark, sf_dir), low=50, files_per_batch=1)
-    parts = fx.parts(spark, sf_dir)
-    _finish(
-        ingest.ingest_dedup_bounded(posts, f"{run}/out", f"{run}/checkpoint", "1 hour", parts)
-    )
-    return _read_posts(spark, f"{run}/out")
+    _fetched(spark, sf_dir, run)
+    lines = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(f"{run}/in")
+    fields = F.from_json("value", "id BIGINT, score BIGINT, fetched_at TIMESTAMP")
+    posts = lines.select(fields.alias("p")).select("p.*")
+    _finish(ingest.ingest_dedup_bounded(
+        posts, f"{run}/out", f"{run}/checkpoint", "90 minutes", fx.parts(spark, sf_dir), "fetched_at"
+    ))
+    return spark.read.parquet(f"{run}/out").select("id", "score")
 
 
 @query(
@@ -74,9 +100,9 @@ def stream_search_requests(spark, sf_dir):
     )
     typed.repartition(3).write.text(f"{run}/in")
     arriving = requests.arriving_requests(spark, f"{run}/in", files_per_batch=1)
+    related, width = fx.post_tags_by_range(spark, sf_dir)
     _finish(requests.answer_requests(
-        arriving, fx.tags(spark, sf_dir), fx.post_tags(spark, sf_dir), f"{run}/out",
-        f"{run}/checkpoint", fx.parts(spark, sf_dir),
+        arriving, fx.tags(spark, sf_dir), related, f"{run}/out", f"{run}/checkpoint", fx.parts(spark, sf_dir), width,
     ))
     return requests.answers(spark, f"{run}/out")
 
@@ -108,7 +134,7 @@ def stream_missing_tags(spark, sf_dir):
     arriving = spark.readStream.schema(plain.schema).option("maxFilesPerTrigger", 3).parquet(source)
     dictionary = load_tag_dictionary(spark, inputs.dictionary_folder(spark, sf_dir))
     _finish(missing_tags.queue_missing_tags(
-        arriving, WORDS, dictionary, f"{run}/out", f"{run}/checkpoint"
+        arriving, WORDS, dictionary, f"{run}/out", f"{run}/checkpoint", partitions=fx.parts(spark, sf_dir)
     ))
     batches = missing_tags.lookup_batches(spark, f"{run}/out", finished=True)
     return batches.select(F.explode(F.split("names", " ")).alias("name"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlake.functions.times import month_of
@@ -65,3 +65,21 @@ def save_clustered(df: DataFrame, keys: list[str], name: str, path: str | None =
     row groups; the later keys split a first key that is too large for one file."""
     placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     _save(placed.write.mode("overwrite"), name, path)
+
+
+def tag_range(tag_id: str, width: int) -> Column:
+    """The range of ``width`` tag ids that holds ``tag_id``."""
+    return F.floor(F.col(tag_id) / width)
+
+
+def by_tag_range(post_tag: DataFrame, width: int) -> DataFrame:
+    """The relation with ``tag_range``, laid out so that a range is a few files of even size: a range
+    with a hot tag is split by ``rebalance``."""
+    ranged = post_tag.withColumn("tag_range", tag_range("tag_id", width))
+    return ranged.hint("rebalance", "tag_range").sortWithinPartitions("tag_range", "tag_id", "post_id")
+
+
+def save_by_tag_range(post_tag: DataFrame, width: int, name: str, path: str | None = None) -> None:
+    """The relation partitioned by ranges of ``width`` tag ids. Choose ``width`` so that there are some
+    hundreds of ranges; ids are dense, so their number is known."""
+    _save(by_tag_range(post_tag, width).write.mode("overwrite").partitionBy("tag_range"), name, path)

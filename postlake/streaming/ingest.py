@@ -67,13 +67,19 @@ def ingest_without_id(posts: DataFrame, out: str, checkpoint: str) -> StreamingQ
 
 
 def ingest_dedup_bounded(
-    posts: DataFrame, out: str, checkpoint: str, delay: str, partitions: int | None = None
+    posts: DataFrame, out: str, checkpoint: str, delay: str, partitions: int | None = None,
+    event_time: str | None = None,
 ) -> StreamingQuery:
-    """Like ``ingest_dedup`` with ids forgotten ``delay`` after they arrived.
+    """Like ``ingest_dedup`` with ids forgotten ``delay`` after they arrived: an id that comes back
+    later is appended again.
 
-    The event time is the time of the batch, so no post is ever late and none is dropped for it.
+    ``event_time`` names a timestamp of the rows, such as when a post was fetched; rows more than
+    ``delay`` older than the newest seen are left out, as their ids may be forgotten already, and NULL
+    is the time of the batch. Without it the time of the batch counts, so that no post is ever late.
     """
-    arrived = posts.where("id IS NOT NULL").withColumn("arrived", F.current_timestamp())
-    once = arrived.withWatermark("arrived", delay).dropDuplicatesWithinWatermark(["id"])
+    when = F.current_timestamp()
+    when = F.coalesce(F.col(event_time), when) if event_time else when
+    arrived = posts.where("id IS NOT NULL").withColumn("_arrived", when)
+    once = arrived.withWatermark("_arrived", delay).dropDuplicatesWithinWatermark(["id"])
     with state_partitions(posts.sparkSession, partitions):
-        return _append(once.drop("arrived"), out, checkpoint)
+        return _append(once.drop("_arrived"), out, checkpoint)

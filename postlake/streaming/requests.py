@@ -9,9 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 from postlake.functions.text import normalize_query, sanitize_folder
 from postlake.operators.skew import join_even
 from postlake.session import cut_lineage
+from postlake.sinks.tables import tag_range
 from postlake.streaming.batches import prepare, read_batches, run_batches, write_batch
 
-FEW_IDS = 1000
 ANSWER = "request STRING, folder STRING, post_id BIGINT"
 
 
@@ -24,31 +24,36 @@ def arriving_requests(spark: SparkSession, folder: str, files_per_batch: int | N
     return reader.load(folder).select(request).where("request <> ''").dropDuplicates(["request"])
 
 
-def answer(requests: DataFrame, tag: DataFrame, post_tag: DataFrame) -> DataFrame:
+def answer(requests: DataFrame, tag: DataFrame, post_tag: DataFrame, width: int | None = None) -> DataFrame:
     """(request, folder, post_id): the distinct posts that carry the requested tag.
 
-    The requests become tag ids first. The scan of a relation sorted by tag is held to their range, and
-    to the ids themselves while they are few; the rows are the same either way.
+    The requests become tag ids first. A relation saved by ranges of ``width`` tag ids (``tag_range``,
+    see ``save_by_tag_range``) is read in the ranges that hold a requested tag and no others: the
+    broadcast of the wanted ids prunes its partitions, whatever their number. A relation sorted by tag is
+    held to the range of the wanted ids.
     """
     wanted = cut_lineage(requests.join(tag, requests["request"] == tag["name"]).select("request", "tag_id"))
     low, high = wanted.agg(F.min("tag_id"), F.max("tag_id")).first()
-    post_tag = post_tag.where(F.col("tag_id").between(low, high))
-    ids = [row[0] for row in wanted.select("tag_id").distinct().limit(FEW_IDS + 1).collect()]
-    if len(ids) <= FEW_IDS:
-        post_tag = post_tag.where(F.col("tag_id").isin(ids))
-    found = join_even(post_tag, wanted, ["tag_id"], F.xxhash64("post_id"))
+    on = ["tag_id"]
+    if width:
+        on = ["tag_range", "tag_id"]
+        # The comparison is what lets the planner take the ids for selective.
+        wanted = wanted.withColumn("tag_range", tag_range("tag_id", width)).where(F.col("tag_range") >= F.lit((low or 0) // width))
+    else:
+        post_tag = post_tag.where(F.col("tag_id").between(low, high))
+    found = join_even(post_tag, wanted, on, F.xxhash64("post_id"))
     hits = found.select("request", "post_id").distinct()
     return hits.select("request", sanitize_folder(F.col("request")).alias("folder"), "post_id")
 
 
 def answer_requests(
     requests: DataFrame, tag: DataFrame, post_tag: DataFrame, out: str, checkpoint: str,
-    partitions: int | None = None,
+    partitions: int | None = None, width: int | None = None,
 ) -> StreamingQuery:
     prepare(requests.sparkSession, out, ANSWER)
 
     def handle(batch: DataFrame, number: int) -> None:
-        write_batch(answer(batch, tag, post_tag), out, number)
+        write_batch(answer(batch, tag, post_tag, width), out, number)
 
     return run_batches(requests, checkpoint, handle, partitions)
 
