@@ -10,7 +10,9 @@ from postlake.operators import manifest, records
 from postlake.registry import inputs
 from postlake.registry.base import define, query, same_result
 from postlake.schemas import EXCLUDED_SUFFIXES
+from postlake.sinks import files
 from postlake.sources import jsonl
+from postlake.sources.media import list_artifacts
 
 BANNED = ["animated", "video", "3d", "photo_(medium)", "real_life", "supp_1"]
 WORDS = ["red", "supp_7"]
@@ -258,6 +260,41 @@ def audit_artifacts(spark, sf_dir):
     return rows.withColumn("id", F.coalesce("id", F.lit(-1)))
 
 
+define("small_files", "SELECT id, path, 1 + size % 97 AS size FROM expected_files", "expected_files")
+define("kept_files", _STORED.format(expected="small_files"), "small_files")
+
+
+def _stored_root(spark, sf_dir, expected):
+    """Files of the expected sizes in the shared folder, but for those that are missing, empty, of another
+    size or elsewhere; written once."""
+    root = fx.folder(spark, sf_dir, "stored_media")
+    if root not in _stored:
+        stored = spark.sql(_STORED.format(expected="{expected}"), expected=expected)
+        files.write_media(stored.select("path", F.repeat(F.lit("m"), F.col("size").cast("int")).cast("binary").alias("content")), root)
+        _stored.add(root)
+    return root
+
+
+_stored: set[str] = set()
+
+
+@query(
+    "audit_stored_files",
+    """SELECT coalesce(e.path, s.path) AS path, coalesce(e.id, -1) AS id,
+  CASE WHEN e.path IS NULL THEN 'unexpected' WHEN s.path IS NULL THEN 'missing' WHEN s.size = 0 THEN 'empty'
+       WHEN s.size <> e.size THEN 'size_mismatch' ELSE 'ok' END AS status
+FROM small_files e FULL JOIN kept_files s ON e.path = s.path""",
+    "kept_files",
+)
+def audit_stored_files(spark, sf_dir):
+    """Files written by tasks, listed again and held against the manifest."""
+    sizes = _plain(spark, sf_dir).select("id", (1 + F.col("size") % 97).alias("size"))
+    expected = _plain_manifest(spark, sf_dir).where("skip_reason IS NULL").join(sizes, "id")
+    root = _stored_root(spark, sf_dir, expected)
+    rows = manifest.audit_artifacts(expected, list_artifacts(spark, root))
+    return rows.withColumn("id", F.coalesce("id", F.lit(-1)))
+
+
 @query(
     "not_yet_written",
     "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",

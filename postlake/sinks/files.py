@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +13,7 @@ from postlake.functions.media import shard_of
 from postlake.operators.manifest import not_yet_written
 from postlake.operators.stats import collect_names
 from postlake.sources.dictionary import newest_tags
+from postlake.sources.media import open_store
 
 # The section of each kind in the exported document, in document order.
 SECTIONS = {"character": "characters", "general": "general", "artist": "artist"}
@@ -100,3 +104,27 @@ def compact_dictionary(spark: SparkSession, path: str, new_path: str) -> DataFra
 
 def append_dictionary(tags: DataFrame, path: str) -> None:
     tags.write.mode("append").option("ignoreNullFields", "false").json(path)
+
+
+def write_media(files: DataFrame, root: str) -> int:
+    """Write the bytes of (path, content) rows below ``root``, each row a file of its own, and say how
+    many there are. A file appears whole: it is written beside its place and moved there, so a task that
+    runs again or twice at once leaves the same file. NULL content is an empty file."""
+
+    def run(batches):
+        system, base = open_store(root)
+        folders = set()
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                folder = f"{base}/{path}".rpartition("/")[0]
+                if folder not in folders:
+                    system.create_dir(folder, recursive=True)
+                    folders.add(folder)
+                part = f"{base}/{path}.{uuid.uuid4().hex}"
+                with system.open_output_stream(part) as out:
+                    out.write(content or b"")
+                system.move(part, f"{base}/{path}")
+            yield pa.record_batch({"n": pa.array([batch.num_rows], pa.int64())})
+
+    written = files.where("path IS NOT NULL").select("path", "content").mapInArrow(run, "n BIGINT")
+    return written.agg(F.sum("n")).first()[0] or 0

@@ -2,10 +2,13 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from postlake.operators import manifest
 from postlake.sinks import files
+from postlake.sources import media as media_source
 from postlake.sources.media import list_artifacts
 from tests.conftest import plan_of, values
 
@@ -81,6 +84,31 @@ def test_audit_of_stored_files(spark, folder):
     ], key=str)
 
 
+@pytest.mark.parametrize("min_folders", [1, 2, 3, 50])
+def test_listing_is_dealt_out_by_folders(spark, folder, min_folders):
+    rows = [(f"{i % 3}/{i % 7}/{i}.bin", bytes(i % 5)) for i in range(300)] + [("top.bin", b"x"), ("0/up.bin", None), ("1/2/3/4/deep.bin", b"yy"), (None, b"z")]
+    stored = spark.createDataFrame(rows, "path STRING, content BINARY")
+    assert files.write_media(stored, f"{folder}/media") == 303
+    assert files.write_media(stored.where("path = 'top.bin'"), f"file://{folder}/media") == 1
+    listing = list_artifacts(spark, f"{folder}/media", min_folders)
+    assert sorted(map(tuple, listing.collect())) == sorted((path, len(content or b"")) for path, content in rows if path)
+    os.makedirs(f"{folder}/none")
+    assert list_artifacts(spark, f"{folder}/none", min_folders).collect() == []
+
+
+def test_listings_hand_rows_on_in_batches(folder):
+    os.makedirs(f"{folder}/a/b")
+    for i in range(25):
+        open(f"{folder}/a/{'b/' * (i % 2)}{i}", "w").close()
+    reader = media_source._Reader(folder, 1)
+    batches = [batch for part in reader.partitions() for batch in reader.read(part)]
+    assert sum(batch.num_rows for batch in batches) == 25
+    media_source.BATCH_ROWS, kept = 4, media_source.BATCH_ROWS
+    batches = [batch for part in reader.partitions() for batch in reader.read(part)]
+    media_source.BATCH_ROWS = kept
+    assert max(batch.num_rows for batch in batches) == 4
+
+
 def test_sharded_output_skips_what_is_written(spark, folder):
     records = spark.range(500).select("id", (F.col("id") * 2).alias("v"))
     files.write_sharded_metadata(records.where("id < 300"), f"{folder}/m")
