@@ -26,7 +26,7 @@ from postlake.operators.skew import join_even
 from postlake.session import cut_lineage, shared_dir, shuffle_partitions
 
 #: Shards of a cycle, and words of a block (a batch of texts of 4 MB may come on top).
-SHARDS = 4
+SHARDS = 2
 BLOCK_WORDS = 1 << 21
 LONGEST = 4
 _BREAKS = b".,;:!?\x0b\x0c\r"
@@ -34,7 +34,7 @@ _PLAIN = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t" + _BREAKS, b"abcdefghijklmnopqrstuvwxyz " + b"\n" * len(_BREAKS)
 )
 _STEP_IDS = 1 << 50
-_PAIR = "block BIGINT, size BIGINT, local INT, x BIGINT, y BIGINT, n BIGINT, active INT"
+_PAIR = "block BIGINT, local INT, x BIGINT, y BIGINT, n BIGINT, active INT"
 
 
 class _Codes(dict):
@@ -53,17 +53,19 @@ class _Codes(dict):
 def _save(folder: str, name: str, values: np.ndarray) -> None:
     system, root = _open(folder)
     with system.open_output_stream(f"{root}/{name}") as out:
+        out.write(len(values).to_bytes(8, "little"))
         out.write(pa.compress(values.astype("<i4").tobytes(), "zstd", asbytes=True))
 
 
-def _load(folder: str, name: str, size: int) -> np.ndarray:
+def _load(folder: str, name: str) -> np.ndarray:
     system, root = _open(folder)
     with system.open_input_stream(f"{root}/{name}") as source:
+        size = int.from_bytes(source.read(8), "little")
         return np.frombuffer(pa.decompress(source.read(), 4 * size, "zstd", asbytes=True), "<i4")
 
 
 def word_blocks(docs: DataFrame, folder: str, shards: int, block_words: int, lang_col: str, text_col: str) -> DataFrame:
-    """(shard, block, size, local, lang, word, n): the distinct words of each block; its words in order
+    """(shard, block, local, lang, word, n): the distinct words of each block; its words in order
     lie in ``folder``. A block has a number of its own attempt, so that a task run again, or twice at
     once, leaves files that no row names."""
 
@@ -82,7 +84,7 @@ def word_blocks(docs: DataFrame, folder: str, shards: int, block_words: int, lan
                 chosen = names[start:start + (1 << 16)]
                 yield pa.record_batch({
                     "shard": pa.array(np.full(len(chosen), (part + closed) % shards), pa.int32()),
-                    "block": pa.array(np.full(len(chosen), block)), "size": pa.array(np.full(len(chosen), len(places))),
+                    "block": pa.array(np.full(len(chosen), block)),
                     "local": pa.array(np.arange(start + 1, start + 1 + len(chosen)), pa.int32()),
                     "lang": pa.array([lang for lang, _ in chosen], pa.string()),
                     "word": pa.array([word for _, word in chosen], pa.string()),
@@ -110,34 +112,33 @@ def word_blocks(docs: DataFrame, folder: str, shards: int, block_words: int, lan
         F.coalesce(docs[lang_col].cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),
     ).where("text <> ''")
-    return rows.mapInArrow(run, "shard INT, block BIGINT, size BIGINT, local INT, lang STRING, word STRING, n BIGINT")
+    return rows.mapInArrow(run, "shard INT, block BIGINT, local INT, lang STRING, word STRING, n BIGINT")
 
 
-def _pairs(known: DataFrame, folder: str, length: int, step: int, cycle: int) -> DataFrame:
-    """The distinct phrases of ``length`` words in the blocks of ``known`` (block, size, local, id,
-    reached: which phrases of one word less reached the threshold): ``n`` is their count where this
-    scan counts them, else 0. Their places lie in ``folder``."""
-    before = 0 if length == 2 else step  # words have their places once and for all
+def _pairs(known: DataFrame, folder: str, length: int, before: int, step: int) -> DataFrame:
+    """The distinct phrases of ``length`` words in the blocks of ``known`` (block, local, id, reached:
+    which phrases of one word less reached the threshold), with their counts and the step from which
+    they count. Their places lie in ``folder``, those of the shorter ones since step ``before``."""
 
     def run(key, table):
-        block, size = key[0].as_py(), table.column("size")[0].as_py()
-        places = _load(folder, f"{block}-{length - 1}-{before}", size)
+        block = key[0].as_py()
+        places = _load(folder, f"{block}-{length - 1}-{before}")
         most = int(places.max()) + 1
         ids, reached = np.full(most, -1, np.int64), np.zeros(most, np.int32)
         local = np.array(table.column("local"))
         ids[local], reached[local] = np.array(table.column("id")), np.array(table.column("reached"))
-        starts = np.flatnonzero((ids[places[:-1]] >= 0) & (ids[places[1:]] >= 0))
+        known_here = ids[places] >= 0
+        starts = np.flatnonzero(known_here[:-1] & known_here[1:])
         both = places[starts].astype(np.int64) << 32 | places[starts + 1]
         both, inverse, counts = np.unique(both, return_inverse=True, return_counts=True)
-        found = np.zeros(size, np.int32)
+        found = np.zeros(len(places), np.int32)
         found[starts] = inverse + 1
         _save(folder, f"{block}-{length}-{step}", found)
         x, y = both >> 32, both & 0xFFFFFFFF
-        active = np.maximum(reached[x], reached[y]) + 1
         return pa.table({
-            "block": pa.array(np.full(len(both), block)), "size": pa.array(np.full(len(both), size)),
-            "local": pa.array(np.arange(1, len(both) + 1), pa.int32()), "x": pa.array(ids[x]), "y": pa.array(ids[y]),
-            "n": pa.array(np.where(step < active + cycle, counts, 0)), "active": pa.array(active, pa.int32()),
+            "block": pa.array(np.full(len(both), block)), "local": pa.array(np.arange(1, len(both) + 1), pa.int32()),
+            "x": pa.array(ids[x]), "y": pa.array(ids[y]), "n": pa.array(counts),
+            "active": pa.array(np.maximum(reached[x], reached[y]) + 1, pa.int32()),
         })
 
     dealt = known.repartition(shuffle_partitions(known.sparkSession), "block")
@@ -147,7 +148,7 @@ def _pairs(known: DataFrame, folder: str, length: int, step: int, cycle: int) ->
 def _added(state: DataFrame | None, fresh: DataFrame, keys: list[str], step: int, cycle: int, least: int) -> DataFrame:
     """Counts of ``state`` and this scan's together. Phrases that reach the threshold get an id; those
     that ended their cycle below it go."""
-    both = fresh.where("n > 0").select(*keys, "n", "active")
+    both = fresh.where(F.col("active") + cycle > step).select(*keys, "n", "active")
     if state is not None:
         both = both.unionByName(state, allowMissingColumns=True)
     else:
@@ -162,7 +163,11 @@ def _added(state: DataFrame | None, fresh: DataFrame, keys: list[str], step: int
 
 
 class _Counting:
-    """The counts of all lengths while shards are scanned: ``state[k]`` holds phrases of k words."""
+    """The counts of all lengths while shards are scanned: ``state[k]`` holds phrases of k words.
+
+    Where all shorter phrases have completed their cycles, the distinct phrases of a shard stay what
+    they are, and a later scan of it starts from them.
+    """
 
     def __init__(self, blocks: DataFrame, folder: str, longest: int, least: int):
         self.blocks, self.folder, self.longest, self.least = blocks, folder, longest, least
@@ -170,14 +175,19 @@ class _Counting:
         self.state: dict[int, DataFrame] = {}
         self.reached: dict[int, int | None] = {}  # the last step at which a phrase of k words reached it
         self._paths: dict[int, str] = {}
+        self._settled: dict[int, tuple[int, int]] = {}  # shard: (length, step) of phrases that stay
 
     def _open(self, length: int, step: int) -> bool:
-        """Whether phrases of ``length`` words may still be counted at ``step``."""
+        """Whether phrases of ``length`` words may be counted at ``step``."""
         if length == 1:
             return step < len(self.shards)
         last = self.reached.get(length - 1)
         return last is not None and last < step <= last + len(self.shards)
 
+    def _closed(self, length: int, step: int) -> bool:
+        """Whether no phrase of ``length`` words or less is counted from ``step`` on."""
+        return not any(self._open(k, step) for k in range(1, length + 1))
+
     def _keep(self, length: int, frame: DataFrame, step: int) -> None:
         spark, old = frame.sparkSession, self._paths.get(length)
         path = f"{self.folder}/state-{length}-{step}"
@@ -192,39 +202,52 @@ class _Counting:
         system, root = _open(path)
         system.delete_dir(root)
 
-    def known(self, length: int, rows: DataFrame, keys: list[str]) -> DataFrame:
+    def _scanned(self, length: int, step: int) -> str:
+        return f"{self.folder}/scan-{length}-{step}"
+
+    def _known(self, length: int, rows: DataFrame, keys: list[str]) -> DataFrame:
         """Of the distinct words or phrases of blocks, those that reached the threshold."""
         reached = self.state[length].where("id IS NOT NULL").select(*keys, "id", "reached")
-        return join_even(rows, reached, keys, F.xxhash64("block", "local")).select("block", "size", "local", "id", "reached")
+        return join_even(rows, reached, keys, F.xxhash64("block", "local")).select("block", "local", "id", "reached")
 
     def scan(self, step: int) -> None:
         """Count one shard."""
         cycle = len(self.shards)
-        rows, keys = self.blocks.where(F.col("shard") == self.shards[step % cycle]), ["lang", "word"]
+        shard, spark = self.shards[step % cycle], self.blocks.sparkSession
         deepest = max((k for k in range(1, self.longest + 1) if self._open(k, step)), default=0)
-        fresh: dict[int, DataFrame] = {1: rows.withColumn("active", F.lit(0))} if self._open(1, step) else {}
-        scratch = []
-        for length in range(2, deepest + 1):
-            known = self.known(length - 1, rows, keys)
-            path = f"{self.folder}/scan-{length}-{step}"
-            found = _pairs(known, f"{self.folder}/places", length, step, cycle)
-            found.write.parquet(path)
-            scratch.append(path)
-            rows, keys = found.sparkSession.read.schema(found.schema).parquet(path), ["x", "y"]
+        start, before = self._settled.get(shard, (1, 0))
+        rows = self.blocks.where(F.col("shard") == shard).withColumn("active", F.lit(0))
+        if start > 1:
+            rows = spark.read.schema(_PAIR).parquet(self._scanned(start, before))
+        fresh: dict[int, DataFrame] = {start: rows} if self._open(start, step) else {}
+        done = []
+        for length in range(start + 1, deepest + 1):
+            known = self._known(length - 1, rows, ["lang", "word"] if length == 2 else ["x", "y"])
+            path = self._scanned(length, step)
+            _pairs(known, f"{self.folder}/places", length, before if length == start + 1 else step, step).write.parquet(path)
+            rows = spark.read.schema(_PAIR).parquet(path)
             if self._open(length, step):
                 fresh[length] = rows
+            if self._closed(length - 1, step):
+                old_length, old_step = self._settled.get(shard, (1, 0))
+                done += [self._scanned(old_length, old_step)] if old_length > 1 else []
+                self._settled[shard] = (length, step)
+            else:
+                done.append(path)
         for length, some in fresh.items():
             keys = ["lang", "word"] if length == 1 else ["x", "y"]
             self._keep(length, _added(self.state.get(length), some, keys, step, cycle, self.least), step)
-        for path in scratch:
+        for path in done:
             self._remove(path)
 
     def run(self) -> dict[int, DataFrame]:
         """Scan shards in turn until every phrase has completed a cycle."""
         step = 0
-        while any(self._open(k, step) for k in range(1, self.longest + 1)):
+        while not self._closed(self.longest, step):
             self.scan(step)
             step += 1
+        for length, at in self._settled.values():
+            self._remove(self._scanned(length, at))
         if self.shards:
             self._remove(f"{self.folder}/places")
         return self.state
