@@ -20,20 +20,29 @@ from postlake.session import cut_lineage
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def free(docs: DataFrame, name: str) -> str:
+    """``name``, or what no column of ``docs`` begins with."""
+    while any(column.lower().startswith(name) for column in docs.columns):
+        name += "_"
+    return name
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or whose language stays in doubt, go."""
     prepare(spark)
     found = language.identify(docs, language.page_evidence(table(spark, sf_dir, "pages")))
-    doubtful = found.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    own_id, own_hash = free(docs, "_id"), free(docs, "_hash")
+    doubtful = found.where(~F.col("kept")).select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash)).distinct()
     doubtful = cut_lineage(doubtful)  # its size is then known: few rows need no shuffle of the texts
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
+    same = docs["doc_id"].eqNullSafe(F.col(own_id)) & (F.xxhash64(docs["text"]) == F.col(own_hash))
     return docs.join(doubtful, same, "left_anti")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a quality rule rejects go."""
     prepare(spark)
-    return quality.judge(docs, out="_rejected_by").where("_rejected_by IS NULL").select(*docs.columns)
+    verdict = free(docs, "_rejected_by")
+    return quality.judge(docs, out=verdict).where(F.col(verdict).isNull()).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +54,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents drawn, so that sources, languages and topics near their target weights, stay."""
     prepare(spark)
-    return mixing.mix(docs, prefix="_mix_").where("_mix_kept").select(*docs.columns)
+    prefix = free(docs, "_mix_")
+    return mixing.mix(docs, prefix=prefix).where(F.col(f"{prefix}kept")).select(*docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
