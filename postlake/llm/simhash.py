@@ -188,8 +188,9 @@ def _fingerprint_column(texts: pd.Series) -> pd.Series:
 
 def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of each component of ``found`` (from ``near_duplicates``) the
-    row of its smallest id; of several rows under that id, in components whose smallest it is, the one of
-    the smallest text; where no row of a component has an id, the one of the smallest text.
+    row of its smallest id; of several rows under that id in the component the one of the smallest text;
+    where no row of a component has an id, the one of the smallest text. An id that is the smallest of
+    several components keeps a row in each.
 
     Ids are counted apart from the texts, and only rows under a repeated id or none are ranked.
     """
@@ -205,9 +206,9 @@ def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col
     smallest = F.min_by("row", order).alias("row")
     fp = F.conv("fingerprint", 16, -10).cast("long").alias("fp")
     # Other rows of a repeated id may be in components of smaller ids.
-    there = found.where(own).select(F.col(id_col).alias("id"), fp).distinct()
+    there = found.where(own).select(F.col(id_col).alias("id"), fp, "component").distinct()
     again = kept.where("n > 1").withColumn("fp", _fingerprint_column(F.col("row")[text_col])).join(there, ["id", "fp"])
-    again = again.groupBy("id").agg(smallest).select("row.*")
+    again = again.groupBy("id", "component").agg(smallest).select("row.*")
     nameless = found.where("component_id IS NULL").select(fp, "component").distinct()
     lost = rows.where("id IS NULL").withColumn("fp", _fingerprint_column(F.col("row")[text_col])).join(nameless, "fp")
     return once.unionByName(again).unionByName(lost.groupBy("component").agg(smallest).select("row.*"))

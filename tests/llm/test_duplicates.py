@@ -81,8 +81,9 @@ def test_simhash_of_awkward_documents(documents, clashing):
     kept = simhash.keep_one(docs, found)
     assert kept.columns == docs.columns
     texts = sorted((str(row["doc_id"]), row["text"] or "") for row in kept.collect())
-    assert [key for key, _ in texts] == ["1", "2", "5", "6", "7", "None"]
+    assert [key for key, _ in texts] == ["1", "1", "2", "5", "6", "7", "None"]  # a row for each component of id 1
     assert texts[0][1] == "The quick brown fox, it's here.\nThe quick brown fox." and texts[-1][1].startswith("sin")
+    assert texts[1][1] == "another text under one id"
     assert simhash.near_duplicates(documents([])).collect() == []
     assert simhash.keep_one(documents([]), simhash.near_duplicates(documents([]))).collect() == []
 
@@ -97,6 +98,13 @@ def test_a_repeated_id_stays_only_where_it_is_the_smallest(documents):
     assert sorted((row["doc_id"], row["text"]) for row in kept.collect()) == [(0, two), (1, one)]
 
 
+def test_an_id_keeps_a_row_in_each_component_it_begins(documents):
+    one, two = ("eins zwei drei vier", "uno dos tres cuatro cinco")
+    docs = documents([(1, one, "de", "a", 0), (1, two, "es", "b", 0), (1, two, "es", "a", 0), (5, one, "de", "a", 0), (6, two, "es", "a", 0)])
+    kept = simhash.keep_one(docs, simhash.near_duplicates(docs))
+    assert sorted((row["doc_id"], row["text"]) for row in kept.collect()) == [(1, one), (1, two)]
+
+
 def cosine_groups(vectors, least=0.9):
     units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     near = units @ units.T >= least

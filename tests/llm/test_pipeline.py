@@ -44,3 +44,19 @@ def test_filters_keep_clean_documents(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES[:2]:
         kept = stage(spark, docs, sf_dir)
         assert good.join(kept.select("doc_id"), "doc_id", "left_anti").isEmpty()
+
+
+CLASHING = ["_id", "_hash", "_rejected_by", "_mix_topic", "_mix_n_tokens", "_mix_probability", "_mix_kept", "_row", "kept", "component", "fp", "row", "own"]
+
+
+def test_stages_keep_columns_of_any_name(spark, sf_dir, documents):
+    docs = documents().withColumns({name: F.concat(F.lit(f"{name} of "), F.coalesce(F.substring("text", 1, 3), F.lit("-"))) for name in CLASHING})
+    plain = documents()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns
+        want = stage(spark, plain, sf_dir)
+        assert sorted(map(str, out.select(*plain.columns).collect())) == sorted(map(str, want.collect())), name
+        own = out.where(F.exists(F.array(*(F.col(f"`{c}`") != F.concat(F.lit(f"{c} of "), F.coalesce(F.substring("text", 1, 3), F.lit("-"))) for c in CLASHING)), lambda x: x))
+        assert own.isEmpty(), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == docs.count()
