@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from postlake import fixtures as fx
 from postlake.registry import inputs
-from postlake.registry.base import CLOCK, clock, fresh_folder, query
+from postlake.registry.base import CLOCK, clock, fresh_folder, query, same_result
 from postlake.registry.dictionary import WORDS
 from postlake.sources.dictionary import load_tag_dictionary
 from postlake.session import cut_lineage
@@ -121,6 +121,16 @@ def stream_tag_stats(spark, sf_dir):
     return current.withColumn("first_seen", clock("first_seen"))
 
 
+@same_result("stream_tag_snapshots", "stream_tag_stats")
+def stream_tag_snapshots(spark, sf_dir):
+    """Folded by the stream every second batch."""
+    run = fresh_folder(spark, sf_dir, "tag_snapshots")
+    fx.flat_posts(spark, sf_dir)
+    arriving = ingest.arriving_parquet(spark, fx.folder(spark, sf_dir, "flat"), files_per_batch=2)
+    _finish(tag_stats.refresh_tag_snapshots(arriving, f"{run}/out", f"{run}/checkpoint", fold_every=2))
+    return tag_stats.current_tag_snapshot(spark, f"{run}/out").withColumn("first_seen", clock("first_seen"))
+
+
 @query(
     "stream_missing_tags",
     """SELECT token AS name FROM (SELECT DISTINCT token FROM plain_tok WHERE id IN (SELECT id FROM plain

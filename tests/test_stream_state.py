@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from postlake.sinks.tables import save_by_tag_range
-from postlake.streaming import ingest, missing_tags, requests
+from postlake.streaming import ingest, missing_tags, requests, tag_stats
 from tests.conftest import plan_of
 
 
@@ -74,3 +74,20 @@ def test_requests_read_the_ranges_they_name(spark, table_name):
         assert "dynamicpruning" in plan_of(answer)
     none = requests.answer(spark.createDataFrame([("unknown",)], "request STRING"), tag, saved, 100)
     assert none.collect() == []
+
+
+def test_snapshots_keep_what_is_read_small_over_restarts(spark, folder):
+    every, want = 3, {}
+    for at in range(10 * every + 1):
+        write(f"{folder}/in", f"{at:02}", [{"id": at, "created_at": "2024-01-01T00:00:00Z", "tag_string_general": f"a t{at % 4}"}])
+        want["a"] = want.get("a", 0) + 1
+        want[f"t{at % 4}"] = want.get(f"t{at % 4}", 0) + 1
+        if at % 7 and at != 10 * every:  # several files wait for some runs
+            continue
+        posts = spark.readStream.schema("id BIGINT, created_at STRING, tag_string_general STRING").option("maxFilesPerTrigger", 1).json(f"{folder}/in")
+        finish(tag_stats.refresh_tag_snapshots(posts, f"{folder}/out", f"{folder}/cp", {"general": "tag_string_general"}, every))
+        current = tag_stats.current_tag_snapshot(spark, f"{folder}/out")
+        assert {row["name"]: row["post_count"] for row in current.collect()} == want
+        assert len({os.path.dirname(path) for path in current.inputFiles()}) <= every + 2
+    assert tag_stats._pointed(spark, f"{folder}/out") == 10
+    assert len(os.listdir(f"{folder}/out/_current")) == 2
