@@ -9,6 +9,7 @@ from postlake.operators import normalize
 from postlake.operators.dedup import dedup_by_id
 from postlake.operators.paths import record_maps
 from postlake.operators.records import RECORD_ORDER, schema_all_string, schema_fixed, unwrap_envelope
+from postlake.operators.tag_index import save_tag_index
 from postlake.schemas import POST_FIELDS
 from postlake.sinks.files import write_parquet_zstd
 from postlake.sinks.tables import save_bucketed, save_clustered, save_if_missing
@@ -69,7 +70,8 @@ def build_tables(
     there are as many as shuffle partitions.
 
     Posts are bucketed on their id. The relation is kept twice: ``post_tag`` bucketed on the post
-    id for joins with posts, ``post_tag_by_tag`` sorted by tag for searches.
+    id for joins with posts, ``post_tag_by_tag`` sorted by tag; ``tag_index`` holds its bitmaps for
+    searches.
     """
 
     def at(name: str) -> str | None:
@@ -90,5 +92,7 @@ def build_tables(
     if not exists(f"{prefix}post_tag_by_tag"):
         save_clustered(
             spark.table(f"{prefix}post_tag"), ["tag_id", "post_id"],
-            f"{prefix}post_tag_by_tag", at("post_tag_by_tag"),
+            f"{prefix}post_tag_by_tag", at("post_tag_by_tag"), bloom=["post_id"],
         )
+    if not exists(f"{prefix}tag_index"):
+        save_tag_index(spark.table(f"{prefix}post_tag"), f"{prefix}tag_index", at("tag_index"), buckets)
