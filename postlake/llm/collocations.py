@@ -17,7 +17,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postlake.llm.pieces import small_batches
@@ -33,7 +33,7 @@ _BREAKS = b".,;:!?\x0b\x0c\r"
 _PLAIN = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t" + _BREAKS, b"abcdefghijklmnopqrstuvwxyz " + b"\n" * len(_BREAKS)
 )
-_STEP_IDS = 1 << 50
+_ROW_BITS = (1 << 33) - 1
 _PAIR = "block BIGINT, local INT, x BIGINT, y BIGINT, n BIGINT, active INT"
 
 
@@ -117,11 +117,13 @@ def word_blocks(docs: DataFrame, folder: str, shards: int, block_words: int, lan
 
 def _pairs(known: DataFrame, folder: str, length: int, before: int, step: int) -> DataFrame:
     """The distinct phrases of ``length`` words in the blocks of ``known`` (block, local, id, reached:
-    which phrases of one word less reached the threshold), with their counts and the step from which
-    they count. Their places lie in ``folder``, those of the shorter ones since step ``before``."""
+    the phrases of one word less, ``id`` NULL for those below the threshold), with their counts and the
+    step from which they count. Their places lie in ``folder``, those of the shorter ones since step
+    ``before``."""
 
     def run(key, table):
         block = key[0].as_py()
+        table = table.filter(table.column("id").is_valid())
         places = _load(folder, f"{block}-{length - 1}-{before}")
         most = int(places.max()) + 1
         ids, reached = np.full(most, -1, np.int64), np.zeros(most, np.int32)
@@ -141,13 +143,41 @@ def _pairs(known: DataFrame, folder: str, length: int, before: int, step: int) -
             "active": pa.array(np.maximum(reached[x], reached[y]) + 1, pa.int32()),
         })
 
-    dealt = known.repartition(shuffle_partitions(known.sparkSession), "block")
-    return dealt.groupBy("block").applyInArrow(run, _PAIR)
+    return known.groupBy("block").applyInArrow(run, _PAIR)
 
 
-def _added(state: DataFrame | None, fresh: DataFrame, keys: list[str], step: int, cycle: int, least: int) -> DataFrame:
-    """Counts of ``state`` and this scan's together. Phrases that reach the threshold get an id; those
-    that ended their cycle below it go."""
+class _Tables:
+    """Rows of blocks saved as tables bucketed on the block, so that what is looked up for a block stays
+    where the block is."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark, self._folder, self._names = spark, folder, f"phrases_{uuid.uuid4().hex}"
+
+    def save(self, rows: DataFrame, name: str, partition: list[str]) -> DataFrame:
+        table = f"{self._names}_{name}"
+        writer = rows.write.format("parquet").option("path", f"{self._folder}/{name}").bucketBy(shuffle_partitions(self._spark), "block")
+        (writer.partitionBy(*partition) if partition else writer).saveAsTable(table)
+        return self.read(name)
+
+    def read(self, name: str) -> DataFrame:
+        return self._spark.table(f"{self._names}_{name}")
+
+    def drop(self, name: str, files: bool = True) -> None:
+        self._spark.sql(f"DROP TABLE IF EXISTS {self._names}_{name}")
+        if files:
+            _remove(f"{self._folder}/{name}")
+
+
+def _remove(path: str) -> None:
+    system, root = _open(path)
+    system.delete_dir(root)
+
+
+def _added(
+    state: DataFrame | None, fresh: DataFrame, keys: list[str], step: int, cycle: int, least: int, first_id: int
+) -> DataFrame:
+    """Counts of ``state`` and this scan's together. Phrases that reach the threshold get an id from
+    ``first_id`` on; those that ended their cycle below it go."""
     both = fresh.where(F.col("active") + cycle > step).select(*keys, "n", "active")
     if state is not None:
         both = both.unionByName(state, allowMissingColumns=True)
@@ -155,8 +185,11 @@ def _added(state: DataFrame | None, fresh: DataFrame, keys: list[str], step: int
         both = both.select("*", F.lit(None).cast("bigint").alias("id"), F.lit(None).cast("int").alias("reached"))
     total = both.groupBy(*keys).agg(F.sum("n").alias("n"), F.max("active").alias("active"), F.max("id").alias("id"), F.max("reached").alias("reached"))
     new = F.col("id").isNull() & (F.col("n") >= least)
+    # Small numbers shuffle in fewer bytes: the row in its partition, then the partition.
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))
+    number = row * shuffle_partitions(fresh.sparkSession) + F.spark_partition_id()
     counted = total.withColumns({
-        "id": F.when(new, F.monotonically_increasing_id() + F.lit(step * _STEP_IDS)).otherwise(F.col("id")),
+        "id": F.when(new, number + F.lit(first_id)).otherwise(F.col("id")),
         "reached": F.when(new, F.lit(step)).otherwise(F.col("reached")),
     })
     return counted.where(F.col("id").isNotNull() | (F.col("active") + cycle > step + 1))
@@ -169,11 +202,12 @@ class _Counting:
     they are, and a later scan of it starts from them.
     """
 
-    def __init__(self, blocks: DataFrame, folder: str, longest: int, least: int):
-        self.blocks, self.folder, self.longest, self.least = blocks, folder, longest, least
+    def __init__(self, blocks: DataFrame, folder: str, tables: _Tables, longest: int, least: int):
+        self.blocks, self.folder, self.tables, self.longest, self.least = blocks, folder, tables, longest, least
         self.shards = sorted(row["shard"] for row in blocks.select("shard").distinct().collect())
         self.state: dict[int, DataFrame] = {}
         self.reached: dict[int, int | None] = {}  # the last step at which a phrase of k words reached it
+        self._next_id: dict[int, int] = {}
         self._paths: dict[int, str] = {}
         self._settled: dict[int, tuple[int, int]] = {}  # shard: (length, step) of phrases that stay
 
@@ -194,51 +228,48 @@ class _Counting:
         frame.write.parquet(path)
         self.state[length] = spark.read.schema(frame.schema).parquet(path)
         self._paths[length] = path
-        self.reached[length] = self.state[length].agg(F.max("reached")).first()[0]
+        self.reached[length], highest = self.state[length].agg(F.max("reached"), F.max("id")).first()
+        self._next_id[length] = (highest or 0) + 1
         if old:
-            self._remove(old)
-
-    def _remove(self, path: str) -> None:
-        system, root = _open(path)
-        system.delete_dir(root)
-
-    def _scanned(self, length: int, step: int) -> str:
-        return f"{self.folder}/scan-{length}-{step}"
+            _remove(old)
 
-    def _known(self, length: int, rows: DataFrame, keys: list[str]) -> DataFrame:
-        """Of the distinct words or phrases of blocks, those that reached the threshold."""
+    def _known(self, length: int, rows: DataFrame) -> DataFrame:
+        """The distinct words or phrases of blocks with the ids of those that reached the threshold. Most
+        words are rare and go here; phrases of known words stay in their place with or without an id."""
+        keys, how = (["lang", "word"], "inner") if length == 1 else (["x", "y"], "left")
         reached = self.state[length].where("id IS NOT NULL").select(*keys, "id", "reached")
-        return join_even(rows, reached, keys, F.xxhash64("block", "local")).select("block", "local", "id", "reached")
+        known = join_even(rows.select("block", "local", *keys), reached, keys, F.xxhash64("block", "local"), how=how)
+        return known.select("block", "local", "id", "reached")
 
     def scan(self, step: int) -> None:
         """Count one shard."""
         cycle = len(self.shards)
-        shard, spark = self.shards[step % cycle], self.blocks.sparkSession
+        shard = self.shards[step % cycle]
         deepest = max((k for k in range(1, self.longest + 1) if self._open(k, step)), default=0)
         start, before = self._settled.get(shard, (1, 0))
         rows = self.blocks.where(F.col("shard") == shard).withColumn("active", F.lit(0))
         if start > 1:
-            rows = spark.read.schema(_PAIR).parquet(self._scanned(start, before))
+            rows = self.tables.read(f"scan_{start}_{before}")
         fresh: dict[int, DataFrame] = {start: rows} if self._open(start, step) else {}
         done = []
         for length in range(start + 1, deepest + 1):
-            known = self._known(length - 1, rows, ["lang", "word"] if length == 2 else ["x", "y"])
-            path = self._scanned(length, step)
-            _pairs(known, f"{self.folder}/places", length, before if length == start + 1 else step, step).write.parquet(path)
-            rows = spark.read.schema(_PAIR).parquet(path)
+            known = self._known(length - 1, rows)
+            found = _pairs(known, f"{self.folder}/places", length, before if length == start + 1 else step, step)
+            rows = self.tables.save(found, f"scan_{length}_{step}", [])
             if self._open(length, step):
                 fresh[length] = rows
             if self._closed(length - 1, step):
                 old_length, old_step = self._settled.get(shard, (1, 0))
-                done += [self._scanned(old_length, old_step)] if old_length > 1 else []
+                done += [f"scan_{old_length}_{old_step}"] if old_length > 1 else []
                 self._settled[shard] = (length, step)
             else:
-                done.append(path)
+                done.append(f"scan_{length}_{step}")
         for length, some in fresh.items():
             keys = ["lang", "word"] if length == 1 else ["x", "y"]
-            self._keep(length, _added(self.state.get(length), some, keys, step, cycle, self.least), step)
-        for path in done:
-            self._remove(path)
+            added = _added(self.state.get(length), some, keys, step, cycle, self.least, self._next_id.get(length, 0))
+            self._keep(length, added, step)
+        for name in done:
+            self.tables.drop(name)
 
     def run(self) -> dict[int, DataFrame]:
         """Scan shards in turn until every phrase has completed a cycle."""
@@ -247,9 +278,9 @@ class _Counting:
             self.scan(step)
             step += 1
         for length, at in self._settled.values():
-            self._remove(self._scanned(length, at))
+            self.tables.drop(f"scan_{length}_{at}")
         if self.shards:
-            self._remove(f"{self.folder}/places")
+            _remove(f"{self.folder}/places")
         return self.state
 
 
@@ -265,13 +296,15 @@ def frequent_phrases(
     into pieces, blanks pieces into words; no phrase crosses a piece. A null text is empty, a null
     language ``und``; repeated rows count each time. No words give no phrases.
     """
-    folder = f"{shared_dir(docs.sparkSession)}/phrases/{uuid.uuid4().hex}"
-    blocks = word_blocks(docs, f"{folder}/places", shards, block_words, lang_col, text_col)
-    blocks.write.partitionBy("shard").parquet(f"{folder}/blocks")
-    blocks = docs.sparkSession.read.schema(blocks.schema).parquet(f"{folder}/blocks")
-    state = _Counting(blocks, folder, longest, least).run()
+    spark = docs.sparkSession
+    folder = f"{shared_dir(spark)}/phrases/{uuid.uuid4().hex}"
+    tables = _Tables(spark, folder)
+    blocks = tables.save(word_blocks(docs, f"{folder}/places", shards, block_words, lang_col, text_col), "blocks", ["shard"])
+    state = _Counting(blocks, folder, tables, longest, least).run()
     reached = {k: frame.where("id IS NOT NULL") for k, frame in state.items()}
-    return reached, blocks.groupBy("lang").agg(F.sum("n").alias("total"))
+    sizes = cut_lineage(blocks.groupBy("lang").agg(F.sum("n").alias("total")))
+    tables.drop("blocks")
+    return reached, sizes
 
 
 def _spelled(phrases: dict[int, DataFrame]) -> dict[int, DataFrame]:
