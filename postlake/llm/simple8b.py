@@ -27,8 +27,21 @@ _MAGIC = b"S8B1"
 _HEAD = struct.Struct("<4sIQQQQ")
 
 
-def encode(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(words, word offset of each block, escapes, escape offset of each block)."""
+def encode(values: np.ndarray, block: int = BLOCK, at_once: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(words, word offset of each block, escapes, escape offset of each block); ``at_once`` blocks are
+    packed together, which bounds what packing holds besides the values and the words."""
+    size = at_once * block
+    parts = [_encode(values[start:start + size], block) for start in range(0, max(1, len(values)), size)]
+    words, offsets, escapes, escape_offsets = zip(*parts)
+
+    def joined(starts: tuple[np.ndarray, ...]) -> np.ndarray:
+        ends = np.cumsum([0, *(int(one[-1]) for one in starts)])
+        return np.concatenate([[0], *(one[1:] + end for one, end in zip(starts, ends))]).astype(np.int64)
+
+    return np.concatenate(words), joined(offsets), np.concatenate(escapes), joined(escape_offsets)
+
+
+def _encode(values: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     values = np.ascontiguousarray(values, np.uint64)
     n = len(values)
     blocks = -(-n // block)

@@ -93,6 +93,13 @@ def test_simple8b_round_trip(n, high):
         assert (simple8b.decode(words[offsets[1]:], escapes[escape_offsets[1]:]) == values[4096:]).all()
 
 
+@pytest.mark.parametrize("n", [1, 63, 64, 65, 1000])
+def test_packing_in_portions_gives_the_same_words(n):
+    values = np.random.default_rng(n).integers(0, 1 << 62, n, np.uint64) >> np.random.default_rng(1).integers(0, 62, n, np.uint64)
+    whole = simple8b.encode(values, block=16, at_once=1 << 20)
+    assert all((a == b).all() for a, b in zip(whole, simple8b.encode(values, block=16, at_once=2)))
+
+
 def test_shard_round_trip():
     lengths = np.array([3, 0, 5000, 1])
     values = np.arange(5004, dtype=np.uint64) ** 5
