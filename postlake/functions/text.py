@@ -97,15 +97,30 @@ def _numbered(digits: Column, base: int) -> Column:
     )
 
 
+_LONGEST_NAME = max(map(len, entities.html5))
+
+
+def _by_beginning() -> dict[str, dict[str, str]]:
+    """The named references by their first two letters, so that a name is held against few of them."""
+    tables: dict[str, dict[str, str]] = {}
+    for name, meant in entities.html5.items():
+        tables.setdefault(name[:2], {})[name] = meant
+    return tables
+
+
 def _named(name: Column) -> Column:
     """The text of a named reference, without its ``&``: the longest known name it starts with, and
     the rest as it is."""
-    known = F.from_json(F.lit(json.dumps(entities.html5)), "map<string,string>")
-    tries = F.transform(
-        F.sequence(F.length(name), F.lit(2), F.lit(-1)),
-        lambda n: F.concat(F.try_element_at(known, F.left(name, n)), F.substr(name, n + 1)),
-    )
-    found = F.when(F.length(name) >= 2, F.get(F.filter(tries, lambda text: text.isNotNull()), F.lit(0)))
+    tables = F.from_json(F.lit(json.dumps(_by_beginning())), "map<string,map<string,string>>")
+    lengths = F.sequence(F.least(F.length(name), F.lit(_LONGEST_NAME)), F.lit(2), F.lit(-1))
+
+    def longest(table: Column) -> Column:
+        tries = F.transform(lengths, lambda n: F.concat(F.try_element_at(table, F.left(name, n)), F.substr(name, n + 1)))
+        return F.when(table.isNotNull(), F.get(F.filter(tries, lambda text: text.isNotNull()), F.lit(0)))
+
+    # One look at the tables per name: the one found is bound by the outer transform.
+    one = F.array(F.try_element_at(tables, F.left(name, F.lit(2))))
+    found = F.when(F.length(name) >= 2, F.get(F.transform(one, longest), F.lit(0)))
     return F.coalesce(found, F.concat(F.lit("&"), name))
 
 

@@ -14,10 +14,13 @@ _GLUE = "\0"
 def named_entries(post_tag: DataFrame, tag: DataFrame) -> DataFrame:
     """(post_id, kind, entry): the tags of each post, repeats of a tag counted into one entry.
 
-    Repeats are counted ahead of the shuffle; a relation bucketed on the post id needs none.
+    Repeats are counted ahead of the shuffle; a relation bucketed on the post id needs none. Tags of
+    posts without an id belong to no record and are left out. ``tag`` may carry ``n_uses``, which saves
+    a count when the tags are too many to broadcast.
     """
-    counted = post_tag.groupBy("post_id", "tag_id").agg(F.count(F.lit(1)).cast("int").alias("n"))
-    named = join_even(counted, tag, ["tag_id"], F.xxhash64("post_id"))
+    counted = post_tag.where("post_id IS NOT NULL").groupBy("post_id", "tag_id").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    weight = "n_uses" if "n_uses" in tag.columns else None
+    named = join_even(counted, tag, ["tag_id"], F.xxhash64("post_id"), weight)
     entry = F.when(F.col("n") == 1, F.col("name")).otherwise(
         F.array_join(F.array_repeat("name", F.col("n")), _GLUE)
     )

@@ -15,9 +15,12 @@ from postlake.operators.skew import join_even
 
 
 def tag_post_join(tag: DataFrame, post_tag: DataFrame, post: DataFrame) -> DataFrame:
-    """tag x post_tag x post. Tables bucketed on the post id join without an exchange."""
+    """tag x post_tag x post. Tables bucketed on the post id join without an exchange. ``tag`` may carry
+    ``n_uses``, which saves a pass over the facts when the tags are too many to broadcast; it is not
+    returned."""
     related = post_tag.join(post, post_tag["post_id"] == post["id"])
-    return join_even(related, tag, ["tag_id"], F.xxhash64("post_id"))
+    weight = "n_uses" if "n_uses" in tag.columns else None
+    return join_even(related, tag, ["tag_id"], F.xxhash64("post_id"), weight)
 
 
 def tag_stats(tag: DataFrame, post_tag: DataFrame, post: DataFrame) -> DataFrame:

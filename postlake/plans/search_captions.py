@@ -20,8 +20,7 @@ def matching_posts(
     order, a page (from 1) in id order, or ``sample`` of them drawn at random by ``seed``."""
     if sum(option is not None for option in (max_posts, page, sample)) > 1:
         raise ValueError("a search is capped, paged or sampled, not several of them")
-    numbered = f"{prefix}tag_usage" if spark.catalog.tableExists(f"{prefix}tag_usage") else f"{prefix}tag"
-    tag, index = spark.table(numbered), spark.table(f"{prefix}tag_index")
+    tag, index = _tags(spark, prefix), spark.table(f"{prefix}tag_index")
     if min_score is None:
         ids = tag_index.search_index(index, tag, names)
     else:
@@ -41,11 +40,17 @@ def window_posts(spark: SparkSession, post_id: int, size: int = LOCAL_WINDOW, pr
     return _records(spark, post.select(F.col("id").alias("post_id")), prefix)
 
 
+def _tags(spark: SparkSession, prefix: str) -> DataFrame:
+    """The tags, with their uses where those were kept."""
+    counted = f"{prefix}tag_usage"
+    return spark.table(counted if spark.catalog.tableExists(counted) else f"{prefix}tag")
+
+
 def _records(spark: SparkSession, ids: DataFrame, prefix: str) -> DataFrame:
     ids = cut_lineage(ids)  # joined twice
     related = spark.table(f"{prefix}post_tag").join(ids, "post_id", "left_semi")
     chosen = spark.table(f"{prefix}post").join(ids.withColumnRenamed("post_id", "id"), "id", "left_semi")
-    return search.build_post_dict(related, spark.table(f"{prefix}tag"), chosen)
+    return search.build_post_dict(related, _tags(spark, prefix), chosen)
 
 
 def save_matches(posts: DataFrame, captions: str, metadata: str) -> None:

@@ -189,6 +189,26 @@ def html_escape(spark, sf_dir):
     )
 
 
+# References of every form and what they stand for.
+_REFERENCES = (
+    ("&amp;", "&"), ("&lt", "<"), ("&notin;", "\u2209"), ("&notit;", "\u00acit;"), ("&#x41;", "A"), ("&#65", "A"), ("&#0;", "\ufffd"),
+    ("&#150;", "\u2013"), ("&unknownreference;", "&unknownreference;"), ("& ", "& "), ("&CounterClockwiseContourIntegral;", "\u2233"),
+    ("&#X1F600;", "\U0001f600"), ("&#99999999999;", "\ufffd"), ("&&amp;amp;", "&&amp;"),
+)
+
+
+def _cases(column: int) -> str:
+    cases = " ".join(f"WHEN {at} THEN '{pair[column]}'" for at, pair in enumerate(_REFERENCES))
+    return f"CASE p_partkey % {len(_REFERENCES)} {cases} END"
+
+
+@query("html_unescape_references", f"SELECT p_partkey, p_name || ({_cases(1)}) || '_' || p_brand AS plain FROM part")
+def html_unescape_references(spark, sf_dir):
+    """Named, decimal and hex references, some without a semicolon, some unknown or invalid."""
+    typed = fx.table(spark, sf_dir, "part").select("p_partkey", F.expr(f"p_name || ({_cases(0)}) || '_' || p_brand").alias("text"))
+    return typed.select("p_partkey", text.html_unescape(F.col("text")).alias("plain"))
+
+
 @query(
     "html_unescape",
     "SELECT DISTINCT token, replace(replace(token, '&#39;', chr(39)), '&amp;', '&') AS plain FROM plain_tok",

@@ -62,10 +62,15 @@ def save_bucketed(
     ``order``.
 
     For keys that spread evenly, such as post ids. A tag may hold a third of a relation and would
-    fill one bucket: ``save_clustered`` is the layout for tags.
+    fill one bucket: ``save_clustered`` is the layout for tags. Rows without a key belong to one bucket as
+    well; they are written by all tasks, each into a file of its own.
     """
     count = buckets or shuffle_partitions(df.sparkSession)
-    placed = df.repartition(count, key)
+    hashed = [name for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    row = F.xxhash64(*hashed)
+    # Of the key's own type, so that rows with a key land in the task of their bucket: a bucket is one file.
+    spread = {"bigint": row, "int": F.hash(*hashed), "string": row.cast("string")}.get(dict(df.dtypes)[key])
+    placed = df.repartition(count, F.col(key) if spread is None else F.coalesce(F.col(key), spread))
     _save(placed.write.mode("overwrite").bucketBy(count, key).sortBy(*(order or [key])), name, path)
 
 

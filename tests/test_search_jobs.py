@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from postlake import fixtures as fx
-from postlake.operators import search
+from postlake.operators import search, stats
 from postlake.plans import ingest, search_captions
-from postlake.sinks.tables import save_clustered
+from postlake.sinks.tables import save_bucketed, save_clustered
+from tests.conftest import plan_of
 
 
 @pytest.fixture(scope="module")
@@ -66,3 +67,25 @@ def test_lookups_skip_row_groups_whose_ids_overlap(spark, table_name):
     with_bloom, plain = (spark.table(t).where(F.col("post_id") == wanted) for t in (table_name, f"{table_name}_plain"))
     assert sorted(map(tuple, with_bloom.collect())) == sorted(map(tuple, plain.collect())) != []
     assert rows_read(with_bloom) * 2 < rows_read(plain)
+
+
+@pytest.mark.parametrize("kind", ["BIGINT", "INT", "STRING", "DOUBLE"])
+def test_rows_without_a_key_are_written_by_all_tasks(spark, table_name, folder, kind):
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).cast(kind.lower()).alias("key"), "id", F.create_map(F.lit("a"), "id").alias("m")
+    )
+    save_bucketed(rows, "key", table_name, f"{folder}/t", buckets=6)
+    saved = spark.table(table_name)
+    assert sorted(saved.select("id").toPandas()["id"]) == list(range(30_000))
+    files = saved.where("key IS NULL").select(F.input_file_name().alias("f")).groupBy("f").count().collect()
+    assert kind == "DOUBLE" or len(files) == 6 and max(row["count"] for row in files) < 2500
+    keyed = saved.where("key IS NOT NULL").select(F.input_file_name().alias("f")).distinct().count()
+    assert keyed == 6  # a bucket is one file
+    plan = plan_of(saved.groupBy("key").count())
+    assert "Exchange" not in plan
+
+
+def test_records_leave_out_tags_of_posts_without_an_id(spark):
+    tag = spark.createDataFrame([(1, "a", "general", 3)], "tag_id BIGINT, name STRING, kind STRING, n_uses BIGINT")
+    relation = spark.createDataFrame([(7, 1), (7, 1), (None, 1)], "post_id BIGINT, tag_id BIGINT")
+    assert [tuple(row) for row in stats.tags_grouped_by_kind(relation, tag).collect()] == [(7, "general", "a a")]
