@@ -43,6 +43,7 @@ def prepare(spark, sf_dir: str) -> dict[str, float]:
         "setup_post": lambda: fx.posts(spark, sf_dir),
         "setup_tag": lambda: fx.numbered(spark, sf_dir),
         "setup_post_tag": lambda: fx.post_tags(spark, sf_dir),
+        "setup_tag_index": lambda: fx.tag_index(spark, sf_dir),
         "setup_tag_stats": lambda: fx.tag_stats(spark, sf_dir),
         "setup_lines": lambda: inputs.line_tree(spark, sf_dir),
         "setup_plain": lambda: inputs.plain_posts(spark, sf_dir),
