@@ -33,6 +33,8 @@ _BREAKS = b".,;:!?\x0b\x0c\r"
 _PLAIN = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t" + _BREAKS, b"abcdefghijklmnopqrstuvwxyz " + b"\n" * len(_BREAKS)
 )
+#: A task holds the rows of few buckets: it keeps a file of each open and need not sort its rows by bucket.
+_WRITERS = 8
 _ROW_BITS = (1 << 33) - 1
 _PAIR = "block BIGINT, local INT, x BIGINT, y BIGINT, n BIGINT, active INT"
 
@@ -154,9 +156,14 @@ class _Tables:
         self._spark, self._folder, self._names = spark, folder, f"phrases_{uuid.uuid4().hex}"
 
     def save(self, rows: DataFrame, name: str, partition: list[str]) -> DataFrame:
-        table = f"{self._names}_{name}"
+        table, setting = f"{self._names}_{name}", "spark.sql.maxConcurrentOutputFileWriters"
+        before = self._spark.conf.get(setting)
+        self._spark.conf.set(setting, str(_WRITERS))
         writer = rows.write.format("parquet").option("path", f"{self._folder}/{name}").bucketBy(shuffle_partitions(self._spark), "block")
-        (writer.partitionBy(*partition) if partition else writer).saveAsTable(table)
+        try:
+            (writer.partitionBy(*partition) if partition else writer).saveAsTable(table)
+        finally:
+            self._spark.conf.set(setting, before)
         return self.read(name)
 
     def read(self, name: str) -> DataFrame:
