@@ -121,26 +121,25 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, failed.alias("base_failed"), F.col("rejected_by").isNull().alias("kept"))
 
 
-def _mixing_sql(rounds: int, caps: int, keep: float, power: float) -> str:
+def _mixing_sql(rounds: int, step: int, tolerance: float, caps: int, keep: float, power: float) -> str:
     dims = ("source", "lang", "topic")
-    steps = [rf"""WITH docs AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, text,
+    steps = [rf"""WITH RECURSIVE docs AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, text,
   greatest(len({_WORDS}), 1) AS n_tokens FROM documents),
 tagged AS (SELECT doc_id, source, lang, n_tokens, CASE WHEN {_TAKEN.format('#*$%&|<>')} > n_tokens / 4.0 THEN 'symbols'
   WHEN ({_TAKEN.format('ABCDEFGHIJKLMNOPQRSTUVWXYZ')}) * 10 > length(array_to_string({_WORDS}, '')) * 4 THEN 'capitals'
   WHEN n_tokens < 100 THEN 'note' WHEN n_tokens < 1000 THEN 'article' ELSE 'long' END AS topic FROM docs),
-cells AS MATERIALIZED (SELECT source, lang, topic, CAST(sum(n_tokens) AS DOUBLE) AS weight, 1.0::DOUBLE AS f_source, 1.0::DOUBLE AS f_lang,
-  1.0::DOUBLE AS f_topic FROM tagged GROUP BY ALL)"""]
+cells AS MATERIALIZED (SELECT source, lang, topic, CAST(sum(n_tokens) AS DOUBLE) AS weight FROM tagged GROUP BY ALL)"""]
     for dim in dims:
         steps.append(f"""t_{dim} AS MATERIALIZED (SELECT {dim}, pow(sum(weight), {power}) / sum(pow(sum(weight), {power})) OVER () AS share
   FROM cells GROUP BY {dim})""")
-    last = "cells"
-    for at in range(rounds):
-        for dim in dims:
-            rest = " * ".join(f"f_{d}" for d in dims if d != dim)
-            steps.append(f"""s{at}_{dim} AS MATERIALIZED (SELECT c.* EXCLUDE (f_{dim}, share), share / sum(weight * {rest}) OVER (PARTITION BY {dim}) AS f_{dim}
-  FROM (SELECT * FROM {last} JOIN t_{dim} USING ({dim})) c)""")
-            last = f"s{at}_{dim}"
-    steps.append(f"rates AS MATERIALIZED (SELECT source, lang, topic, weight, f_source * f_lang * f_topic AS rate FROM {last})")
+    inner = f"SELECT * FROM fitted WHERE round < {rounds} AND (round % {step} <> 0 OR off > {tolerance})"
+    for dim in dims:
+        off = "abs(now - share)" if dim == dims[0] else "greatest(off, abs(now - share))"
+        inner = f"""SELECT source, lang, topic, weight, rate * share / now AS rate, round, {off} AS off FROM
+  (SELECT x.*, share, sum(weight * rate) OVER (PARTITION BY {dim}) AS now FROM ({inner}) x JOIN t_{dim} USING ({dim}))"""
+    steps.append(f"""fitted AS (SELECT source, lang, topic, weight, 1.0::DOUBLE AS rate, 0 AS round, 'inf'::DOUBLE AS off FROM cells
+  UNION ALL SELECT source, lang, topic, weight, rate, round + 1, max(off) OVER () FROM ({inner}))""")
+    steps.append("rates AS MATERIALIZED (SELECT source, lang, topic, weight, rate FROM fitted WHERE round = (SELECT max(round) FROM fitted))")
     steps.append(f"k0 AS MATERIALIZED (SELECT {keep} * sum(weight) / sum(weight * rate) AS scale FROM rates)")
     for at in range(1, caps + 1):
         steps.append(f"""k{at} AS MATERIALIZED (SELECT greatest(max(scale), coalesce(({keep} * sum(weight) - sum(CASE WHEN rate * scale >= 1.0 THEN weight ELSE 0 END))
@@ -152,12 +151,12 @@ SELECT doc_id, source, lang, topic, n_tokens, round(least(1.0, rate * scale), 9)
 FROM tagged JOIN rates USING (source, lang, topic), k{caps}"""
 
 
-@_query("op2_source_mixing", _mixing_sql(8, 6, 0.5, 0.5))
+@_query("op2_source_mixing", _mixing_sql(100, 4, 1e-6, 6, 0.5, 0.5))
 def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability and draw of all documents, raked to square-root shares of source, language and topic."""
     from postlake.llm.mixing import mix
 
-    mixed = mix(table(spark, sf_dir, "documents"))
+    mixed = mix(table(spark, sf_dir, "documents"), carry=("doc_id", "source", "lang"))
     return mixed.select(
         "doc_id", F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang"), "topic",
         "n_tokens", F.round("probability", 9).alias("probability"), "kept",

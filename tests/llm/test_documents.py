@@ -88,6 +88,32 @@ def test_fit_meets_the_targets(spark):
     assert kept.agg(F.max("probability")).first()[0] <= 1.0
 
 
+def test_fit_goes_on_until_the_targets_are_met(spark):
+    # Source and language hang together, so that scaling one undoes the other for many rounds.
+    cells = spark.createDataFrame(
+        [(s, l, "x", 20.0 if s == l else 1.0) for s in "abc" for l in "abc"], "source STRING, lang STRING, topic STRING, weight DOUBLE",
+    )
+    wanted = {"source": [("a", 0.5), ("b", 0.3), ("c", 0.2)], "lang": [("a", 0.2), ("b", 0.3), ("c", 0.5)]}
+    targets = {dim: spark.createDataFrame(shares, "value STRING, share DOUBLE") for dim, shares in wanted.items()}
+    assert mixing.deviation(mixing.fit(cells, targets, rounds=3), targets) > 1e-4
+    met = mixing.fit(cells, targets, tolerance=1e-9)
+    assert mixing.deviation(met, targets) <= 1e-9
+    shuffled = mixing.fit(cells, targets, tolerance=1e-9, rounds=6, one_task=0).collect()
+    alone = {row[:3]: row["rate"] for row in mixing.fit(cells, targets, tolerance=1e-9, rounds=6).collect()}
+    assert {row[:3]: row["rate"] for row in shuffled} == pytest.approx(alone, rel=1e-12)
+
+
+def test_fit_of_targets_that_no_weights_meet(spark):
+    cells = spark.createDataFrame([("a", "x", "", 1.0), ("b", "y", "", 2.0), ("c", "x", "", 3.0)], "source STRING, lang STRING, topic STRING, weight DOUBLE")
+    wanted = {"source": [("a", 0.9), ("b", 0.1)], "lang": [("x", 0.5), ("y", 0.5), ("z", 1.0)]}
+    targets = {dim: spark.createDataFrame(shares, "value STRING, share DOUBLE") for dim, shares in wanted.items()}
+    fitted = mixing.fit(cells, targets, rounds=4)
+    assert {row["source"] for row in fitted.where("rate > 0").collect()} == {"a", "b"}
+    assert mixing.deviation(fitted, targets) > 0.1
+    assert mixing.fit(cells.limit(0), targets).collect() == []
+    assert all(row["rate"] == 1.0 for row in mixing.fit(cells, {}).collect())
+
+
 def test_mixing_of_awkward_documents(documents, clashing):
     docs = clashing(documents())
     rows = mixing.mix(docs, prefix="_mix_").collect()
