@@ -24,6 +24,8 @@ SATURATION = 100
 #: Documents' worth of its parent's prior that a host, domain or suffix starts with.
 STRENGTH = 20.0
 LEAST_POSTERIOR = 0.5
+#: Bytes of text whose trigrams a worker holds at once, in some fifty times their memory.
+BATCH_BYTES = 1 << 20
 
 _SPACE = 32
 _FOLD = np.full(256, _SPACE, np.uint8)
@@ -54,7 +56,7 @@ def trigram_counts(docs: DataFrame, declared: str, languages: tuple[str, ...], t
 
     def run(batches):
         totals = np.zeros((len(languages), BUCKETS), np.int64)
-        for batch in small_batches(batches, "text", 4 << 20):
+        for batch in small_batches(batches, "text", BATCH_BYTES):
             rows, buckets = trigrams(batch.column("text").to_pylist())
             place = pd.Index(languages).get_indexer(pd.Index(batch.column("declared").to_pylist(), dtype=object))
             which = place[rows]
@@ -84,7 +86,7 @@ def text_scores(docs: DataFrame, model: np.ndarray, keep: dict[str, str], text_c
     columns = list(keep)
 
     def run(batches):
-        for batch in small_batches(batches, "_text", 4 << 20):
+        for batch in small_batches(batches, "_text", BATCH_BYTES):
             rows, buckets = trigrams(batch.column("_text").to_pylist())
             n = batch.num_rows
             counts = np.bincount(rows, minlength=n)

@@ -19,6 +19,8 @@ from postlake.session import cut_lineage
 
 #: Rows of the sample on which costs and selectivities are estimated, about.
 SAMPLE_ROWS = 2000
+#: Bits of a place in a text: as many as an array can have.
+_PLACE = 31
 _SPACE = " \t\n\x0b\f\r"
 _SYMBOLS = "#*$%&|<>"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -85,23 +87,36 @@ def n_dup_lines(text: Column) -> Column:
 def n_repeat_words(text: Column) -> Column:
     """Words in 3-word windows that the text holds twice or more, the first included.
 
-    Windows are sorted by a 64-bit hash of their words, so that equal ones are neighbours: n log n for
-    texts of any length. The starts of repeated windows, in order, cover three words each, less what
-    the next one covers too.
+    A window is one number, bits of its hash above its place; sorted, windows that may be equal are
+    neighbours: n log n for texts of any length, without a record per word. Those few are sorted again
+    by the whole 64-bit hash. The starts of repeated windows, in order, cover three words each, less
+    what the next one covers too.
     """
 
-    def starts(words: Column) -> Column:
-        windows = F.transform(words, lambda word, i: F.struct(
-            F.xxhash64(word, F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i")
+    def window(words: Column, i: Column) -> Column:
+        return F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
+
+    def candidates(words: Column) -> Column:
+        firsts = F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0)))
+        numbers = F.transform(firsts, lambda _, i: F.shiftleft(window(words, i), _PLACE).bitwiseOR(i.cast("long")))
+
+        def like(one: Column, other: Column) -> Column:
+            return F.shiftright(one.bitwiseXOR(other), _PLACE) == 0
+
+        return _let(F.sort_array(numbers), lambda ordered: F.filter(
+            ordered, lambda one, j: like(one, F.get(ordered, j - 1)) | like(one, F.get(ordered, j + 1))
         ))
-        return _let(F.sort_array(F.slice(windows, 1, F.greatest(F.size(words) - 2, F.lit(0)))), lambda ordered: F.array_sort(
-            F.transform(
-                F.filter(ordered, lambda w, j: (w["h"] == F.get(ordered, j - 1)["h"]) | (w["h"] == F.get(ordered, j + 1)["h"])),
-                lambda w: w["i"],
-            )
+
+    def starts(words: Column) -> Column:
+        hashed = F.transform(candidates(words), lambda one: _let(
+            one.bitwiseAND(F.lit((1 << _PLACE) - 1)).cast("int"), lambda i: F.struct(window(words, i).alias("h"), i.alias("i"))
         ))
+        return _let(F.sort_array(hashed), lambda ordered: F.sort_array(F.transform(
+            F.filter(ordered, lambda w, j: (w["h"] == F.get(ordered, j - 1)["h"]) | (w["h"] == F.get(ordered, j + 1)["h"])),
+            lambda w: w["i"],
+        )))
 
-    covered = F.aggregate(
+    return F.aggregate(
         _let(words_of(text), starts),
         F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).alias("last")),
         lambda so_far, i: F.struct(
@@ -109,7 +124,6 @@ def n_repeat_words(text: Column) -> Column:
         ),
         lambda so_far: so_far["n"],
     )
-    return covered
 
 
 FEATURES: dict[str, Callable[[Column], Column]] = {
