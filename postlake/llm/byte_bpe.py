@@ -23,6 +23,10 @@ from postlake.llm.pieces import PieceTable, byte_level_pieces, encoded_rows, rag
 WIDTHS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 14, 16, 20, 24, 32, 48, 64, 128)
 _NONE = np.int32(np.iinfo(np.int32).max)
 _ROWS = 1 << 15
+#: Bytes of text in a step of a worker, and the distinct pieces it keeps with about their bytes: what a
+#: worker holds beside its ranks stays near 100 MB.
+STEP_BYTES = 1 << 18
+TABLE_PIECES, TABLE_BYTES = 100_000, 24 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # 2^64 over the golden ratio, odd
 
 
@@ -224,7 +228,7 @@ def _table(path: str, pattern: str) -> PieceTable:
         owner = np.repeat(np.arange(len(pieces)), counts)
         return flat, np.bincount(owner, weights=lengths[codes], minlength=len(pieces)).astype(np.int64)
 
-    return PieceTable(encode)
+    return PieceTable(encode, TABLE_PIECES, TABLE_BYTES)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", out: str = "ids", decoded: str | None = None) -> DataFrame:
@@ -239,9 +243,9 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
 
     def run(batches):
         table = _table(path, pattern)
-        for batch in small_batches(batches, "text", 2 << 20):
+        for batch in small_batches(batches, "text", STEP_BYTES):
             texts = batch.column("text").to_pylist()
-            found = list(encoded_rows(texts, table, byte_level_pieces))
+            found = list(encoded_rows(texts, table, byte_level_pieces, STEP_BYTES))
             rows = np.concatenate([r for r, _ in found]) if found else np.zeros(0, np.int64)
             ids = np.concatenate([i for _, i in found]) if found else np.zeros(0, np.int32)
             offsets = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(texts)))]).astype(np.int32)

@@ -148,10 +148,10 @@ def sums_by_row(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
 
 
 def encoded_rows(
-    texts: list[str | None], table: PieceTable, cut: Callable[[str], list[str]]
+    texts: list[str | None], table: PieceTable, cut: Callable[[str], list[str]], size: int = STEP_CHARS
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(row of each id, ids) for steps of ``texts``, in order."""
-    for step in steps(texts):
+    """(row of each id, ids) for steps of ``texts`` of about ``size`` characters, in order."""
+    for step in steps(texts, size):
         pieces, counts = [], []
         for _, part in step:
             found = cut(part)
