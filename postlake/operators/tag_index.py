@@ -1,8 +1,9 @@
-"""An inverted index of tags: per tag and block of 32,768 post ids, the ids as bits.
+"""An inverted index of tags: per tag and block of 32,768 post ids, the ids as words of 64 bits.
 
-A search is a filter on tag ids, one AND of bitmaps per block and the ids of the bits that stay. Saved
-bucketed on the block, the index is searched without an exchange: a tag with a third of all posts is
-read as one bit per post, and only in blocks that the rarest tag has.
+A search is a filter on tag ids, one AND per word and the ids of the bits that stay. Words without a bit
+are not kept: a tag with a third of all posts is a bit per post, a tag on one post a single word. Saved
+bucketed on the block, the index is searched without an exchange, and only in blocks that the rarest
+tag has.
 """
 
 from __future__ import annotations
@@ -17,18 +18,25 @@ from postlake.operators.skew import BROADCAST_BYTES, fits_broadcast
 
 BLOCK_IDS = 32_768
 _BYTES = BLOCK_IDS // 8
-INDEX = "tag_id BIGINT, block BIGINT, ids BINARY, n BIGINT"
+WORD_IDS = 64
+INDEX = "tag_id BIGINT, block BIGINT, word INT, bits BIGINT"
 
 
-def build_tag_index(post_tag: DataFrame) -> DataFrame:
-    """(tag_id, block, ids, n): the posts of a tag in a block of ids as a bitmap, and their number.
+def build_tag_index(post_tag: DataFrame, parts: int | None = None) -> DataFrame:
+    """(tag_id, block, word, bits): the posts of a tag among the 64 ids of a word of a block.
 
     Repeats of a tag on a post are one bit. Relations without a post id cannot be found by a search
-    and are left out. Rows are reduced to bitmaps ahead of the shuffle, so a hot tag moves a bit per post.
+    and are left out. No tag has more rows than posts, however rare it is. ``parts`` moves the rows to
+    that many partitions by block ahead of the grouping, so that a task holds the words of some blocks
+    and not those of all its input.
     """
-    bits = post_tag.where("post_id IS NOT NULL").groupBy("tag_id", F.bitmap_bucket_number("post_id").alias("block"))
-    index = bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("post_id")).alias("ids"))
-    return index.select("tag_id", "block", "ids", F.bitmap_count("ids").alias("n"))
+    at = F.bitmap_bit_position("post_id")
+    rows = post_tag.where("post_id IS NOT NULL").select(
+        "tag_id", F.bitmap_bucket_number("post_id").alias("block"), F.floor(at / WORD_IDS).cast("int").alias("word"),
+        F.call_function("shiftleft", F.lit(1).cast("bigint"), (at % WORD_IDS).cast("int")).alias("bit"),
+    )
+    rows = rows.repartition(parts, "block") if parts else rows
+    return rows.groupBy("tag_id", "block", "word").agg(F.bit_or("bit").alias("bits"))
 
 
 def save_tag_index(post_tag: DataFrame, name: str, path: str | None = None, buckets: int | None = None) -> None:
@@ -36,15 +44,15 @@ def save_tag_index(post_tag: DataFrame, name: str, path: str | None = None, buck
     and AND within a bucket."""
     from postlake.sinks.tables import save_bucketed
 
-    save_bucketed(build_tag_index(post_tag), "block", name, path, buckets, order=["tag_id", "block"])
+    save_bucketed(build_tag_index(post_tag, buckets), "block", name, path, buckets, order=["tag_id", "block", "word"])
 
 
 def _nothing(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "block BIGINT, ids BINARY, n BIGINT")
+    return spark.createDataFrame([], "block BIGINT, word INT, bits BIGINT")
 
 
-def search_blocks(index: DataFrame, tag: DataFrame, names: list[str]) -> DataFrame:
-    """(block, ids, n): the posts that carry all of ``names``, as bitmaps by block; a name counts once
+def search_words(index: DataFrame, tag: DataFrame, names: list[str]) -> DataFrame:
+    """(block, word, bits): the posts that carry all of ``names``, as words by block; a name counts once
     whatever its kinds.
 
     Blocks that the rarest name lacks are not read further where the list of its blocks, at most one
@@ -64,19 +72,30 @@ def search_blocks(index: DataFrame, tag: DataFrame, names: list[str]) -> DataFra
         if "n_uses" in tag.columns:
             uses = {row["tag_id"]: row["n_uses"] for row in known}
         else:
-            uses = {row["tag_id"]: row["n"] for row in rows.groupBy("tag_id").agg(F.sum("n").alias("n")).collect()}
+            uses = {row["tag_id"]: row["n"] for row in rows.groupBy("tag_id").agg(F.sum(F.bit_count("bits")).alias("n")).collect()}
         rarest = min(names, key=lambda name: sum(uses.get(tag_id, 0) for tag_id in ids[name]))
         blocks = index.where(F.col("tag_id").isin(ids[rarest])).select("block").distinct()
         if 8 * sum(uses.get(tag_id, 0) for tag_id in ids[rarest]) <= BROADCAST_BYTES or fits_broadcast(blocks):
             rows = rows.join(F.broadcast(blocks), "block", "left_semi")
     if len(place) == len(names):  # one kind each
-        found = rows.groupBy("block").agg(F.bitmap_and_agg("ids").alias("ids"), F.count(F.lit(1)).alias("_names"))
+        each = rows
     else:
         named = reduce(lambda at, pair: at.when(F.col("tag_id") == pair[0], F.lit(pair[1])), place.items(), F)
-        each = rows.groupBy("block", named.alias("_name")).agg(F.bitmap_or_agg("ids").alias("ids"))
-        found = each.groupBy("block").agg(F.bitmap_and_agg("ids").alias("ids"), F.count(F.lit(1)).alias("_names"))
-    found = found.where(F.col("_names") == len(names)).select("block", "ids", F.bitmap_count("ids").alias("n"))
-    return found.where("n > 0")
+        each = rows.groupBy("block", "word", named.alias("_name")).agg(F.bit_or("bits").alias("bits"))
+    found = each.groupBy("block", "word").agg(F.bit_and("bits").alias("bits"), F.count(F.lit(1)).alias("_names"))
+    return found.where((F.col("_names") == len(names)) & (F.col("bits") != 0)).drop("_names")
+
+
+def _places(word: Column, bits: Column) -> Column:
+    """The places in their block of the set bits of a word."""
+    at = F.filter(F.sequence(F.lit(0), F.lit(WORD_IDS - 1)), lambda bit: F.getbit(bits, bit) == 1)
+    return F.transform(at, lambda bit: (word * WORD_IDS + bit).cast("bigint"))
+
+
+def search_blocks(index: DataFrame, tag: DataFrame, names: list[str]) -> DataFrame:
+    """(block, ids, n): the posts that carry all of ``names``, as bitmaps by block; see ``search_words``."""
+    found = search_words(index, tag, names).select("block", F.explode(_places(F.col("word"), F.col("bits"))).alias("_place"))
+    return found.groupBy("block").agg(F.bitmap_construct_agg("_place").alias("ids"), F.count(F.lit(1)).alias("n"))
 
 
 def _set_places(bitmap: Column) -> Column:
@@ -93,13 +112,14 @@ def _set_places(bitmap: Column) -> Column:
     return F.flatten(places)
 
 
+def _id_at(block: Column, place: Column) -> Column:
+    """The post id at a place of a block; blocks of ids up to 0 count downwards."""
+    return F.when(block > 0, (block - 1) * BLOCK_IDS + place + 1).otherwise(block * BLOCK_IDS - place)
+
+
 def block_ids(block: Column, bitmap: Column) -> Column:
     """The post ids of a block's bitmap, in order."""
-    ids = F.transform(
-        _set_places(bitmap),
-        lambda place: F.when(block > 0, (block - 1) * BLOCK_IDS + place + 1).otherwise(block * BLOCK_IDS - place),
-    )
-    return F.sort_array(ids)  # blocks of ids up to 0 count downwards
+    return F.sort_array(F.transform(_set_places(bitmap), lambda place: _id_at(block, place)))
 
 
 def post_ids(blocks: DataFrame) -> DataFrame:
@@ -109,7 +129,8 @@ def post_ids(blocks: DataFrame) -> DataFrame:
 
 def search_index(index: DataFrame, tag: DataFrame, names: list[str]) -> DataFrame:
     """Ids of the posts that carry all of ``names``."""
-    return post_ids(search_blocks(index, tag, names))
+    places = search_words(index, tag, names).select("block", F.explode(_places(F.col("word"), F.col("bits"))).alias("_place"))
+    return places.select(_id_at(F.col("block"), F.col("_place")).alias("post_id"))
 
 
 def search_index_min_score(index: DataFrame, tag: DataFrame, post: DataFrame, names: list[str], minimum: int) -> DataFrame:

@@ -63,6 +63,14 @@ def test_search_of_hot_and_rare_tags(index, tag, relation, names, tests):
     assert sorted(row[0] for row in tag_index.search_index(index, used, names).collect()) == sorted(got)
 
 
+def test_a_rare_tag_costs_a_word_and_not_a_block(spark):
+    once = spark.range(5000).selectExpr("id AS tag_id", "id * 40000 AS post_id")
+    rows = tag_index.build_tag_index(once, 4)
+    assert rows.count() == 5000 and {kind for _, kind in rows.dtypes} <= {"bigint", "int"}  # no bitmap of 4 KB each
+    dense = spark.range(1, 32_769).selectExpr("7L AS tag_id", "id AS post_id")
+    assert tag_index.build_tag_index(dense).count() == 32_768 // tag_index.WORD_IDS
+
+
 def test_a_search_shuffles_nothing(index, tag):
     plan = plan_of(tag_index.search_index(index, tag, ["hot", "rare", "twin"]))
     assert "Exchange hashpartitioning(block" not in plan and "SelectedBucketsCount" in plan
