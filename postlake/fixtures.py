@@ -7,9 +7,11 @@ would do it; every row of the source tables is used.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from postlake.operators import normalize, stats
 from postlake.operators.tag_index import build_tag_index
@@ -59,17 +61,46 @@ SELECT {POST_SRC_COLUMNS} FROM (
   GROUP BY o_orderkey, o_orderdate, o_orderstatus, o_orderpriority)"""
 
 
+# Line items that a task gathers into posts.
+ITEM_ROWS = 200_000
+
+
 def post_src(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One flat post per order; the line items of the order give its tags."""
+    """One flat post per order; the line items of the order give its tags.
+
+    Line items meet their parts first, with the few columns that make tags, and move to their order once:
+    one list per order, in partitions that grow in number with the line items, not in size. Orders equal
+    in all columns of a post are one post with the items of each.
+    """
     configure(spark)
-    files = [f"parquet.`{sf_dir}/{name}.parquet`" for name in ("orders", "lineitem", "part")]
-    return spark.sql(
-        _post_src_sql(
-            *files,
-            "listagg({}, ' ') WITHIN GROUP (ORDER BY l_linenumber, l_partkey, l_suppkey)",
-            "date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss'.000-05:00'\")",
-        )
+    orders, lineitem, part = (table(spark, sf_dir, name) for name in ("orders", "lineitem", "part"))
+    count = max(MIN_PARTS, -(-lineitem.count() // ITEM_ROWS))
+    order = ["l_linenumber", "l_partkey", "l_suppkey"]
+    named = lineitem.select("l_orderkey", *order, "l_returnflag").where("l_orderkey IS NOT NULL").join(
+        part.select("p_partkey", "p_name", "p_brand"), F.col("p_partkey") == F.col("l_partkey"), "left"
     )
+    items = (
+        named.repartition(count, "l_orderkey").groupBy("l_orderkey")
+        .agg(F.sort_array(F.collect_list(F.struct(*order, "p_name", "p_brand", "l_returnflag"))).alias("_items"))
+    )
+    keys = ["o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority"]
+    grouped = orders.select(*keys).repartition(count, "o_orderkey").groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("_n"))
+    joined = grouped.join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    times = F.flatten(F.transform("_items", lambda item: F.array_repeat(item, F.col("_n"))))
+    posts = joined.withColumn("_items", F.when(F.col("_n") == 1, F.col("_items")).otherwise(times))
+
+    def tags(value: str) -> str:
+        of_item = re.sub(r"\b(l_partkey|l_suppkey|l_returnflag|p_name|p_brand)\b", r"i.\1", value)
+        named = f"exists(_items, i -> ({of_item}) IS NOT NULL)"  # no name at all is NULL, not empty
+        return f"CASE WHEN {named} THEN array_join(transform(_items, i -> {of_item}), ' ') END"
+
+    date_text = "date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss'.000-05:00'\")"
+    rows = posts.selectExpr(
+        "o_orderkey AS id", "o_orderstatus", "o_orderpriority",
+        f"CASE WHEN o_orderkey % 997 = 0 THEN 'bad' ELSE {date_text} END AS created_at_text",
+        *[f"{tags(value)} AS {name}" for value, name in _TAG_PARTS],
+    )
+    return spark.sql(f"SELECT {POST_SRC_COLUMNS} FROM {{rows}}", rows=rows)
 
 
 POST_SRC_DUCKDB = _post_src_sql(
@@ -108,11 +139,21 @@ def flat_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parts(spark: SparkSession, sf_dir: str) -> int:
-    """Buckets or state partitions for data derived from the posts: one per split of the flat
-    posts, so that they grow in number, not in size."""
+    """State partitions for data derived from the posts: one per split of the flat posts, so that
+    they grow in number, not in size."""
     return max(MIN_PARTS, flat_posts(spark, sf_dir).rdd.getNumPartitions())
 
 
+# Posts of a bucket; with their tags about a million rows.
+BUCKET_POSTS = 50_000
+
+
+def buckets(spark: SparkSession, sf_dir: str) -> int:
+    """Buckets of tables keyed by the post. A task sorts or groups a whole bucket, so their number
+    follows the posts; splits follow bytes, and some bytes hold many rows of a relation."""
+    return max(MIN_PARTS, -(-flat_posts(spark, sf_dir).count() // BUCKET_POSTS))
+
+
 _saved: set[str] = set()
 
 
@@ -123,7 +164,7 @@ def bucketed(
     path = folder(configure(spark), sf_dir, name)
     saved = f"{name}_{path.split('/')[-2]}"
     if path not in _saved:
-        save_bucketed(build(), key, saved, path, parts(spark, sf_dir), order)
+        save_bucketed(build(), key, saved, path, buckets(spark, sf_dir), order)
         _saved.add(path)
     return spark.table(saved)
 
@@ -175,9 +216,11 @@ def post_tags_by_range(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int
 
 
 def tag_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bitmaps of the posts of each tag, bucketed on the block of ids, for searches."""
-    related = post_tags_by_post(spark, sf_dir)
-    return bucketed(spark, sf_dir, "tag_index", "block", lambda: build_tag_index(related), ["tag_id", "block"])
+    """The posts of each tag as bits, bucketed on the block of ids, for searches."""
+    related, count = post_tags_by_post(spark, sf_dir), buckets(spark, sf_dir)
+    return bucketed(
+        spark, sf_dir, "tag_index", "block", lambda: build_tag_index(related, count), ["tag_id", "block", "word"]
+    )
 
 
 def tag_stats(spark: SparkSession, sf_dir: str) -> DataFrame:

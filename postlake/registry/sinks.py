@@ -84,7 +84,7 @@ def layout_by_key(spark, sf_dir):
     """Statistics over tables bucketed on the post id, which join without an exchange."""
     root = fresh_folder(spark, sf_dir, "layout")
     post, related = _name("post"), _name("post_tag")
-    buckets = fx.parts(spark, sf_dir)
+    buckets = fx.buckets(spark, sf_dir)
     tables.save_bucketed(fx.posts(spark, sf_dir), "id", post, f"{root}/post", buckets)
     tables.save_bucketed(
         fx.post_tags(spark, sf_dir), "post_id", related, f"{root}/post_tag", buckets
