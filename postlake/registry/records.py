@@ -165,7 +165,7 @@ UNION ALL SELECT -1, s.score, s.rating FROM recs r JOIN post_src s ON s.id = r.s
 
 @query("dedup_by_id", _DEDUP, ("recs", "post_src"))
 def dedup_by_id(spark, sf_dir):
-    lines = jsonl.read_lines(spark, inputs.line_tree(spark, sf_dir))
+    lines = jsonl.read_lines(spark, inputs.line_tree(spark, sf_dir), pattern=inputs.TREE_FILES)
     posts = records.schema_fixed(records.unwrap_envelope(jsonl.parse_tolerant(lines)))
     once = dedup.dedup_by_id(posts, RECORD_ORDER)
     return once.select(F.coalesce("id", F.lit(-1)).alias("id"), "score", "rating")

@@ -19,7 +19,7 @@ def _per_file(lines):
 
 @query("scan_jsonl_tree", _PER_FILE.format(name="file_name", keep="true"), "lines")
 def scan_jsonl_tree(spark, sf_dir):
-    return _per_file(jsonl.read_lines(spark, inputs.line_tree(spark, sf_dir), must_exist=True))
+    return _per_file(jsonl.read_lines(spark, inputs.line_tree(spark, sf_dir), pattern=inputs.TREE_FILES, must_exist=True))
 
 
 @query(
@@ -30,7 +30,7 @@ def scan_jsonl_tree(spark, sf_dir):
 )
 def parse_strict(spark, sf_dir):
     tree = inputs.line_tree(spark, sf_dir, whole=True)
-    parsed = jsonl.parse_strict(jsonl.read_lines(spark, tree))
+    parsed = jsonl.parse_strict(jsonl.read_lines(spark, tree, pattern=inputs.TREE_FILES))
     posts = schema_fixed(unwrap_envelope(parsed))
     return posts.select(F.coalesce("id", F.lit(-1)).alias("id"), "rating", "score")
 
@@ -42,7 +42,7 @@ def parse_strict(spark, sf_dir):
     "lines",
 )
 def parse_tolerant(spark, sf_dir):
-    parsed = jsonl.parse_tolerant(jsonl.read_lines(spark, inputs.line_tree(spark, sf_dir)))
+    parsed = jsonl.parse_tolerant(jsonl.read_lines(spark, inputs.line_tree(spark, sf_dir), pattern=inputs.TREE_FILES))
     return parsed.groupBy("file_name").agg(
         F.count("doc").alias("good"), F.count_if(F.col("doc").isNull()).alias("bad")
     )
@@ -58,7 +58,7 @@ def parse_tolerant(spark, sf_dir):
 )
 def prune_min_id(spark, sf_dir):
     tree = inputs.line_tree(spark, sf_dir)
-    return _per_file(jsonl.read_lines(spark, tree, lambda name: jsonl.from_min_id(name, 4000)))
+    return _per_file(jsonl.read_lines(spark, tree, lambda name: jsonl.from_min_id(name, 4000), inputs.TREE_FILES))
 
 
 _RANGE = "CAST(string_split(string_split(strict_name, '.')[1], '_')[2] AS BIGINT) >= 6000"
@@ -67,7 +67,7 @@ _RANGE = "CAST(string_split(string_split(strict_name, '.')[1], '_')[2] AS BIGINT
 @query("prune_id_range", _PER_FILE.format(name="file_name", keep=_RANGE), "lines")
 def prune_id_range(spark, sf_dir):
     tree = inputs.line_tree(spark, sf_dir)
-    return _per_file(jsonl.read_lines(spark, tree, lambda name: jsonl.from_id_range(name, 6000)))
+    return _per_file(jsonl.read_lines(spark, tree, lambda name: jsonl.from_id_range(name, 6000), inputs.TREE_FILES))
 
 
 @query("prune_id_range_strict", _PER_FILE.format(name="strict_name", keep=_RANGE), "lines")

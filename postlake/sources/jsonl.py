@@ -58,7 +58,8 @@ def read_lines(
 
     ``keep`` maps the file name column to a condition. It touches only file metadata, so files
     that fail it are never opened. ``file``, ``block`` and ``row`` order the lines as they lie in
-    their files without a shuffle: a split is read by one task from its start to its end.
+    their files without a shuffle: a split is read by one task from its start to its end. Files whose
+    names end in ``.gz`` are read as what they hold, and ``file_name`` is the name without that ending.
     """
     reader = spark.read.option("recursiveFileLookup", "true")
     if pattern:
@@ -66,7 +67,7 @@ def read_lines(
     lines = reader.text(paths)
     if must_exist and lines.isEmpty() and not lines.inputFiles():
         raise FileNotFoundError(f"no {pattern or ''} files below {paths}")
-    name = F.col("_metadata.file_name")
+    name = F.regexp_replace(F.col("_metadata.file_name"), r"\.gz$", "")
     if keep is not None:
         lines = lines.where(keep(name))
     return lines.select(
