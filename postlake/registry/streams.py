@@ -19,6 +19,16 @@ def _finish(stream) -> None:
         raise stream.exception()
 
 
+# A batch has a cost of its own, whatever it holds: files arrive in about as many batches at any size.
+BATCHES = 8
+
+
+def _per_batch(spark, path, least, pattern="*.parquet"):
+    """Files of a batch: ``least``, or more where that would make more than ``BATCHES`` batches."""
+    found = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).format("binaryFile").load(path)
+    return max(least, -(-len(found.inputFiles()) // BATCHES))
+
+
 _CLIPPED = "SELECT id, score, rating, tag_string FROM post_src WHERE id >= 50"
 
 
@@ -29,7 +39,9 @@ def _read_posts(spark, path):
 @query("stream_ingest_dedup", _CLIPPED, "post_src")
 def stream_ingest_dedup(spark, sf_dir):
     run = fresh_folder(spark, sf_dir, "ingest")
-    posts = ingest.arriving_posts(spark, inputs.line_tree(spark, sf_dir), low=50, files_per_batch=1)
+    tree = inputs.line_tree(spark, sf_dir)
+    few = _per_batch(spark, tree, 1, inputs.TREE_FILES)
+    posts = ingest.arriving_posts(spark, tree, low=50, files_per_batch=few, pattern=inputs.TREE_FILES)
     parts = fx.parts(spark, sf_dir)
     _finish(ingest.ingest_dedup(posts, f"{run}/out", f"{run}/checkpoint", parts))
     return _read_posts(spark, f"{run}/out")
@@ -42,7 +54,7 @@ def stream_ingest_dedup(spark, sf_dir):
 )
 def stream_ingest_without_id(spark, sf_dir):
     run = fresh_folder(spark, sf_dir, "unkeyed")
-    posts = ingest.arriving_posts(spark, inputs.line_tree(spark, sf_dir))
+    posts = ingest.arriving_posts(spark, inputs.line_tree(spark, sf_dir), pattern=inputs.TREE_FILES)
     _finish(ingest.ingest_without_id(posts, f"{run}/out", f"{run}/checkpoint"))
     return _read_posts(spark, f"{run}/out").drop("id")
 
@@ -115,7 +127,8 @@ def stream_search_requests(spark, sf_dir):
 def stream_tag_stats(spark, sf_dir):
     run = fresh_folder(spark, sf_dir, "tag_stats")
     fx.flat_posts(spark, sf_dir)
-    arriving = ingest.arriving_parquet(spark, fx.folder(spark, sf_dir, "flat"), files_per_batch=3)
+    flat = fx.folder(spark, sf_dir, "flat")
+    arriving = ingest.arriving_parquet(spark, flat, files_per_batch=_per_batch(spark, flat, 3))
     _finish(tag_stats.refresh_tag_stats(arriving, f"{run}/out", f"{run}/checkpoint"))
     current = tag_stats.current_tag_stats(spark, f"{run}/out")
     return current.withColumn("first_seen", clock("first_seen"))
@@ -126,7 +139,8 @@ def stream_tag_snapshots(spark, sf_dir):
     """Folded by the stream every second batch."""
     run = fresh_folder(spark, sf_dir, "tag_snapshots")
     fx.flat_posts(spark, sf_dir)
-    arriving = ingest.arriving_parquet(spark, fx.folder(spark, sf_dir, "flat"), files_per_batch=2)
+    flat = fx.folder(spark, sf_dir, "flat")
+    arriving = ingest.arriving_parquet(spark, flat, files_per_batch=_per_batch(spark, flat, 2))
     _finish(tag_stats.refresh_tag_snapshots(arriving, f"{run}/out", f"{run}/checkpoint", fold_every=2))
     return tag_stats.current_tag_snapshot(spark, f"{run}/out").withColumn("first_seen", clock("first_seen"))
 
@@ -141,7 +155,7 @@ def stream_missing_tags(spark, sf_dir):
     run = fresh_folder(spark, sf_dir, "missing")
     plain = inputs.plain_posts(spark, sf_dir)
     source = fx.folder(spark, sf_dir, "plain")
-    arriving = spark.readStream.schema(plain.schema).option("maxFilesPerTrigger", 3).parquet(source)
+    arriving = spark.readStream.schema(plain.schema).option("maxFilesPerTrigger", _per_batch(spark, source, 3)).parquet(source)
     dictionary = load_tag_dictionary(spark, inputs.dictionary_folder(spark, sf_dir))
     _finish(missing_tags.queue_missing_tags(
         arriving, WORDS, dictionary, f"{run}/out", f"{run}/checkpoint", partitions=fx.parts(spark, sf_dir)

@@ -13,11 +13,13 @@ from postlake.sources.jsonl import parse_tolerant
 from postlake.streaming.batches import state_partitions
 
 
-def arriving_lines(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+def arriving_lines(
+    spark: SparkSession, folder: str, files_per_batch: int | None = None, pattern: str = "*.jsonl"
+) -> DataFrame:
     reader = (
         spark.readStream.format("text")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.jsonl")
+        .option("pathGlobFilter", pattern)
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -26,10 +28,10 @@ def arriving_lines(spark: SparkSession, folder: str, files_per_batch: int | None
 
 def arriving_posts(
     spark: SparkSession, folder: str, low: int | None = None, high: int | None = None,
-    files_per_batch: int | None = None,
+    files_per_batch: int | None = None, pattern: str = "*.jsonl",
 ) -> DataFrame:
     """Flat posts of the arriving lines, clipped to the id range; broken lines are left out."""
-    parsed = parse_tolerant(arriving_lines(spark, folder, files_per_batch))
+    parsed = parse_tolerant(arriving_lines(spark, folder, files_per_batch, pattern))
     posts = schema_fixed(unwrap_envelope(parsed)).drop("place")
     return filter_id_range(posts, low, high)
 
