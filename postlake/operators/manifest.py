@@ -114,13 +114,17 @@ def manifest_counts(manifest: DataFrame) -> DataFrame:
 
 def not_yet_written(posts: DataFrame, output: DataFrame, key: str = "id") -> DataFrame:
     """Posts whose key is not in the output yet. A post without a key is in it if a row without a key
-    is equal in every column both have; where they share no other column it never is."""
+    is equal in every column both have; where they share no other column it never is.
+
+    The keys of the output are merged, never broadcast: well compressed, they look small enough for
+    that to the planner, and would be gathered on the driver."""
     shared = [c for c in posts.columns if c in output.columns and c != key]
+    written = output.select(key).where(F.col(key).isNotNull()).hint("merge")
     if not shared:
-        return posts.join(output.select(key), key, "left_anti").select(*posts.columns)
-    named = posts.where(F.col(key).isNotNull()).join(output.select(key), key, "left_anti")
+        return posts.join(written, key, "left_anti").select(*posts.columns)
+    named = posts.where(F.col(key).isNotNull()).join(written, key, "left_anti")
     whole = F.md5(F.to_json(F.struct(*shared), {"ignoreNullFields": "false"}))
-    nameless = output.where(F.col(key).isNull()).select(whole.alias("_whole"))
+    nameless = output.where(F.col(key).isNull()).select(whole.alias("_whole")).distinct().hint("merge")
     left = posts.where(F.col(key).isNull()).withColumn("_whole", whole).join(nameless, "_whole", "left_anti")
     return named.select(*posts.columns).unionByName(left.select(*posts.columns))
 
