@@ -7,10 +7,12 @@ where a vector of a sample lies on it, so that a crowded topic, where most of th
 often.
 
 Passes go on until the links of the sample, found by comparing it with all vectors, are met; as many
-again follow. Where further passes would compare more pairs than there are, every pair is compared
-instead: distinct vectors are written in files of even size, and tasks compare each file with every
-other as matrix products. Links are united to components and then counted exactly inside each, block by
-block.
+again follow, at every size of the input. Links are united to components and then counted exactly inside
+each, block by block.
+
+On request every pair is compared instead: distinct vectors are written in files of even size, and tasks
+compare each file with every other as matrix products. The same is done where the sample still misses
+links after ``MOST_PASSES``.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ ROUND = 4
 SAMPLE = 2048
 #: Passes where no vector of the sample has a neighbour to be met.
 UNSEEN = 8
+#: Passes after which a sample that still misses links asks for all pairs.
+MOST_PASSES = 256
 #: Share of the sample's links to be met before the passes are doubled.
 RECALL = 0.999
 #: New rows that a task compares at a time with the window before them.
@@ -272,14 +276,14 @@ def linked_components(
 
     ``passes`` makes just that many. Otherwise rounds of ``ROUND`` passes follow one another until the
     sample has met ``recall`` of its neighbours, and then as many passes again; where the sample has none,
-    ``UNSEEN`` passes are made. Where the passes made and the next would compare more pairs than there
-    are, all pairs are compared instead.
+    ``UNSEEN`` passes are made. The number of vectors decides nothing. A sample that has not met its
+    neighbours after ``MOST_PASSES`` shows links that passes do not find, and all pairs are compared.
     """
     n, sample, made, enough, linked = classes.count(), sampled(classes), 0, passes, None
     units = _by_size(sample)
     while enough is None or made < enough:
         count = ROUND if enough is None else enough - made
-        if made and passes is None and 2 * (made + count) * window >= n:
+        if enough is None and made >= MOST_PASSES:
             return cut_lineage(components(all_links(classes, least)))
         links = window_links(pass_keys(classes, range(made, made + count), seed, units), window, least, n * count)
         made += count
@@ -288,8 +292,6 @@ def linked_components(
         linked = cut_lineage(components(links))
         if enough is None:
             share = met_share(classes, linked, sample, least)
-            if n <= len(sample) and share in (None, 1.0):
-                break  # measured on all vectors
             if share is None:
                 enough = max(made, UNSEEN)
             elif share >= recall:

@@ -159,6 +159,27 @@ def test_every_pair_of_a_hot_topic_is_linked(spark):
     assert 0 < passes < links.sum()
 
 
+def test_the_number_of_vectors_switches_nothing(spark, monkeypatch):
+    def unwanted(*_):
+        raise AssertionError("all pairs of a small input")
+
+    vectors = pairs_in_a_cone(2500, 60, 0.95)
+    links, groups = cosine_groups(vectors)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    monkeypatch.setattr(embeddings, "all_links", unwanted)
+    got = {row["vec_id"]: (row["n_links"], row["component_id"]) for row in embeddings.near_duplicates(frame, window=128).collect()}
+    assert got == {i: (int(n), g) for i, (n, g) in enumerate(zip(links, groups))}
+
+
+def test_links_that_passes_do_not_find_ask_for_all_pairs(spark, monkeypatch):
+    vectors = pairs_in_a_cone(600, 40, 0.95)
+    links, _ = cosine_groups(vectors)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    monkeypatch.setattr(embeddings, "MOST_PASSES", 4)
+    got = embeddings.near_duplicates(frame, window=1).agg(F.sum("n_links")).first()[0]
+    assert got == links.sum()
+
+
 @pytest.mark.parametrize("file_rows", [30, 50, 67, 1000])
 def test_all_pairs_of_files_meet(spark, file_rows):
     random = np.random.default_rng(8)
