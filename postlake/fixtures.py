@@ -69,15 +69,17 @@ def post_src(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One flat post per order; the line items of the order give its tags.
 
     Line items meet their parts first, with the few columns that make tags, and move to their order once:
-    one list per order, in partitions that grow in number with the line items, not in size. Orders equal
-    in all columns of a post are one post with the items of each.
+    one list per order, in partitions that grow in number with the line items, not in size. Both joins hash
+    the smaller side, so that line items and lists stream past it and are never sorted. Orders equal in all
+    columns of a post are one post with the items of each.
     """
     configure(spark)
     orders, lineitem, part = (table(spark, sf_dir, name) for name in ("orders", "lineitem", "part"))
     count = max(MIN_PARTS, -(-lineitem.count() // ITEM_ROWS))
     order = ["l_linenumber", "l_partkey", "l_suppkey"]
-    named = lineitem.select("l_orderkey", *order, "l_returnflag").where("l_orderkey IS NOT NULL").join(
-        part.select("p_partkey", "p_name", "p_brand"), F.col("p_partkey") == F.col("l_partkey"), "left"
+    named = lineitem.select("l_orderkey", *order, "l_returnflag").where("l_orderkey IS NOT NULL").repartition(count, "l_partkey").join(
+        part.select("p_partkey", "p_name", "p_brand").repartition(count, "p_partkey").hint("shuffle_hash"),
+        F.col("p_partkey") == F.col("l_partkey"), "left",
     )
     items = (
         named.repartition(count, "l_orderkey").groupBy("l_orderkey")
@@ -85,7 +87,7 @@ def post_src(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     keys = ["o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority"]
     grouped = orders.select(*keys).repartition(count, "o_orderkey").groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("_n"))
-    joined = grouped.join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    joined = grouped.hint("shuffle_hash").join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     times = F.flatten(F.transform("_items", lambda item: F.array_repeat(item, F.col("_n"))))
     posts = joined.withColumn("_items", F.when(F.col("_n") == 1, F.col("_items")).otherwise(times))
 

@@ -46,6 +46,13 @@ def test_partitions_and_buckets_follow_the_rows(spark, orders, monkeypatch):
     assert fx.buckets(spark, orders) == 3  # six posts
 
 
+def test_line_items_are_hashed_and_never_sorted(spark, orders, monkeypatch):
+    monkeypatch.setattr(fx, "ITEM_ROWS", 1)
+    plan = plan_of(fx.post_src(spark, orders))
+    assert "ShuffledHashJoin [l_partkey" in plan and "hashpartitioning(l_partkey" in plan
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan and " Sort [" not in plan
+
+
 def test_written_keys_are_never_broadcast(spark, folder):
     spark.range(1000).selectExpr("id", "id % 7 AS score").write.parquet(f"{folder}/written")
     posts = spark.range(500, 1500).selectExpr("IF(id % 50 = 0, NULL, id) AS id", "id % 9 AS score")
