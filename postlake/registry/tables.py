@@ -12,6 +12,7 @@ from postlake.operators import normalize, numbering, stats
 from postlake.operators.tagging import distinct_tagset
 from postlake.registry import inputs  # noqa: F401  (defines the shared expressions)
 from postlake.registry.base import CLOCK, clock, query, same_result
+from postlake.session import cut_lineage
 
 START = dt.datetime(1995, 1, 1, tzinfo=dt.timezone.utc)
 MIN_COUNT = 25
@@ -88,7 +89,7 @@ FROM (SELECT kind, name, CAST(row_number() OVER (PARTITION BY kind = 'artist' OR
     "tag",
 )
 def extend_tag_ids(spark, sf_dir):
-    every = normalize.distinct_tags_by_kind(fx.flat_posts(spark, sf_dir))
+    every = cut_lineage(normalize.distinct_tags_by_kind(fx.flat_posts(spark, sf_dir)))  # read three times
     known = numbering.assign_tag_ids(every.where("kind = 'artist'"))
     return numbering.extend_tag_ids(known, every).select("kind", "name", "tag_id")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postlake import fixtures as fx
 from postlake.operators.manifest import not_yet_written
-from postlake.registry import inputs, streams
+from postlake.registry import QUERIES, inputs, streams
 from postlake.sources import jsonl
 from tests.conftest import plan_of, values
 
@@ -53,6 +53,11 @@ def test_line_items_are_hashed_and_never_sorted(spark, orders, monkeypatch):
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan and " Sort [" not in plan
 
 
+def test_extending_ids_finds_the_tags_once(spark, sf_dir):
+    plan = plan_of(QUERIES["extend_tag_ids"](spark, sf_dir))
+    assert "tag_string" not in plan
+
+
 def test_written_keys_are_never_broadcast(spark, folder):
     spark.range(1000).selectExpr("id", "id % 7 AS score").write.parquet(f"{folder}/written")
     posts = spark.range(500, 1500).selectExpr("IF(id % 50 = 0, NULL, id) AS id", "id % 9 AS score")
