@@ -204,6 +204,18 @@ def post_tags_by_post(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Rows of a relation that a task counts.
+RELATION_ROWS = 500_000
+
+
+def pair_counts(spark: SparkSession, sf_dir: str, related: DataFrame) -> DataFrame:
+    """How often each (post_id, tag_id) is in a relation of all tokens. Pairs hardly repeat, so they move as
+    they are, in partitions that grow in number with the tokens; counted ahead, a split would hold all its pairs."""
+    tokens = numbered(spark, sf_dir).agg(F.sum("n_uses")).first()[0] or 0
+    count = max(MIN_PARTS, -(-tokens // RELATION_ROWS))
+    return related.repartition(count, "post_id", "tag_id").groupBy("post_id", "tag_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 TAG_RANGES = 64
 
 

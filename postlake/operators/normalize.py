@@ -58,7 +58,9 @@ def build_post_tag(
     flat: DataFrame, numbered: DataFrame, kinds: dict[str, str] | None = None
 ) -> DataFrame:
     """(post_id, tag_id) per token, repeats kept. ``numbered`` may carry ``n_uses``, which saves
-    a count when the dictionary is too large to broadcast."""
+    a count when the dictionary is too large to broadcast. Only its tags of ``kinds`` are measured for that."""
+    if kinds:
+        numbered = numbered.where(F.col("kind").isin(*kinds))
     tokens = tag_tokens(flat, [F.col("id").alias("post_id")], kinds)
     weight = "n_uses" if "n_uses" in numbered.columns else None
     columns = ["kind", "name", "tag_id", *([weight] if weight else [])]

@@ -46,7 +46,8 @@ def join_even(
     A dimension measured below ``limit`` is broadcast. Above it, rows of a hot key are spread over
     as many salts as it fills partitions by ``spread`` (a deterministic hash, so that a task run again
     after a loss sends its rows to the same places) and the hot key is repeated once per salt. ``weight`` names
-    a column of the dimension that holds the rows each key matches; without it they are counted.
+    a column of the dimension that holds the rows each key matches; without it they are counted. The shuffled
+    join hashes the dimension, so the facts stream past it and are never sorted.
     """
     values = dimension.drop(weight) if weight else dimension
     if fits_broadcast(values, limit):
@@ -61,4 +62,4 @@ def join_even(
     salted = facts.join(hot, on, "left").withColumn("_salt", salt).drop("_salts")
     copies = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
     repeated = values.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return salted.join(repeated.hint("shuffle_hash"), [*on, "_salt"], how).drop("_salt")

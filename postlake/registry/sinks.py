@@ -76,7 +76,7 @@ def append_relation(spark, sf_dir):
     ]
     tables.append_relation(relations[:2], name, path)
     tables.append_relation(relations[2:], name, path)
-    return spark.table(name).groupBy("post_id", "tag_id").agg(F.count(F.lit(1)).alias("n"))
+    return fx.pair_counts(spark, sf_dir, spark.table(name))
 
 
 @same_result("layout_by_key", "tag_stats")

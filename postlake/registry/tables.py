@@ -97,7 +97,7 @@ def extend_tag_ids(spark, sf_dir):
 @query("build_post_tag", "SELECT post_id, tag_id, count(*) AS n FROM post_tag GROUP BY ALL", "post_tag")
 def build_post_tag(spark, sf_dir):
     related = normalize.build_post_tag(fx.flat_posts(spark, sf_dir), fx.numbered(spark, sf_dir))
-    return related.groupBy("post_id", "tag_id").agg(F.count(F.lit(1)).alias("n"))
+    return fx.pair_counts(spark, sf_dir, related)
 
 
 @query(

@@ -40,12 +40,17 @@ def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
     _save(df.write.mode("overwrite"), name, path)
 
 
+# Rows of a file of a relation: they take a byte or two each, so the bytes of a split do not bound its rows;
+# the bytes that opening a file counts as do.
+FILE_ROWS = 250_000
+
+
 def append_relation(frames: list[DataFrame], name: str, path: str | None = None) -> None:
-    """All kinds of a relation in one write, appended."""
+    """All kinds of a relation in one write, appended, in files of at most ``FILE_ROWS`` rows."""
     merged = frames[0]
     for frame in frames[1:]:
         merged = merged.unionByName(frame)
-    _save(merged.write.mode("append"), name, path)
+    _save(merged.write.mode("append").option("maxRecordsPerFile", FILE_ROWS), name, path)
 
 
 def save_by_month(post: DataFrame, name: str, path: str | None = None) -> None:

@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from postlake import fixtures as fx
+from postlake.operators import normalize, skew
 from postlake.operators.manifest import not_yet_written
 from postlake.registry import QUERIES, inputs, streams
+from postlake.sinks import tables
 from postlake.sources import jsonl
 from tests.conftest import plan_of, values
 
@@ -53,6 +55,45 @@ def test_line_items_are_hashed_and_never_sorted(spark, orders, monkeypatch):
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan and " Sort [" not in plan
 
 
+def test_facts_of_an_even_join_are_not_sorted(spark):
+    facts = spark.range(300).selectExpr("id % 7 AS k", "id AS row")
+    dimension = spark.range(9).selectExpr("id AS k", "id * 2 AS v")
+    joined = skew.join_even(facts, dimension, ["k"], F.xxhash64("row"), limit=0)
+    assert "ShuffledHashJoin [k" in plan_of(joined) and " Sort [" not in plan_of(joined)
+    assert values(joined, "k", "row", "v") == values(facts.join(dimension, "k"), "k", "row", "v")
+
+
+def test_a_small_kind_is_broadcast_whatever_the_others(spark, monkeypatch):
+    flat = spark.range(200).selectExpr("id", "'red' AS tag_string_general", "'c' || id AS tag_string_character")
+    numbered = normalize.numbered_tags(flat)
+    monkeypatch.setattr(skew.join_even, "__defaults__", (None, "inner", 100))
+    small = normalize.build_post_tag(flat, numbered, {"general": "tag_string_general"})
+    large = normalize.build_post_tag(flat, numbered, {"character": "tag_string_character"})
+    assert "_salt" not in plan_of(small) and "_salt" in plan_of(large)
+    assert values(small) == [(i, 200) for i in sorted(range(200), key=lambda i: str((i, 200)))]
+    assert large.count() == 200
+
+
+def test_pairs_are_counted_by_tasks_of_few_rows(spark, sf_dir, monkeypatch):
+    related = fx.post_tags_by_post(spark, sf_dir)
+    monkeypatch.setattr(fx, "RELATION_ROWS", 1000)
+    counted = fx.pair_counts(spark, sf_dir, related)
+    plan = plan_of(counted)
+    parts = -(-related.count() // 1000)
+    assert "hashpartitioning(post_id#" in plan and f", {parts}), REPARTITION_BY_NUM" in plan
+    assert "HashAggregate" not in plan[plan.index("Exchange"):]  # nothing is counted ahead of the shuffle
+    assert values(counted) == values(related.groupBy("post_id", "tag_id").agg(F.count(F.lit(1)).alias("n")))
+    repeated = spark.sql("SELECT * FROM VALUES (1L, 2L), (1L, 2L), (NULL, 2L), (NULL, 2L), (1L, NULL) r(post_id, tag_id)")
+    assert values(fx.pair_counts(spark, sf_dir, repeated)) == [(1, 2, 2), (1, None, 1), (None, 2, 2)]
+
+
+def test_files_of_a_relation_hold_few_rows(spark, folder, table_name, monkeypatch):
+    monkeypatch.setattr(tables, "FILE_ROWS", 10)
+    tables.append_relation([spark.range(0, 60, 1, 1), spark.range(60, 100, 1, 1)], table_name, f"{folder}/t")
+    per_file = spark.table(table_name).groupBy(F.input_file_name()).count()
+    assert per_file.agg(F.max("count"), F.sum("count")).first() == (10, 100)
+
+
 def test_extending_ids_finds_the_tags_once(spark, sf_dir):
     plan = plan_of(QUERIES["extend_tag_ids"](spark, sf_dir))
     assert "tag_string" not in plan
