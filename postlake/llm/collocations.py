@@ -119,13 +119,11 @@ def word_blocks(docs: DataFrame, folder: str, shards: int, block_words: int, lan
 
 def _pairs(known: DataFrame, folder: str, length: int, before: int, step: int) -> DataFrame:
     """The distinct phrases of ``length`` words in the blocks of ``known`` (block, local, id, reached:
-    the phrases of one word less, ``id`` NULL for those below the threshold), with their counts and the
-    step from which they count. Their places lie in ``folder``, those of the shorter ones since step
-    ``before``."""
+    the phrases of one word less that reached the threshold), with their counts and the step from which
+    they count. Their places lie in ``folder``, those of the shorter ones since step ``before``."""
 
     def run(key, table):
         block = key[0].as_py()
-        table = table.filter(table.column("id").is_valid())
         places = _load(folder, f"{block}-{length - 1}-{before}")
         most = int(places.max()) + 1
         ids, reached = np.full(most, -1, np.int64), np.zeros(most, np.int32)
@@ -188,9 +186,10 @@ def _added(
     both = fresh.where(F.col("active") + cycle > step).select(*keys, "n", "active")
     if state is not None:
         both = both.unionByName(state, allowMissingColumns=True)
+        sums = [F.max("id").alias("id"), F.max("reached").alias("reached")]
     else:
-        both = both.select("*", F.lit(None).cast("bigint").alias("id"), F.lit(None).cast("int").alias("reached"))
-    total = both.groupBy(*keys).agg(F.sum("n").alias("n"), F.max("active").alias("active"), F.max("id").alias("id"), F.max("reached").alias("reached"))
+        sums = [F.lit(None).cast("bigint").alias("id"), F.lit(None).cast("int").alias("reached")]
+    total = both.groupBy(*keys).agg(F.sum("n").alias("n"), F.max("active").alias("active"), *sums)
     new = F.col("id").isNull() & (F.col("n") >= least)
     # Small numbers shuffle in fewer bytes: the row in its partition, then the partition.
     row = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))
@@ -241,11 +240,11 @@ class _Counting:
             _remove(old)
 
     def _known(self, length: int, rows: DataFrame) -> DataFrame:
-        """The distinct words or phrases of blocks with the ids of those that reached the threshold. Most
-        words are rare and go here; phrases of known words stay in their place with or without an id."""
-        keys, how = (["lang", "word"], "inner") if length == 1 else (["x", "y"], "left")
+        """The distinct words or phrases of blocks that reached the threshold, with their ids. Most are
+        rare and go here, before rows are sorted by block and move to Python."""
+        keys = ["lang", "word"] if length == 1 else ["x", "y"]
         reached = self.state[length].where("id IS NOT NULL").select(*keys, "id", "reached")
-        known = join_even(rows.select("block", "local", *keys), reached, keys, F.xxhash64("block", "local"), how=how)
+        known = join_even(rows.select("block", "local", *keys), reached, keys, F.xxhash64("block", "local"))
         return known.select("block", "local", "id", "reached")
 
     def scan(self, step: int) -> None:
