@@ -16,6 +16,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,6 +30,8 @@ from postlake.session import cut_lineage, shared_dir, shuffle_partitions
 SHARDS = 2
 BLOCK_WORDS = 1 << 21
 LONGEST = 4
+#: Phrases of a block that are listed in one row: at most 65,536.
+LIST_BITS = 16
 _BREAKS = b".,;:!?\x0b\x0c\r"
 _PLAIN = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t" + _BREAKS, b"abcdefghijklmnopqrstuvwxyz " + b"\n" * len(_BREAKS)
@@ -119,16 +122,16 @@ def word_blocks(docs: DataFrame, folder: str, shards: int, block_words: int, lan
 
 def _pairs(known: DataFrame, folder: str, length: int, before: int, step: int) -> DataFrame:
     """The distinct phrases of ``length`` words in the blocks of ``known`` (block, local, id, reached:
-    the phrases of one word less that reached the threshold), with their counts and the step from which
-    they count. Their places lie in ``folder``, those of the shorter ones since step ``before``."""
+    lists of the phrases of one word less that reached the threshold), with their counts and the step from
+    which they count. Their places lie in ``folder``, those of the shorter ones since step ``before``."""
 
     def run(key, table):
         block = key[0].as_py()
         places = _load(folder, f"{block}-{length - 1}-{before}")
         most = int(places.max()) + 1
         ids, reached = np.full(most, -1, np.int64), np.zeros(most, np.int32)
-        local = np.array(table.column("local"))
-        ids[local], reached[local] = np.array(table.column("id")), np.array(table.column("reached"))
+        local = np.array(pc.list_flatten(table.column("local")))
+        ids[local], reached[local] = np.array(pc.list_flatten(table.column("id"))), np.array(pc.list_flatten(table.column("reached")))
         known_here = ids[places] >= 0
         starts = np.flatnonzero(known_here[:-1] & known_here[1:])
         both = places[starts].astype(np.int64) << 32 | places[starts + 1]
@@ -240,12 +243,14 @@ class _Counting:
             _remove(old)
 
     def _known(self, length: int, rows: DataFrame) -> DataFrame:
-        """The distinct words or phrases of blocks that reached the threshold, with their ids. Most are
-        rare and go here, before rows are sorted by block and move to Python."""
-        keys = ["lang", "word"] if length == 1 else ["x", "y"]
+        """The distinct words or phrases of blocks that reached the threshold, with their ids: lists of
+        bounded length, so that few rows are sorted by block. Most words are rare and go in the join;
+        phrases of known words stay in their place, and the lists leave out those without an id."""
+        keys, how = (["lang", "word"], "inner") if length == 1 else (["x", "y"], "left")
         reached = self.state[length].where("id IS NOT NULL").select(*keys, "id", "reached")
-        known = join_even(rows.select("block", "local", *keys), reached, keys, F.xxhash64("block", "local"))
-        return known.select("block", "local", "id", "reached")
+        known = join_even(rows.select("block", "local", *keys), reached, keys, F.xxhash64("block", "local"), how=how)
+        lists = [F.collect_list(F.when(F.col("id").isNotNull(), F.col(name))).alias(name) for name in ("local", "id", "reached")]
+        return known.groupBy("block", F.shiftright("local", LIST_BITS).alias("_list")).agg(*lists)
 
     def scan(self, step: int) -> None:
         """Count one shard."""
