@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,18 +18,39 @@ MOST_HOT = 10_000
 BROADCAST_BYTES = 64 << 20
 
 
-def raw_bytes(df: DataFrame) -> int:
-    """Bytes of the values of ``df``, from one aggregate over it."""
+def _row_bytes(df: DataFrame) -> Column:
     width = F.lit(0)
     for name, kind in df.dtypes:
         width = width + (F.octet_length(name) if kind == "string" else F.lit(8))
-    return df.agg(F.sum(F.coalesce(width, F.lit(8))).cast("bigint")).first()[0] or 0
+    return F.coalesce(width, F.lit(8))
+
+
+def raw_bytes(df: DataFrame) -> int:
+    """Bytes of the values of ``df``, from one aggregate over it."""
+    return df.agg(F.sum(_row_bytes(df)).cast("bigint")).first()[0] or 0
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return raw_bytes(df) <= limit
 
 
+def split_by_use(
+    dimension: DataFrame, weight: str, limit: int = BROADCAST_BYTES
+) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of ``dimension`` to broadcast, and the others, None if all take up to ``limit``. If they take more, a
+    quarter of it goes to those with the largest ``weight``, which hold most uses. The weights are told apart by
+    their powers of two, of which there are few."""
+    power = F.length(F.bin(weight))
+    sums = dimension.groupBy(power.alias("_power")).agg(F.sum(_row_bytes(dimension.drop(weight))).cast("bigint").alias("_bytes"))
+    by_power = sums.orderBy(F.desc("_power")).collect()
+    if sum(row["_bytes"] for row in by_power) <= limit:
+        return dimension, None
+    held = list(itertools.accumulate(row["_bytes"] for row in by_power))
+    fitting = [row["_power"] for row, size in zip(by_power, held) if size <= limit // 4]
+    often = power >= fitting[-1] if fitting else F.lit(False)
+    return dimension.where(often), dimension.where(~often)
+
+
 def hot_keys(dimension: DataFrame, on: list[str], weight: str) -> DataFrame:
     """Keys of ``dimension`` whose ``weight`` (rows they match) exceeds a partition's share of the sum,
     with ``_salts``: how many partitions' worth of rows they hold."""

@@ -1,7 +1,7 @@
 """Typing free-form tags against the dictionary.
 
 A token is looked up under several spellings, the first that is a key of the dictionary wins. The
-distinct tokens are resolved, then their types are joined back to the occurrences.
+distinct tokens are resolved, then their types are brought back to the occurrences.
 """
 
 from __future__ import annotations
@@ -14,9 +14,13 @@ from postlake.functions.text import (
     contains_any, entity_apostrophe, html_unescape, split_tags, strip_backslash,
 )
 from postlake.operators.numbering import batch_lookups
-from postlake.operators.skew import join_even
+from postlake.operators.skew import BROADCAST_BYTES, join_even, split_by_use
 from postlake.schemas import DICTIONARY_BATCH, DICTIONARY_FIELDS, LOOKUP_BATCH
-from postlake.session import cut_lineage
+from postlake.session import cut_lineage, shuffle_partitions
+
+# Tokens that a task types and gathers, and how few tasks do so.
+TYPED_TOKENS = 500_000
+MIN_PARTS = 8
 
 
 def token_usage(posts: DataFrame, tags: str = "tags") -> DataFrame:
@@ -102,41 +106,59 @@ def typed_vocabulary(
     )
 
 
-def _typed_tokens(
-    posts: DataFrame, dictionary: DataFrame, default: int | None, tags: str, carry: list[str]
+def _rare_types(posts: DataFrame, often: DataFrame, rare: DataFrame, tags: str, count: int) -> DataFrame:
+    """(_key, _rare): the types of the tokens of a post that are in ``rare``, as a map."""
+    tokens = posts.select("_key", F.explode(F.array_distinct(split_tags(F.col(tags)))).alias("token"))
+    tokens = tokens.join(F.broadcast(often), "token", "left").where("type IS NULL").select("_key", "token")
+    uses = rare.agg(F.sum("n_uses")).first()[0]
+    parts = max(shuffle_partitions(posts.sparkSession), -(-uses // TYPED_TOKENS))
+    known = rare.select("token", "type").repartition(parts, "token").hint("shuffle_hash")
+    found = tokens.repartition(parts, "token").join(known, "token").select("_key", "token", "type")
+    types = F.map_from_entries(F.collect_set(F.struct("token", "type")))
+    return found.repartition(count, "_key").groupBy("_key").agg(types.alias("_rare"))
+
+
+def _typed_posts(
+    posts: DataFrame, dictionary: DataFrame, default: int | None, tags: str, carry: list[str],
+    kept: tuple[str, ...] = ("token", "type"), limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """(_row, pos, token, type, _rec): every token of every post, ``_rec`` with the columns of ``carry``
-    at the first token alone.
+    """(_rec, _typed): every post with a tag string by itself, as ids may be NULL or repeat; the columns
+    of ``carry`` and its tokens in order as (pos, ``kept``).
 
-    ``_row`` names the post within this scan: ids may be NULL or repeat. Posts without a tag string
-    give no rows.
+    A post moves once, as it is, to a task of few posts that takes it apart and gathers its tokens again.
+    The types of tokens are broadcast up to ``limit``, of the most used ones if they are more. The others
+    join their types by token and follow the post by its hash: each is rare, so no key is hot. Posts may share
+    a hash, as a type hangs on its token alone; four bytes move less.
     """
     vocabulary = typed_vocabulary(posts, dictionary, default, tags)
-    record = F.struct(*[F.col(c) for c in carry])
-    placed = posts.withColumn("_row", F.monotonically_increasing_id()).select(
-        "_row", record.alias("_rec"), F.posexplode(split_tags(F.col(tags))).alias("pos", "token")
+    count = max(MIN_PARTS, -(-(vocabulary.agg(F.sum("n_uses")).first()[0] or 0) // TYPED_TOKENS))
+    often, rare = split_by_use(vocabulary, "n_uses", limit)
+    often = often.select("token", "type")
+    # Without rare tokens nothing has to find the post, and any key spreads equal posts.
+    key = F.monotonically_increasing_id() if rare is None else F.hash(*dict.fromkeys([*carry, tags]))
+    tagged = posts.where(F.col(tags).isNotNull()).withColumn("_key", key)
+    placed = tagged.select("_key", F.struct(*carry).alias("_rec"), F.col(tags).alias("_tags")).repartition(count, "_key")
+    rare_type = F.lit(None).cast("int")
+    if rare is not None:
+        placed = placed.join(_rare_types(tagged, often, rare, tags, count).hint("shuffle_hash"), "_key", "left")
+        rare_type = F.try_element_at("_rare", F.col("token"))
+    tokens = placed.withColumn("_row", F.monotonically_increasing_id()).select(
+        "_key", "_row", "_rec", *(["_rare"] if rare is not None else []), F.posexplode(split_tags(F.col("_tags"))).alias("pos", "token")
     )
-    placed = placed.withColumn("_rec", F.when(F.col("pos") == 0, F.col("_rec")))
-    return join_even(placed, vocabulary, ["token"], F.xxhash64("_row", "pos"), "n_uses")
-
-
-def _in_order(value: Column) -> Column:
-    """Aggregate: the values of a post as an array in token order."""
-    return F.sort_array(F.collect_list(F.struct("pos", value.alias("value"))))["value"]
+    tokens = tokens.select(
+        "_key", "_row", F.when(F.col("pos") == 0, F.col("_rec")).alias("_rec"), "pos", "token", rare_type.alias("_type")
+    )
+    typed = tokens.join(F.broadcast(often), "token", "left").withColumn("type", F.coalesce("type", "_type"))
+    entries = F.sort_array(F.collect_list(F.struct("pos", *kept))).alias("_typed")
+    return typed.groupBy("_key", "_row").agg(F.any_value("_rec", F.lit(True)).alias("_rec"), entries).select("_rec", "_typed")
 
 
 def tag_types(
     posts: DataFrame, dictionary: DataFrame, default: int | None = None, tags: str = "tags"
 ) -> DataFrame:
     """(id, types): a row per post with tags, the type of every token in token order."""
-    typed = _typed_tokens(posts, dictionary, default, tags, ["id"])
-    grouped = typed.groupBy("_row").agg(_first_record(), _in_order(F.col("type")).alias("types"))
-    return grouped.select("_rec.id", "types")
-
-
-def _first_record() -> Column:
-    """Aggregate: the record its post's first token carries."""
-    return F.any_value("_rec", F.lit(True)).alias("_rec")
+    typed = _typed_posts(posts, dictionary, default, tags, ["id"], kept=("type",))
+    return typed.select("_rec.id", F.col("_typed.type").alias("types"))
 
 
 def tag_types_verbose(
@@ -150,11 +172,8 @@ def structured_tags(
     posts: DataFrame, dictionary: DataFrame, default: int | None = None, tags: str = "tags"
 ) -> DataFrame:
     """(id, type, tags): for each post the tokens of each type, order and repeats kept."""
-    typed = _typed_tokens(posts, dictionary, default, tags, ["id"])
-    entries = F.sort_array(F.collect_list(F.struct("pos", "token", "type"))).alias("_typed")
-    grouped = typed.groupBy("_row").agg(_first_record(), entries).select(
-        "_rec.id", "_typed", F.explode(F.array_distinct("_typed.type")).alias("_code")
-    )
+    typed = _typed_posts(posts, dictionary, default, tags, ["id"])
+    grouped = typed.select("_rec.id", "_typed", F.explode(F.array_distinct("_typed.type")).alias("_code"))
     of_type = F.filter("_typed", lambda entry: entry["type"] == F.col("_code"))["token"]
     return grouped.select("id", tag_type_name(F.col("_code")).alias("type"), of_type.alias("tags"))
 
@@ -165,14 +184,12 @@ def tag_lists(
 ) -> DataFrame:
     """The columns of ``carry`` and one array per column of ``columns``: the tokens of the type it stands
     for, each post by itself. Posts without tags have empty arrays."""
-    typed = _typed_tokens(posts, dictionary, default, tags, list(carry))
-    entries = F.sort_array(F.collect_list(F.struct("pos", "token", "type"))).alias("_typed")
+    typed = _typed_posts(posts, dictionary, default, tags, list(carry))
 
     def of(code: int) -> Column:
         return F.filter("_typed", lambda entry: entry["type"] == code)["token"]
 
-    grouped = typed.groupBy("_row").agg(_first_record(), entries)
-    tagged = grouped.select(*[F.col("_rec")[c].alias(c) for c in carry], *[of(code).alias(name) for name, code in columns.items()])
+    tagged = typed.select(*[F.col("_rec")[c].alias(c) for c in carry], *[of(code).alias(name) for name, code in columns.items()])
     none = F.array().cast("array<string>")
     untagged = posts.where(F.col(tags).isNull()).select(*carry, *[none.alias(name) for name in columns])
     return tagged.unionByName(untagged)

@@ -7,11 +7,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from postlake.operators import metadata, tagging
+from postlake.operators import metadata, skew, tagging
 from postlake.plans.dictionary_refresh import refresh
 from postlake.sinks import files
 from postlake.sources import dictionary
-from tests.conftest import values
+from tests.conftest import plan_of, values
 
 LINES = [
     {"id": 1, "name": "red", "count": 5, "type": 0, "ambiguous": 0},
@@ -127,6 +127,48 @@ def test_posts_are_typed_each_by_itself(spark, source):
     ]
 
 
+AWKWARD = [(None, "red"), (None, "red"), (7, "old nope"), (7, "old nope"), (7, " nope  RED"), (8, ""), (9, None), (10, " ".join(TOKENS * 3))]
+
+
+@pytest.mark.parametrize("limit", [skew.BROADCAST_BYTES, 300, 0])
+def test_types_are_the_same_broadcast_or_not(spark, source, monkeypatch, limit):
+    monkeypatch.setattr(tagging._typed_posts, "__defaults__", (("token", "type"), limit))
+    monkeypatch.setattr(tagging, "TYPED_TOKENS", 3)
+    tags, keys = dictionary.load_tag_dictionary(spark, source), model()
+    posts = spark.createDataFrame(AWKWARD, "id bigint, tags string")
+    type_of = lambda t: (lookup(keys, t) or {"type": 0})["type"]
+    wanted = [(i, [t for t in (text or "").split(" ") if text is not None and type_of(t) == 5], [t for t in (text or "").split(" ") if text is not None and type_of(t) == 0]) for i, text in AWKWARD]
+    made = metadata.structured_metadata(posts, tags, default=0)
+    assert values(made, "id", "tag_list_meta", "tag_list_general") == sorted(wanted, key=str)
+    types = [(i, [type_of(t) for t in text.split(" ")]) for i, text in AWKWARD if text is not None]
+    assert values(tagging.tag_types(posts, tags, default=0)) == sorted(types, key=str)
+    assert ("_rare" in plan_of(made)) == (limit < skew.BROADCAST_BYTES)
+    split = skew.split_by_use(tagging.typed_vocabulary(posts, tags, 0), "n_uses", limit)
+    assert [part is not None and not part.isEmpty() for part in split] == [limit > 0, limit < skew.BROADCAST_BYTES]
+
+
+def test_posts_may_share_a_hash(spark, source, monkeypatch):
+    monkeypatch.setattr(tagging._typed_posts, "__defaults__", (("token", "type"), 0))
+    tags = dictionary.load_tag_dictionary(spark, source)
+    posts = spark.createDataFrame(AWKWARD, "id bigint, tags string")
+    wanted = values(tagging.tag_types(posts, tags, default=0))
+    monkeypatch.setattr(F, "hash", lambda *columns: F.length(F.coalesce(columns[-1], F.lit(""))) % 2)
+    assert values(tagging.tag_types(posts, tags, default=0)) == wanted
+
+
+def test_tokens_of_a_post_are_gathered_where_it_is_taken_apart(spark, source, posts):
+    plan = plan_of(metadata.structured_metadata(posts, dictionary.load_tag_dictionary(spark, source), default=0))
+    assert "Exchange" not in plan[plan.index("ObjectHashAggregate"):plan.index("Generate posexplode")]
+
+
+def test_the_most_used_are_split_off_up_to_a_limit(spark):
+    used = spark.sql("SELECT * FROM VALUES ('a', 1, 9L), ('b', 1, 7L), ('c', 1, 2L), ('d', 1, 2L), (NULL, 1, 1L) d(k, v, n)")
+    often, rare = skew.split_by_use(used, "n", 43)
+    assert values(often, "k") == [("a",)] and values(rare, "k") == [("b",), ("c",), ("d",), (None,)]
+    assert skew.split_by_use(used, "n", 44)[1] is None
+    assert skew.split_by_use(used, "n", 35)[0].isEmpty() and skew.split_by_use(used, "n", 35)[1].count() == 5
+
+
 def test_parse_tags(spark, source, posts):
     rows = tagging.parse_tags(posts.where("id = 2"), dictionary.load_tag_dictionary(spark, source))
     assert values(rows, "pos", "token", "id") == [(0, "red", 8), (2, "red", 8), (3, "old", 10)]
